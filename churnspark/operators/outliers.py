@@ -91,7 +91,7 @@ def remove_outliers(df: DataFrame, cols: list[str], method: str = "iqr", thresho
     bounds, counts, steps = {}, {}, []
     current = base
     if mode == "joint":
-        bounds = iqr_bounds(base, cols, threshold, approx)
+        bounds = iqr_bounds(base, cols, threshold, approx, rows_before)
         counts = outlier_counts(base, bounds)
         for c in cols:
             lo, hi = bounds[c]
@@ -99,11 +99,12 @@ def remove_outliers(df: DataFrame, cols: list[str], method: str = "iqr", thresho
     else:
         remaining = rows_before
         for i, c in enumerate(cols):
-            lo, hi = iqr_bounds(current, [c], threshold, approx)[c]
+            lo, hi = iqr_bounds(current, [c], threshold, approx, remaining)[c]
             bounds[c] = (lo, hi)
             if lo is None:
                 nxt = current.filter(F.lit(False))
                 counts[c] = 0
+                remaining = 0
             else:
                 row = current.agg(F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias("o"),
                                   F.count_if(F.col(c).between(lo, hi)).alias("k")).first()

@@ -107,5 +107,26 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return {c: (list(row[c]) if row[c] is not None else [None for _ in probs]) for c in cols}
 
 
-def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool = False):
-    return approx_quantiles(df, cols, probs) if approx else exact_quantiles(df, cols, probs)
+# Rows up to which one task may hold a column's values for Spark's exact
+# ``percentile`` (about 16 bytes a value, so 16 MB); larger inputs use the
+# bucket-refinement passes above. The caller must pass a checked row count.
+GATHER_LIMIT = 1_000_000
+
+
+def gathered_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """One pass with Spark's exact ``percentile``; only for inputs of checked, bounded size."""
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), list(probs)).alias(f"q{i}")
+                   for i, c in enumerate(cols)]).first()
+    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None for _ in probs])
+            for i, c in enumerate(cols)}
+
+
+def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool = False,
+              n_rows: int | None = None):
+    """Exact (default) or sketch quantiles; ``n_rows`` (a known row count) enables
+    the one-pass path when it is below ``GATHER_LIMIT``."""
+    if approx:
+        return approx_quantiles(df, cols, probs)
+    if n_rows is not None and n_rows <= GATHER_LIMIT:
+        return gathered_quantiles(df, cols, probs)
+    return exact_quantiles(df, cols, probs)
