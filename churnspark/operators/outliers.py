@@ -12,9 +12,13 @@ from churnspark.operators.quantiles import quantiles
 
 
 def iqr_bounds(df: DataFrame, cols: list[str], threshold: float = 1.5,
-               approx: bool = False) -> dict[str, tuple[float, float]]:
-    """``(Q1 - t*IQR, Q3 + t*IQR)`` per column, all columns in the same passes."""
-    qs = quantiles(df, cols, [0.25, 0.75], approx=approx)
+               approx: bool = False, n_rows: int | None = None) -> dict[str, tuple[float, float]]:
+    """``(Q1 - t*IQR, Q3 + t*IQR)`` per column, all columns in the same passes.
+
+    ``n_rows`` is a row count the caller has already measured; below the
+    gather limit the exact quartiles take a single pass.
+    """
+    qs = quantiles(df, cols, [0.25, 0.75], approx=approx, n_rows=n_rows)
     out = {}
     for c in cols:
         q1, q3 = qs[c]

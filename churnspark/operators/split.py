@@ -7,6 +7,7 @@ chosen on any cluster, at any partition count, and by a SQL engine.
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +31,12 @@ def test_quotas(counts: dict, test_size: float = 0.2) -> dict:
     n = sum(counts.values())
     if n == 0:
         return {c: 0 for c in counts}
-    n_test = math.ceil(test_size * n) if test_size < 1 else int(test_size)
-    exact = {c: n_test * k / n for c, k in counts.items()}
-    quota = {c: math.floor(v) for c, v in exact.items()}
+    frac = Fraction(str(test_size))
+    n_test = math.ceil(frac * n) if test_size < 1 else int(test_size)
+    quota = {c: n_test * k // n for c, k in counts.items()}
+    rem = {c: n_test * k % n for c, k in counts.items()}  # same denominator n: integer remainders order them
     left = n_test - sum(quota.values())
-    for c in sorted(counts, key=lambda c: (-(exact[c] - quota[c]), c))[:left]:
+    for c in sorted(counts, key=lambda c: (-rem[c], c))[:left]:
         quota[c] += 1
     return quota
 

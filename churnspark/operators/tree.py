@@ -254,10 +254,10 @@ def fit_tree(df: DataFrame, features: list[str], label: str = "label", params: T
     y = F.col(label).cast("int")
     if weight_col:
         w = F.col(weight_col).cast("double")
+        cw = None
     else:
         cw = class_weights(df, label, model_col, params.class_weight)
-        w = F.element_at(_long_map({(m << KEY_SHIFT) + c: v for (m, c), v in cw.items()}, "double"),
-                         _key(model, y))
+        w = F.lit(1.0)
     if params.max_bins:
         edges = _bin_edges(df, features, params.max_bins)
         x = _binned_vector(features, edges)
@@ -266,15 +266,27 @@ def fit_tree(df: DataFrame, features: list[str], label: str = "label", params: T
     base = df.select(model.cast("bigint").alias("m"), y.alias("y"), w.alias("w"), x.alias("x")).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        return _grow(spark, base, features, params, crit, p)
+        return _grow(spark, base, features, params, crit, p, cw)
     finally:
         base.unpersist()
 
 
-def _grow(spark, base: DataFrame, features: list[str], params: TreeParams, crit: str, p: int) -> TreeModel:
-    root = base.groupBy("m").agg(F.count(F.lit(1)).alias("n"),
-                                 F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("w0"),
-                                 F.sum(F.when(F.col("y") == 1, F.col("w")).otherwise(0.0)).alias("w1")).collect()
+def _weighted(cw, m: Column, n0: Column, n1: Column, s0: Column, s1: Column) -> tuple[Column, Column]:
+    """Class-weighted sums: count x weight of the (model, class) (exact); or summed row weights."""
+    if cw is None:
+        return s0, s1
+    c0 = F.element_at(_long_map({(mm << KEY_SHIFT) + 0: v for (mm, c), v in cw.items() if c == 0}, "double"), _key(m, F.lit(0)))
+    c1 = F.element_at(_long_map({(mm << KEY_SHIFT) + 0: v for (mm, c), v in cw.items() if c == 1}, "double"), _key(m, F.lit(0)))
+    return n0 * F.coalesce(c0, F.lit(0.0)), n1 * F.coalesce(c1, F.lit(0.0))
+
+
+def _grow(spark, base: DataFrame, features: list[str], params: TreeParams, crit: str, p: int, cw=None) -> TreeModel:
+    agg = base.groupBy("m").agg(F.count(F.lit(1)).alias("n"),
+                                F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"),
+                                F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("s0"),
+                                F.sum(F.when(F.col("y") == 1, F.col("w")).otherwise(0.0)).alias("s1"))
+    w0, w1 = _weighted(cw, F.col("m"), F.col("n0"), F.col("n1"), F.col("s0"), F.col("s1"))
+    root = agg.select("m", "n", w0.alias("w0"), w1.alias("w1")).collect()
     nodes: dict[tuple[int, int], dict] = {}
     for r in root:
         nodes[(r["m"], 1)] = _node(r["m"], 1, None, 0, "root", r["n"], r["w0"], r["w1"], crit)
@@ -286,7 +298,7 @@ def _grow(spark, base: DataFrame, features: list[str], params: TreeParams, crit:
         active = [k for k in frontier if _splittable(nodes[k], params)]
         if not active:
             break
-        best = _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat)
+        best = _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat, cw)
         frontier = []
         for (m, nid), b in best.items():
             parent = nodes[(m, nid)]
@@ -322,7 +334,7 @@ def _splittable(node: dict, params: TreeParams) -> bool:
             and node["impurity"] > 2.220446049250313e-16)
 
 
-def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat) -> dict:
+def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat, cw=None) -> dict:
     # Same plan shape at every level (route through the full depth limit; the
     # splits and the open-node set are map literals passed by reference), so
     # the generated code compiles once and is reused by later levels.
@@ -343,8 +355,9 @@ def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat) ->
         long = long.filter(F.array_contains(F.element_at(amap, F.col("k")), F.col("f")))
     hist = long.groupBy("k", "f", "v").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("w0"),
-        F.sum(F.when(F.col("y") == 1, F.col("w")).otherwise(0.0)).alias("w1"))
+        F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"),
+        F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("s0"),
+        F.sum(F.when(F.col("y") == 1, F.col("w")).otherwise(0.0)).alias("s1"))
     tot = {(m << KEY_SHIFT) + n: nodes[(m, n)] for m, n in active}
     tn = _long_map({k: v["n"] for k, v in tot.items()}, "bigint")
     tw0 = _long_map({k: v["w0"] for k, v in tot.items()}, "double")
@@ -352,8 +365,11 @@ def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat) ->
     timp = _long_map({k: v["impurity"] for k, v in tot.items()}, "double")
     win = Window.partitionBy("k", "f").orderBy("v")
     cum = win.rowsBetween(Window.unboundedPreceding, 0)
-    cand = (hist.withColumn("ln", F.sum("n").over(cum)).withColumn("lw0", F.sum("w0").over(cum))
-            .withColumn("lw1", F.sum("w1").over(cum)).withColumn("nv", F.lead("v").over(win)))
+    cand = (hist.withColumn("ln", F.sum("n").over(cum)).withColumn("ln0", F.sum("n0").over(cum))
+            .withColumn("ln1", F.sum("n1").over(cum)).withColumn("ls0", F.sum("s0").over(cum))
+            .withColumn("ls1", F.sum("s1").over(cum)).withColumn("nv", F.lead("v").over(win)))
+    lw0c, lw1c = _weighted(cw, F.shiftright(F.col("k"), KEY_SHIFT), F.col("ln0"), F.col("ln1"), F.col("ls0"), F.col("ls1"))
+    cand = cand.withColumn("lw0", lw0c).withColumn("lw1", lw1c)
     N, W0, W1 = F.element_at(tn, F.col("k")), F.element_at(tw0, F.col("k")), F.element_at(tw1, F.col("k"))
     rn, rw0, rw1 = N - F.col("ln"), W0 - F.col("lw0"), W1 - F.col("lw1")
     msl = params.min_samples_leaf
