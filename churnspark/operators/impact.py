@@ -118,14 +118,14 @@ def key_metrics(m: DataFrame, cm: DataFrame, tree_stats: DataFrame | None = None
 def strengths_weaknesses(m: DataFrame) -> DataFrame:
     """I8: ``(kind, label, value)`` rows for recall, AUC, accuracy, precision and FPR."""
     rec, auc, acc, prec = (F.col(c) for c in ("recall", "roc_auc", "accuracy", "precision"))
+    def row(kind, label, value):
+        return F.struct(F.lit(kind).alias("kind"), label.alias("label"), value.cast("double").alias("value"))
     arr = F.array(
-        F.struct(F.lit("strength").alias("kind"),
-                 F.when(rec > 0.75, F.lit("High Recall")).otherwise(F.lit("Moderate Recall")).alias("label"),
-                 rec.alias("value")),
-        F.struct(F.lit("strength"), F.when(auc > 0.8, F.lit("Good AUC")).otherwise(F.lit("Fair AUC")), auc),
-        F.struct(F.lit("strength"), F.when(acc > 0.8, F.lit("Good Accuracy")).otherwise(F.lit("Moderate Accuracy")), acc),
-        F.struct(F.lit("weakness"), F.when(prec < 0.6, F.lit("Low Precision")).otherwise(F.lit("Good Precision")), prec),
-        F.struct(F.lit("weakness"), F.lit("False Positive Rate"), F.col("fpr")),
+        row("strength", F.when(rec > 0.75, F.lit("High Recall")).otherwise(F.lit("Moderate Recall")), rec),
+        row("strength", F.when(auc > 0.8, F.lit("Good AUC")).otherwise(F.lit("Fair AUC")), auc),
+        row("strength", F.when(acc > 0.8, F.lit("Good Accuracy")).otherwise(F.lit("Moderate Accuracy")), acc),
+        row("weakness", F.when(prec < 0.6, F.lit("Low Precision")).otherwise(F.lit("Good Precision")), prec),
+        row("weakness", F.lit("False Positive Rate"), F.col("fpr")),
     )
     out = m.select(F.inline(arr))
     return out.select("kind", "label", round6(F.col("value")).alias("value"))
@@ -134,12 +134,15 @@ def strengths_weaknesses(m: DataFrame) -> DataFrame:
 def deployment_report(m: DataFrame) -> DataFrame:
     """``(metric, value, ok)``: grade, accuracy and AUC carry a status flag."""
     g = performance_rating(m).select("overall_grade").scalar()
+    def row(metric, value, ok):
+        return F.struct(F.lit(metric).alias("metric"), value.alias("value"), ok.alias("ok"))
+    none = F.lit(None).cast("boolean")
     arr = F.array(
-        F.struct(F.lit("Overall Grade").alias("metric"), g.alias("value"), g.isin(ACCEPTABLE_GRADES).alias("ok")),
-        F.struct(F.lit("Accuracy"), F.format_number(F.col("accuracy"), 6), F.col("accuracy") >= 0.75),
-        F.struct(F.lit("ROC AUC"), F.format_number(F.col("roc_auc"), 6), F.col("roc_auc") >= 0.8),
-        F.struct(F.lit("Precision"), F.format_number(F.col("precision"), 6), F.lit(None).cast("boolean")),
-        F.struct(F.lit("Recall"), F.format_number(F.col("recall"), 6), F.lit(None).cast("boolean")),
-        F.struct(F.lit("F1-Score"), F.format_number(F.col("f1"), 6), F.lit(None).cast("boolean")),
+        row("Overall Grade", g, g.isin(ACCEPTABLE_GRADES)),
+        row("Accuracy", F.format_number(F.col("accuracy"), 6), F.col("accuracy") >= 0.75),
+        row("ROC AUC", F.format_number(F.col("roc_auc"), 6), F.col("roc_auc") >= 0.8),
+        row("Precision", F.format_number(F.col("precision"), 6), none),
+        row("Recall", F.format_number(F.col("recall"), 6), none),
+        row("F1-Score", F.format_number(F.col("f1"), 6), none),
     )
     return m.select(F.inline(arr))

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from churnspark.functions.exprs import round6
 
-_ALL = Window.partitionBy()  # over <= n_features rows (the dictionary), never over data rows
+def _all():
+    """Global window over <= n_features rows (the dictionary), never over data rows."""
+    return Window.partitionBy()
 
 
 def feature_importance(nodes: DataFrame, dictionary: DataFrame, model_id: int = 0) -> DataFrame:
@@ -21,16 +23,16 @@ def feature_importance(nodes: DataFrame, dictionary: DataFrame, model_id: int =
     dec = (nodes.filter((F.col("model_id") == model_id) & ~F.col("is_leaf"))
            .groupBy("feature_idx").agg(F.sum("decrease").alias("d")))
     joined = dictionary.join(dec, "feature_idx", "left").fillna(0.0, ["d"])
-    total = F.sum("d").over(_ALL)
+    total = F.sum("d").over(_all())
     imp = F.when(total > 0, F.col("d") / total).otherwise(F.lit(0.0))
     out = joined.select("feature_idx", "feature", imp.alias("importance"))
-    tot_imp = F.sum("importance").over(_ALL)
+    tot_imp = F.sum("importance").over(_all())
     return out.select("feature_idx", "feature", round6(F.col("importance")).alias("importance"),
                       round6(F.when(tot_imp > 0, F.col("importance") / tot_imp * 100).otherwise(0.0)).alias("importance_pct"))
 
 
 def _ranked(imp: DataFrame) -> DataFrame:
-    return imp.withColumn("rank", F.row_number().over(_ALL.orderBy(F.col("importance").desc(), "feature_idx")))
+    return imp.withColumn("rank", F.row_number().over(_all().orderBy(F.col("importance").desc(), "feature_idx")))
 
 
 def utilisation(imp: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def importance_stats(imp: DataFrame) -> DataFrame:
 
 def cumulative_selection(imp: DataFrame, threshold: float = 0.95) -> DataFrame:
     """The smallest prefix (by importance) whose cumulative importance reaches ``threshold``."""
-    w = _ALL.orderBy(F.col("importance").desc(), "feature_idx").rowsBetween(Window.unboundedPreceding, 0)
+    w = _all().orderBy(F.col("importance").desc(), "feature_idx").rowsBetween(Window.unboundedPreceding, 0)
     c = imp.withColumn("cumulative", F.sum("importance").over(w))
     prev = F.col("cumulative") - F.col("importance")
     return c.filter(prev < threshold - 1e-12).select("feature_idx", "feature", "importance",

@@ -69,15 +69,14 @@ def paths(nodes: DataFrame, model_id: int = 0) -> DataFrame:
         F.col("node_id").alias("leaf"), "depth",
         F.explode(F.sequence(F.lit(0), F.col("depth") - 1)).alias("d"))
     # ancestor at depth d and the child it leads to on the way to the leaf
-    steps = steps.select("leaf", "d",
-                         F.shiftright(F.col("leaf"), F.col("depth") - F.col("d")).alias("anc"),
-                         F.shiftright(F.col("leaf"), F.col("depth") - F.col("d") - 1).alias("child"))
+    steps = steps.select("leaf", "d", F.expr("shiftright(leaf, depth - d)").alias("anc"),
+                         F.expr("shiftright(leaf, depth - d - 1)").alias("child"))
     inner = n.filter(~F.col("is_leaf")).select(F.col("node_id").alias("anc"), "feature", "threshold")
     rules = steps.join(F.broadcast(inner), "anc").select(
         "leaf", "d", rule_text(F.col("feature"), F.col("threshold"), F.col("child") % 2 == 0).alias("rule"))
     grouped = rules.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("d", "rule"))).alias("r"))
     root_n = n.filter(F.col("node_id") == 1).select("n").scalar()
-    max_depth = n.agg(F.max("depth")).scalar()
+    max_depth = n.agg(F.max("depth")).first()[0] or 0  # one value from the node table
     out = leaves.join(grouped, leaves.node_id == grouped.leaf, "left")
     return out.select(
         F.col("node_id").alias("leaf_id"), "depth",
@@ -85,7 +84,7 @@ def paths(nodes: DataFrame, model_id: int = 0) -> DataFrame:
         F.col("n").alias("samples"), round6(F.col("n") / root_n).alias("share"),
         _class_name(F.col("prediction")).alias("prediction"),
         round6(F.greatest(F.col("p1"), 1 - F.col("p1"))).alias("confidence"),
-        F.shiftleft(F.col("node_id"), (max_depth - F.col("depth")).cast("int")).alias("dfs_key"))
+        F.expr(f"shiftleft(node_id, {int(max_depth)} - depth)").alias("dfs_key"))
 
 
 def important_paths(nodes: DataFrame, model_id: int = 0, min_share: float = IMPORTANT_SHARE) -> DataFrame:
@@ -112,18 +111,18 @@ def path_summary(nodes: DataFrame, total_features: int, model_id: int = 0) -> Da
 def rule_listing(nodes: DataFrame, model_id: int = 0) -> DataFrame:
     """H8: indented rule lines in pre-order, ``(line_no, text)``, like a text tree export."""
     n = _one(nodes, model_id)
-    max_depth = n.agg(F.max("depth")).scalar()
+    max_depth = n.agg(F.max("depth")).first()[0] or 0  # one value from the node table
     parent = n.select(F.col("node_id").alias("pid"), F.col("feature").alias("pf"), F.col("threshold").alias("pt"))
     j = n.join(F.broadcast(parent), n.parent_id == parent.pid, "left")
-    key = F.shiftleft(F.col("node_id"), (max_depth - F.col("depth")).cast("int"))
+    key = F.expr(f"shiftleft(node_id, {int(max_depth)} - depth)")
     split_line = j.filter(F.col("pid").isNotNull()).select(
         key.alias("k"), F.col("depth").alias("d"), F.lit(0).alias("kind"),
-        F.concat(F.repeat(F.lit("|   "), F.col("depth") - 1), F.lit("|--- "),
+        F.concat(F.expr("repeat('|   ', depth - 1)"), F.lit("|--- "),
                  F.when(F.col("side") == "left", F.format_string("%s <= %.2f", F.col("pf"), F.col("pt")))
                  .otherwise(F.format_string("%s >  %.2f", F.col("pf"), F.col("pt")))).alias("text"))
     leaf_line = j.filter("is_leaf").select(
         key.alias("k"), F.col("depth").alias("d"), F.lit(1).alias("kind"),
-        F.concat(F.repeat(F.lit("|   "), F.col("depth")), F.lit("|--- "),
+        F.concat(F.expr("repeat('|   ', depth)"), F.lit("|--- "),
                  F.format_string("weights: [%.2f, %.2f] class: %s", F.col("w0"), F.col("w1"),
                                  _class_name(F.col("prediction")))).alias("text"))
     lines = split_line.unionByName(leaf_line)
@@ -136,7 +135,6 @@ def insights(nodes: DataFrame, model_id: int = 0, per_class: int = 3, rules_per_
     order), up to ``rules_per_path`` rules naming age, gender, package or spending;
     plus high-risk churn segments (confidence > 0.7)."""
     ip = important_paths(nodes, model_id)
-    kw = [F.lower(F.lit("")) for _ in ()]
     def has_kw(r):
         cond = F.lit(False)
         for k in INSIGHT_KEYWORDS:
@@ -150,7 +148,6 @@ def insights(nodes: DataFrame, model_id: int = 0, per_class: int = 3, rules_per_
     risk = ip.filter((F.col("prediction") == CLASS_NAMES[1]) & (F.col("confidence") > HIGH_RISK_CONFIDENCE)).select(
         F.lit("high_risk_segment").alias("kind"), "leaf_id", "share", "confidence",
         F.array().cast("array<string>").alias("key_rules"))
-    del kw
     return factors.unionByName(risk)
 
 

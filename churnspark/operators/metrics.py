@@ -119,13 +119,17 @@ def classification_report(cm: DataFrame) -> DataFrame:
     f1_1, f1_0 = safe_div(2 * tp, 2 * tp + fp + fn), safe_div(2 * tn, 2 * tn + fn + fp)
     s0, s1 = tn + fp, tp + fn
     n = s0 + s1
+    def row(name, p, r, f, sup):
+        return F.struct(F.lit(name).alias("class"), p.alias("precision"), r.alias("recall"),
+                        f.alias("f1"), sup.alias("support"))
+    acc = safe_div(tp + tn, n)
     rows = F.array(
-        F.struct(F.lit("0").alias("class"), p0.alias("precision"), r0.alias("recall"), f1_0.alias("f1"), s0.alias("support")),
-        F.struct(F.lit("1"), p1, r1, f1_1, s1),
-        F.struct(F.lit("macro avg"), (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, n),
-        F.struct(F.lit("weighted avg"), safe_div(p0 * s0 + p1 * s1, n), safe_div(r0 * s0 + r1 * s1, n),
-                 safe_div(f1_0 * s0 + f1_1 * s1, n), n),
-        F.struct(F.lit("accuracy"), safe_div(tp + tn, n), safe_div(tp + tn, n), safe_div(tp + tn, n), n),
+        row("0", p0, r0, f1_0, s0),
+        row("1", p1, r1, f1_1, s1),
+        row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, n),
+        row("weighted avg", safe_div(p0 * s0 + p1 * s1, n), safe_div(r0 * s0 + r1 * s1, n),
+            safe_div(f1_0 * s0 + f1_1 * s1, n), n),
+        row("accuracy", acc, acc, acc, n),
     )
     out = cm.select(F.inline(rows))
     return out.select("class", *[round6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")],
