@@ -25,6 +25,7 @@ above ``max_depth``. Sibling leaves with the same class are kept apart.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from dataclasses import asdict, dataclass, field
@@ -244,8 +245,13 @@ def _binned_vector(features: list[str], edges: dict[int, list[float]]) -> Column
 
 
 def fit_tree(df: DataFrame, features: list[str], label: str = "label", params: TreeParams | None = None,
-             model_col: str | None = None, weight_col: str | None = None) -> TreeModel:
-    """grow one tree per distinct ``model_col`` value (or a single tree)."""
+             model_col: str | None = None, weight_col: str | None = None,
+             model_params: dict[int, TreeParams] | None = None) -> TreeModel:
+    """grow one tree per distinct ``model_col`` value (or a single tree).
+
+    ``model_params`` gives a model its own criterion / leaf size / feature
+    subset / depth; all models still grow together, one job sequence per level.
+    """
     params = params or TreeParams()
     spark = df.sparkSession
     crit = params.criterion
@@ -266,7 +272,7 @@ def fit_tree(df: DataFrame, features: list[str], label: str = "label", params: T
     base = df.select(model.cast("bigint").alias("m"), y.alias("y"), w.alias("w"), x.alias("x")).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        return _grow(spark, base, features, params, crit, p, cw)
+        return _grow(spark, base, features, params, crit, p, cw, model_params or {})
     finally:
         base.unpersist()
 
@@ -280,42 +286,48 @@ def _weighted(cw, m: Column, n0: Column, n1: Column, s0: Column, s1: Column) ->
     return n0 * F.coalesce(c0, F.lit(0.0)), n1 * F.coalesce(c1, F.lit(0.0))
 
 
-def _grow(spark, base: DataFrame, features: list[str], params: TreeParams, crit: str, p: int, cw=None) -> TreeModel:
+def _grow(spark, base: DataFrame, features: list[str], params: TreeParams, crit: str, p: int, cw=None,
+          model_params: dict | None = None) -> TreeModel:
+    model_params = model_params or {}
     agg = base.groupBy("m").agg(F.count(F.lit(1)).alias("n"),
                                 F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"),
                                 F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("s0"),
                                 F.sum(F.when(F.col("y") == 1, F.col("w")).otherwise(0.0)).alias("s1"))
     w0, w1 = _weighted(cw, F.col("m"), F.col("n0"), F.col("n1"), F.col("s0"), F.col("s1"))
     root = agg.select("m", "n", w0.alias("w0"), w1.alias("w1")).collect()
+
+    def pp(m: int) -> TreeParams:
+        return model_params.get(m, params)
+
     nodes: dict[tuple[int, int], dict] = {}
     for r in root:
-        nodes[(r["m"], 1)] = _node(r["m"], 1, None, 0, "root", r["n"], r["w0"], r["w1"], crit)
+        nodes[(r["m"], 1)] = _node(r["m"], 1, None, 0, "root", r["n"], r["w0"], r["w1"], pp(r["m"]).criterion)
     splits: dict[tuple[int, int], tuple[int, float]] = {}
-    k_feat = _n_max_features(params.max_features, p)
     frontier = list(nodes)
-    limit = params.depth_limit
+    limit = max([params.depth_limit] + [q.depth_limit for q in model_params.values()])
     for depth in range(limit):
-        active = [k for k in frontier if _splittable(nodes[k], params)]
+        active = [k for k in frontier if depth < pp(k[0]).depth_limit and _splittable(nodes[k], pp(k[0]))]
         if not active:
             break
-        best = _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat, cw)
+        best = _best_splits(base, splits, depth, active, nodes, params, crit, p, None, cw, model_params, limit)
         frontier = []
         for (m, nid), b in best.items():
+            q = pp(m)
             parent = nodes[(m, nid)]
             W = parent["w0"] + parent["w1"]
             lw0, lw1 = b["lw0"], b["lw1"]
             rw0, rw1 = parent["w0"] - lw0, parent["w1"] - lw1
             ln, rn = b["ln"], parent["n"] - b["ln"]
-            li, ri = impurity(lw0, lw1, crit), impurity(rw0, rw1, crit)
+            li, ri = impurity(lw0, lw1, q.criterion), impurity(rw0, rw1, q.criterion)
             decrease = W * parent["impurity"] - (lw0 + lw1) * li - (rw0 + rw1) * ri
             root_w = nodes[(m, 1)]["w0"] + nodes[(m, 1)]["w1"]
-            if decrease / root_w + 1e-16 < params.min_impurity_decrease:
+            if decrease / root_w + 1e-16 < q.min_impurity_decrease:
                 continue
             splits[(m, nid)] = (b["fidx"], b["thr"])
             parent.update(is_leaf=False, feature_idx=b["fidx"], feature=features[b["fidx"]],
                           threshold=b["thr"], decrease=decrease)
-            nodes[(m, 2 * nid)] = _node(m, 2 * nid, nid, depth + 1, "left", ln, lw0, lw1, crit)
-            nodes[(m, 2 * nid + 1)] = _node(m, 2 * nid + 1, nid, depth + 1, "right", rn, rw0, rw1, crit)
+            nodes[(m, 2 * nid)] = _node(m, 2 * nid, nid, depth + 1, "left", ln, lw0, lw1, q.criterion)
+            nodes[(m, 2 * nid + 1)] = _node(m, 2 * nid + 1, nid, depth + 1, "right", rn, rw0, rw1, q.criterion)
             frontier += [(m, 2 * nid), (m, 2 * nid + 1)]
     return TreeModel(list(features), params, list(nodes.values()))
 
@@ -334,22 +346,27 @@ def _splittable(node: dict, params: TreeParams) -> bool:
             and node["impurity"] > 2.220446049250313e-16)
 
 
-def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat, cw=None) -> dict:
+def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat, cw=None,
+                 model_params=None, route_levels=None) -> dict:
+    model_params = model_params or {}
+
+    def pp(m):
+        return model_params.get(m, params)
     # Same plan shape at every level (route through the full depth limit; the
     # splits and the open-node set are map literals passed by reference), so
     # the generated code compiles once and is reused by later levels.
     active_map = _long_map({(m << KEY_SHIFT) + n: True for m, n in active}, "boolean")
-    routed = route(base, splits, params.depth_limit, F.col("x"), F.col("m"))
+    routed = route(base, splits, route_levels or params.depth_limit, F.col("x"), F.col("m"))
     key = _key(F.col("m"), F.col("node"))
     routed = routed.withColumn("k", key).filter(F.element_at(active_map, F.col("k")).isNotNull())
     long = routed.select("k", "y", "w", F.posexplode("x").alias("f", "v"))
-    if k_feat < p:
-        # per-node feature subset: the k_feat features with the smallest md5(seed:model:node:f)
+    subset = {(m, n): _n_max_features(pp(m).max_features, p) for m, n in active}
+    if any(v < p for v in subset.values()):
+        # per-node feature subset: the k features with the smallest md5(seed:model:node:f)
         allowed = {}
-        for (m, n) in active:
-            ranked = sorted(range(p), key=lambda f: __import__("hashlib").md5(
-                f"{params.seed}:{m}:{n}:{f}".encode()).hexdigest())
-            allowed[(m << KEY_SHIFT) + n] = sorted(ranked[:k_feat])
+        for (m, n), kf in subset.items():
+            ranked = sorted(range(p), key=lambda f: hashlib.md5(f"{pp(m).seed}:{m}:{n}:{f}".encode()).hexdigest())
+            allowed[(m << KEY_SHIFT) + n] = sorted(ranked[:kf])
         amap = F.map_from_arrays(F.array(*[F.lit(k).cast("bigint") for k in allowed]),
                                  F.array(*[F.array(*[F.lit(f) for f in v]) for v in allowed.values()]))
         long = long.filter(F.array_contains(F.element_at(amap, F.col("k")), F.col("f")))
@@ -372,7 +389,11 @@ def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat, cw
     cand = cand.withColumn("lw0", lw0c).withColumn("lw1", lw1c)
     N, W0, W1 = F.element_at(tn, F.col("k")), F.element_at(tw0, F.col("k")), F.element_at(tw1, F.col("k"))
     rn, rw0, rw1 = N - F.col("ln"), W0 - F.col("lw0"), W1 - F.col("lw1")
-    msl = params.min_samples_leaf
+    models = sorted({m for m, _ in active})
+    msl = F.element_at(_long_map({m: pp(m).min_samples_leaf for m in models}, "bigint"),
+                       F.shiftright(F.col("k"), KEY_SHIFT))
+    gini = F.element_at(_long_map({m: pp(m).criterion == "gini" for m in models}, "boolean"),
+                        F.shiftright(F.col("k"), KEY_SHIFT))
     if params.max_bins:
         thr = F.col("v")
         gap_ok = F.col("nv").isNotNull()
@@ -381,9 +402,15 @@ def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat, cw
         thr = F.when((thr == F.col("nv")) | F.isnan(thr), F.col("v")).otherwise(thr)
         gap_ok = F.col("nv") > F.col("v") + FEATURE_THRESHOLD
     lw, rw = F.col("lw0") + F.col("lw1"), rw0 + rw1
-    gain = (F.element_at(timp, F.col("k"))
-            - lw / (W0 + W1) * _impurity_expr(F.col("lw0"), F.col("lw1"), crit)
-            - rw / (W0 + W1) * _impurity_expr(rw0, rw1, crit))
+    def gain_for(criterion):
+        return (F.element_at(timp, F.col("k"))
+                - lw / (W0 + W1) * _impurity_expr(F.col("lw0"), F.col("lw1"), criterion)
+                - rw / (W0 + W1) * _impurity_expr(rw0, rw1, criterion))
+    crits = {pp(m).criterion for m in models}
+    if len(crits) == 1:
+        gain = gain_for(crits.pop())
+    else:
+        gain = F.when(gini, gain_for("gini")).otherwise(gain_for("entropy"))
     valid = cand.filter(gap_ok & (F.col("ln") >= msl) & (rn >= msl))
     scored = valid.select("k", F.col("f"), thr.alias("thr"), "ln", "lw0", "lw1", gain.alias("gain"))
     order = F.struct(F.round(F.col("gain"), GAIN_DIGITS), -F.col("f"), -F.col("thr"))
