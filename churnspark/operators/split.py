@@ -22,7 +22,7 @@ def class_counts(df: DataFrame, target: str) -> dict:
     return {r[0]: r[1] for r in df.groupBy(target).count().collect()}
 
 
-def test_quotas(counts: dict, test_size: float = 0.2) -> dict:
+def split_quotas(counts: dict, test_size: float = 0.2) -> dict:
     """Per-class test rows: ``n_test = ceil(test_size * n)`` shared by largest remainder.
 
     Each class gets ``floor(n_test * n_c / n)``; the leftover rows go to the
@@ -44,7 +44,7 @@ def test_quotas(counts: dict, test_size: float = 0.2) -> dict:
 def stratified_split(df: DataFrame, target: str, key: str = "id", test_size: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """Return ``df`` plus boolean ``is_test``; exactly ``quota[c]`` test rows per class."""
-    quotas = test_quotas(class_counts(df, target), test_size)
+    quotas = split_quotas(class_counts(df, target), test_size)
     h = F.substring(hash_key(seed, F.col(key)), 1, HASH_DIGITS)
     ranked = rank_within(df, target, [h, F.col(key)], name="__r")
     q = F.create_map(*[x for c, v in quotas.items() for x in (F.lit(c), F.lit(v))])
