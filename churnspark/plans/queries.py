@@ -334,3 +334,111 @@ QUERIES = {
     "j8_tiers": q_tiers,
     "j9_tier_summary": q_tier_summary,
 }
+
+
+# ------------------------------------------------ rows-only registered queries --
+def tree5(spark, d):
+    """Depth-5 tree on the SMOTE-resampled train split (the reference's defaults)."""
+    def build():
+        from churnspark.operators.balance import smote as _smote
+        pm = prep(spark, d)
+        res = _smote(train_enc(spark, d), pm.feature_names, "label", "id").persist(StorageLevel.MEMORY_AND_DISK)
+        return fit_tree(res, pm.feature_names, "label", TreeParams())
+    return _memo(spark, d, "tree5", build)
+
+
+def q_cross_validate(spark, d):
+    from churnspark.operators.search import cross_validate
+    return cross_validate(train_enc(spark, d), prep(spark, d).feature_names, "label", TreeParams())["summary"]
+
+
+def q_pruning(spark, d):
+    from churnspark.operators.search import optimise_pruning, pruning_path
+    m = tree5(spark, d)
+    res = optimise_pruning(m, test_enc(spark, d))
+    rows = [(i, float(a), float(imp), a in res["alphas"], a == res["best_alpha"])
+            for i, (a, imp) in enumerate(pruning_path(m))]
+    return spark.createDataFrame(rows, "step int, alpha double, impurity double, sampled boolean, best boolean")
+
+
+def q_model_card(spark, d):
+    from churnspark.operators.search import model_card
+    return model_card(spark, tree5(spark, d), len(prep(spark, d).feature_names))
+
+
+def q_top_features(spark, d):
+    return G.top_features(G.feature_importance(tree5(spark, d).nodes_df(spark), dictionary(spark, d)), 10)
+
+
+def q_importance_stats(spark, d):
+    return G.importance_stats(G.feature_importance(tree5(spark, d).nodes_df(spark), dictionary(spark, d)))
+
+
+def q_cumulative_selection(spark, d):
+    return G.cumulative_selection(G.feature_importance(tree5(spark, d).nodes_df(spark), dictionary(spark, d)))
+
+
+def q_important_paths(spark, d):
+    p = H.important_paths(tree5(spark, d).nodes_df(spark))
+    return p.select("rank", "leaf_id", F.array_join("rules", " -> ").alias("path"), "samples", "share",
+                    "prediction", "confidence")
+
+
+def q_path_summary(spark, d):
+    return H.path_summary(tree5(spark, d).nodes_df(spark), len(prep(spark, d).feature_names))
+
+
+def q_insights(spark, d):
+    return H.insights(tree5(spark, d).nodes_df(spark)).select(
+        "kind", "leaf_id", "share", "confidence", F.array_join("key_rules", ", ").alias("key_rules"))
+
+
+def q_depth_limited(spark, d):
+    return H.depth_limited(tree5(spark, d).nodes_df(spark), 2)
+
+
+def q_batch_scoring(spark, d):
+    """Every customer of the cleaned frame scored by the depth-5 tree into tiers."""
+    pm = prep(spark, d)
+    everyone = split(spark, d).select("id", *pm.feature_exprs())
+    scored = tree5(spark, d).predict(everyone)
+    return J.label_and_tier(scored.select("id", J.clamp01(F.col("p1")).alias("p1")))
+
+
+def q_key_metrics(spark, d):
+    pred = tree5(spark, d).predict(test_enc(spark, d))
+    m = M.summary_row(pred)
+    st = H.tree_stats(tree5(spark, d).nodes_df(spark), len(pm_names(spark, d)))
+    return I.key_metrics(m, M.confusion(pred), st)
+
+
+def pm_names(spark, d):
+    return prep(spark, d).feature_names
+
+
+def q_deployment_report(spark, d):
+    pred = tree5(spark, d).predict(test_enc(spark, d))
+    return I.deployment_report(M.summary_row(pred))
+
+
+def q_campaign_targets(spark, d):
+    """The 100 highest-risk customers (a top-k report)."""
+    return J.campaign_targets(q_batch_scoring(spark, d), 100)
+
+
+QUERIES.update({
+    "f6_cross_validate": q_cross_validate,
+    "f12_pruning": q_pruning,
+    "f13_model_card": q_model_card,
+    "g13_top_features": q_top_features,
+    "g14_importance_stats": q_importance_stats,
+    "g15_cumulative_selection": q_cumulative_selection,
+    "h5_important_paths": q_important_paths,
+    "h7_path_summary": q_path_summary,
+    "h10_insights": q_insights,
+    "h12_depth_limited": q_depth_limited,
+    "i7_key_metrics": q_key_metrics,
+    "i9_deployment_report": q_deployment_report,
+    "j6_batch_scoring": q_batch_scoring,
+    "j9_campaign_targets": q_campaign_targets,
+})
