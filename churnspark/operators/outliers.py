@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.operators.quantiles import quantiles
+from churnspark.operators.quantiles import GATHER_LIMIT, quantiles
 
 
 def iqr_bounds(df: DataFrame, cols: list[str], threshold: float = 1.5,
@@ -100,6 +100,28 @@ def remove_outliers(df: DataFrame, cols: list[str], method: str = "iqr", thresho
         for c in cols:
             lo, hi = bounds[c]
             current = current.filter(F.col(c).between(lo, hi))
+    elif not approx and rows_before <= GATHER_LIMIT:
+        # One job per column: the quantiles of column k and, over the same rows
+        # (the survivors of k-1), the count that closes step k-1.
+        prev_nonnull, remaining = None, rows_before
+        for i, c in enumerate(cols):
+            row = current.agg(F.percentile(F.col(c).cast("double"), [0.25, 0.75]).alias("q"),
+                              F.count(F.lit(1)).alias("rows"), F.count(F.col(c)).alias("nonnull")).first()
+            if i > 0:
+                remaining = int(row["rows"])
+                counts[cols[i - 1]] = prev_nonnull - remaining
+                steps[-1].update(outliers=counts[cols[i - 1]], rows_after=remaining)
+            lo = hi = None
+            if row["q"] is not None:
+                q1, q3 = row["q"]
+                lo, hi = q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1)
+            bounds[c] = (lo, hi)
+            prev_nonnull = int(row["nonnull"])
+            steps.append({"ordinal": i, "column": c, "lower": lo, "upper": hi, "outliers": 0, "rows_after": 0})
+            current = current.filter(F.col(c).between(lo, hi)) if lo is not None else current.filter(F.lit(False))
+        remaining = current.count()
+        counts[cols[-1]] = prev_nonnull - remaining if bounds[cols[-1]][0] is not None else 0
+        steps[-1].update(outliers=counts[cols[-1]], rows_after=remaining)
     else:
         remaining = rows_before
         for i, c in enumerate(cols):
