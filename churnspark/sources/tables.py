@@ -74,7 +74,9 @@ def churn_frame(spark: SparkSession, sf_dir: str, horizon_days: int = 365) -> Da
              .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("qty"),
                   F.count_if(F.col("l_returnflag") == "R").alias("ret")))
 
-    before = F.col("d") < cut
+    # the cut-off flag is projected once, so the scalar subquery runs once
+    orders = orders.withColumn("before", F.col("d") < cut)
+    before = F.col("before")
     per_customer = (
         orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
         .groupBy("o_custkey")
