@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +63,21 @@ def digest(text: Column) -> Column:
 def words_of(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8; ``bytes.split`` cuts at exactly those six characters."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
+
+
+def per_text(spark: SparkSession, schema: str,
+             f: Callable[[str | None], tuple]) -> Callable[[Column], Column]:
+    """A column function that applies ``f`` to each text and gives a struct of ``schema`` (``"a long, b string"``).
+
+    Texts travel in Arrow batches of bounded size; ``f`` sees one whole text at a time."""
+    small_batches(spark)
+    kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
+    fields = [(name, kinds[kind]) for name, kind in (x.split() for x in schema.split(", "))]
+
+    @F.arrow_udf(schema)
+    def applied(texts: pa.Array) -> pa.Array:
+        rows = [f(x.as_py()) for x in texts]
+        columns = zip(*rows) if rows else [()] * len(fields)
+        return pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
+
+    return applied

@@ -27,12 +27,11 @@ import math
 import re
 from collections import Counter
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from churnspark.llm.common import col, small_batches
+from churnspark.llm.common import col, per_text
 
 WORD = re.compile(r"[^\W\d_]+")
 CACHE = 300_000
@@ -149,16 +148,14 @@ def training_text(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_c
 
 def identify(docs: DataFrame, training: dict[str, str], text_col: str = "text", out: str = "language") -> DataFrame:
     """``docs`` with a struct column ``out``: ``lang_pred`` and ``score``."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(training)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def guess(texts: pd.Series) -> pd.DataFrame:
+    def predicted(text: str | None) -> tuple[str, float]:
         parser = _PARSERS.get(id(shared.value))
         if parser is None:
             _PARSERS.clear()
             parser = _PARSERS[id(shared.value)] = CrossParser(shared.value)
-        return pd.DataFrame([parser.predict(t if isinstance(t, str) else None) for t in texts.tolist()],
-                            columns=["lang_pred", "score"])
+        return parser.predict(text)
 
+    guess = per_text(docs.sparkSession, "lang_pred string, score double", predicted)
     return docs.withColumn(out, guess(col(text_col)))

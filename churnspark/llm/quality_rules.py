@@ -26,11 +26,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import col, fresh, small_batches
+from churnspark.llm.common import col, fresh, per_text
 
 # Phrases of notices, banners and placeholders, compared without case.
 BOILERPLATE = (
@@ -124,13 +123,7 @@ def judge(text: str | None, rules: Rules = Rules()) -> tuple:
 
 def quality_rules(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(), out: str = "quality") -> DataFrame:
     """``docs`` with a struct column ``out`` of ``SCHEMA`` (counts, verdict and the text without failing lines)."""
-    small_batches(docs.sparkSession)
-    names = [f.split()[0] for f in SCHEMA.split(", ")]
-
-    @F.pandas_udf(SCHEMA)
-    def judged(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([judge(t if isinstance(t, str) else None, rules) for t in texts.tolist()], columns=names)
-
+    judged = per_text(docs.sparkSession, SCHEMA, lambda text: judge(text, rules))
     return docs.withColumn(out, judged(col(text_col)))
 
 

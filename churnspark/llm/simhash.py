@@ -33,7 +33,7 @@ each. An empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,10 +68,9 @@ def fingerprints(docs: DataFrame, text_col: str, out: str, shingle: int = SHINGL
     """``docs`` with a signed 64-bit fingerprint column ``out``."""
     small_batches(docs.sparkSession)
 
-    @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        values = [fingerprint(t if isinstance(t, str) else None, shingle) for t in texts.tolist()]
-        return pd.Series(np.array(values, np.uint64).view(np.int64))
+    @F.arrow_udf("long")
+    def fp(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64).view(np.int64))
 
     return docs.withColumn(out, fp(col(text_col)))
 
