@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnspark.llm import language_id, packing, quality_rules, simhash
-from churnspark.llm.common import crc32_of_id, table
+from churnspark.llm import decontamination, language_id, line_dedup, packing, quality_rules, secret_scan, simhash
+from churnspark.llm.common import crc32_of_id, digest, table
+
+
+def op2_decontamination(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, d, "benchmark").select("item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest(F.array_join("items", ",")).alias("items_sha256"),
+                        "contaminated")
 
 
 def op3_simhash(spark, d):
@@ -13,6 +20,18 @@ def op3_simhash(spark, d):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_secret_scan(spark, d):
+    found = secret_scan.secret_spans(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+    base = F.filter("secrets", lambda s: s["kind_no"] < 3)
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in secret_scan.KINDS]
+    return found.select("doc_id", *counts, digest(secret_scan.listing(base)).alias("base_sha256"),
+                        secret_scan.listing(F.col("secrets")).alias("spans"))
+
+
 def op7_quality_rules(spark, d):
     q = quality_rules.quality_rules(table(spark, d, "documents").select("doc_id", "text"))
     return q.select("doc_id", *[f"quality.{c}" for c in (
@@ -20,6 +39,13 @@ def op7_quality_rules(spark, d):
         "n_removed_lines", "n_lost_words")])
 
 
+def op8_line_dedup(spark, d):
+    done = line_dedup.remove_repeated(table(spark, d, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "dedup.n_lines", "dedup.n_removed", "dedup.n_chunks",
+                       F.char_length("dedup.text").cast("long").alias("kept_chars"),
+                       digest(F.coalesce("dedup.text", F.lit(""))).alias("kept_sha256"))
+
+
 def op9_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), packing.tokenizer_path())
 
@@ -33,8 +59,11 @@ def op10_language_id(spark, d):
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
 }
