@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnspark.llm import decontamination, language_id, line_dedup, packing, quality_rules, secret_scan, simhash
+from churnspark.llm import decontamination, language_id, line_dedup, packing, quality_rules, secret_scan, simhash, substring_dedup
 from churnspark.llm.common import crc32_of_id, digest, table
 
 
@@ -20,6 +20,11 @@ def op3_simhash(spark, d):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_substring_dedup(spark, d):
+    done = substring_dedup.remove_substrings(table(spark, d, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", digest(F.col("kept")).alias("kept_sha256"))
+
+
 def op6_secret_scan(spark, d):
     found = secret_scan.secret_spans(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "secrets")
     base = F.filter("secrets", lambda s: s["kind_no"] < 3)
@@ -61,6 +66,7 @@ def op10_language_id(spark, d):
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
     "op8_line_dedup": op8_line_dedup,
