@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnspark.llm import decontamination, language_id, line_dedup, packing, quality_rules, secret_scan, simhash, substring_dedup
+from churnspark.llm import decontamination, language_id, line_dedup, packing, pii, quality_rules, secret_scan, simhash, substring_dedup, suffix_tree_lm
 from churnspark.llm.common import crc32_of_id, digest, table
 
 
+def op1_pii(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = pii.personal_data(docs, pii.train(docs))
+    return found.select("doc_id", "pii.n_email", "pii.n_ip", "pii.n_card", "pii.n_phone", digest(F.col("pii.base")).alias("base_sha256"),
+                        "pii.spans", "pii.n_added")
+
+
 def op2_decontamination(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     found = decontamination.contamination(docs, table(spark, d, "benchmark").select("item_id", "text"))
@@ -20,6 +27,11 @@ def op3_simhash(spark, d):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_suffix_tree_lm(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return suffix_tree_lm.score(docs, F.pmod(crc32_of_id(F.col("doc_id")), F.lit(10)) == 0)
+
+
 def op5_substring_dedup(spark, d):
     done = substring_dedup.remove_substrings(table(spark, d, "documents"))
     return done.select("doc_id", "n_words", "n_removed", digest(F.col("kept")).alias("kept_sha256"))
@@ -64,8 +76,10 @@ def op10_language_id(spark, d):
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op4_suffix_tree_lm": op4_suffix_tree_lm,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
