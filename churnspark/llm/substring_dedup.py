@@ -32,6 +32,7 @@ nothing. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +41,8 @@ from pyspark.sql import functions as F
 
 from churnspark.llm.common import col, cut_lineage, fresh, small_batches, words_of
 
-MIN_WORDS, GRAM, GROUP_LIMIT = 20, 6, 20_000
-_BASE, _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_POWERS = np.cumprod(np.full(64, _BASE))
+MIN_WORDS, GRAM, GROUP_LIMIT = 20, 6, 200_000
+_MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -52,34 +50,32 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of every word, in one pass over the bytes."""
-    global _POWERS
-    data = np.frombuffer(text, np.uint8)
-    inside = ~_SPACE[data]
-    edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
-    starts = np.flatnonzero(edge == 1)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    at = np.arange(len(data)) - np.repeat(starts, np.diff(starts, append=len(data))) if starts[0] == 0 else (
-        np.arange(len(data)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts], append=len(data))))
-    if (top := int(at.max()) + 1) > len(_POWERS):
-        _POWERS = np.cumprod(np.full(2 * top, _BASE))
-    value = np.where(inside, (data.astype(np.uint64) + np.uint64(1)) * _POWERS[at], np.uint64(0))
-    return _mixed(np.add.reduceat(value, starts))
-
-
-def stretches(text: bytes, min_words: int = MIN_WORDS, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _leftmost_least(g: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest of every ``width`` neighbours (by the upper 40 bits, the leftmost of equals)."""
+    high = g >> np.uint64(24)
+    if len(g) > 1 << 24:
+        return np.arange(len(g) - width + 1) + np.lib.stride_tricks.sliding_window_view(high, width).argmin(axis=1)
+    key = (high << np.uint64(24)) | np.arange(len(g), dtype=np.uint64)
+    step = 1
+    while 2 * step <= width:  # key[i] covers ``step`` places from i
+        key = np.minimum(key[:-step], key[step:])
+        step *= 2
+    rest = width - step
+    key = np.minimum(key[:-rest], key[rest:]) if rest else key
+    return (key & np.uint64((1 << 24) - 1)).astype(np.int64)
+
+
+def stretches(words: list[bytes], min_words: int = MIN_WORDS, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(anchor hash, first window, windows)`` of the runs of windows that share an anchor."""
-    h = word_hashes(text)
-    if len(h) < min_words:
+    if len(words) < min_words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    n, g = len(h) - gram + 1, np.zeros(len(h) - gram + 1, np.uint64)
+    h = np.fromiter(map(crc32, words), np.uint64, len(words))
+    n = len(h) - gram + 1
+    g = np.zeros(n, np.uint64)
     for j in range(gram):
         g = g * _STEP + h[j:j + n]
     g = _mixed(g)
-    windows = np.lib.stride_tricks.sliding_window_view(g, min_words - gram + 1)
-    anchor = np.arange(len(windows)) + windows.argmin(axis=1)
+    anchor = _leftmost_least(g, min_words - gram + 1)
     first = np.flatnonzero(np.diff(anchor, prepend=-1))
     return g[anchor[first]].view(np.int64), first, np.diff(first, append=len(anchor))
 
@@ -130,8 +126,7 @@ def _anchored(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
         for batch in batches:
             parts, rows = [], []
             for i, text in enumerate(batch.column(2)):
-                data = text.as_py()
-                g, first, size = stretches(data.encode("utf-8", "surrogatepass"), min_words, gram) if data else ((), (), ())
+                g, first, size = stretches(words_of(text.as_py()), min_words, gram)
                 if len(g):
                     parts.append((g, first, size))
                     rows.append(np.full(len(g), i))
@@ -147,29 +142,24 @@ def _anchored(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
 
 def _cut_out(met: DataFrame, min_words: int) -> DataFrame:
     """The words of the stretches of every text."""
-    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, th, text, list_ in zip(*[c for c in batch.columns]):
-                words, out = words_of(text.as_py()), []
-                for x in list_.as_py():
-                    out.append((x["g"], x["n"], x["start"], x["size"], b" ".join(words[x["start"]:x["start"] + x["size"] + min_words - 1])))
-                g, n, start, size, body = zip(*out)
-                k = len(out)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g, pa.int64()), pa.array(n, pa.int64()), pa.array([doc.as_py()] * k, pa.int64()),
-                     pa.array([th.as_py()] * k, pa.int64()), pa.array(start, pa.int64()), pa.array(size, pa.int64()),
-                     pa.array(body, pa.binary())], names=["g", "n", "doc_id", "th", "start", "size", "body"])
-
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in bodies(batches):  # one output batch for many documents
-            held.append(b)
-            size += b.nbytes
-            if size > 4_000_000:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, size = [], 0
-        if held:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        for batch in batches:
+            lists = batch.column(3)
+            bounds, flat = lists.offsets.to_numpy(), lists.values
+            starts, sizes = flat.field("start").to_numpy().tolist(), flat.field("size").to_numpy().tolist()
+            body = []
+            for text, a, b in zip(batch.column(2), bounds[:-1].tolist(), bounds[1:].tolist()):
+                words = words_of(text.as_py())
+                joined = b" ".join(words)
+                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1).tolist()  # one behind each word's end
+                for first, size in zip(starts[a:b], sizes[a:b]):
+                    body.append(joined[ends[first - 1] if first else 0:ends[first + size + min_words - 2] - 1])
+            rows = pa.array(np.repeat(np.arange(len(batch)), np.diff(bounds)))
+            at = pa.array(np.arange(bounds[0], bounds[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [flat.field("g").take(at), flat.field("n").take(at), batch.column(0).take(rows), batch.column(1).take(rows),
+                 flat.field("start").take(at), flat.field("size").take(at), pa.array(body, pa.binary())],
+                names=["g", "n", "doc_id", "th", "start", "size", "body"])
 
     return met.mapInArrow(packed, "g long, n long, doc_id long, th long, start long, size long, body binary")
 
@@ -240,7 +230,7 @@ def remove_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     cut = _cut_out(own.join(met, by_doc).select("doc_id", "th", "text", "list"), min_words)
     repeats = _in_groups(cut.filter(F.col("n") <= group_limit), min_words)
     if often.filter(F.col("n") > group_limit).limit(1).count():
-        repeats = repeats.union(_by_window(cut.filter(F.col("n") > group_limit), min_words))
+        repeats = repeats.union(_by_window(cut_lineage(cut.filter(F.col("n") > group_limit)), min_words))
     places = repeats.groupBy(F.col("doc_id").alias("d2"), F.col("th").alias("t2")).agg(
         F.collect_list(F.struct("start", "size")).alias("places"))
     joined = own.join(places, by_doc, "left").select("doc_id", "text", "places")
