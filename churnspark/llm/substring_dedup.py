@@ -221,7 +221,10 @@ def remove_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)``, one row for each row of ``docs``."""
     small_batches(docs.sparkSession)
-    own = docs.select(col(id_col).cast("long").alias("doc_id"), F.xxhash64(col(text_col)).alias("th"), col(text_col).alias("text"))
+    own = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
+    # The text's hash tells rows that share an id apart; where ids are unique a constant saves moving it.
+    shared = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+    own = own.select("doc_id", (F.xxhash64("text") if shared else F.lit(0).cast("long")).alias("th"), "text")
     anchored = _anchored(own, min_words, gram)
     often = cut_lineage(anchored.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     met = anchored.join(often, "g").groupBy(F.col("doc_id").alias("d2"), F.col("th").alias("t2")).agg(
