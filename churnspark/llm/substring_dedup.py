@@ -8,6 +8,9 @@ same distance, so every repeat lies in one group; neighbouring suffixes mostly
 share their anchor and travel together as one stretch of text, about three
 words of text for each suffix instead of twenty.
 
+Texts that an earlier document has whole lose all windows at once and are left
+out below.
+
 1. Anchors are counted by hash. A stretch whose anchor occurs once repeats
    nothing and goes no further (only hashes and positions moved so far).
 2. Texts meet their remaining stretches by document; the stretches' words go to
@@ -39,9 +42,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import col, cut_lineage, fresh, small_batches, words_of
+from churnspark.llm.common import col, cut_lineage, fresh, small_batches, words_of, written
 
 MIN_WORDS, GRAM, GROUP_LIMIT = 20, 6, 200_000
+WHOLE = 1 << 40
 _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -206,13 +210,22 @@ def _by_window(cut: DataFrame, min_words: int) -> DataFrame:
     return again.select("doc_id", "th", "start", F.lit(min_words).cast("long").alias("size"))
 
 
-def removed(text: str | None, places: list[dict]) -> tuple[int, int, str]:
-    """Words, words removed, and the kept words joined by one space."""
+def _copies(docs: DataFrame) -> DataFrame:
+    """``(doc_id, th)`` of texts that an earlier document has whole: all their windows start there."""
+    seen = docs.filter("text is not null").select("doc_id", "th", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.col("th"))
+    first = seen.groupBy(F.col("digest").alias("d")).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return seen.join(first, F.col("digest") == F.col("d")).filter(place > F.col("first")).select("doc_id", "th").distinct()
+
+
+def removed(text: str | None, places: list[dict], min_words: int = MIN_WORDS) -> tuple[int, int, str]:
+    """Words, words removed, and the kept words joined by one space. A place of size ``WHOLE`` covers every window."""
     words = words_of(text)
     gone = bytearray(len(words))
     for x in places:
-        a, b = x["start"], x["start"] + x["size"]
-        gone[a:b] = b"\1" * (b - a)
+        a, b = x["start"], min(x["start"] + x["size"], len(words))
+        if x["size"] != WHOLE or len(words) >= min_words:
+            gone[a:b] = b"\1" * (b - a)
     kept = [w for w, g in zip(words, gone) if not g]
     return len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")
 
@@ -226,21 +239,24 @@ def remove_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     shared = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
     own = own.select("doc_id", (F.xxhash64("text") if shared else F.lit(0).cast("long")).alias("th"), "text")
     anchored = _anchored(own, min_words, gram)
-    often = cut_lineage(anchored.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    often = written(anchored.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    copies = written(_copies(own))
     met = anchored.join(often, "g").groupBy(F.col("doc_id").alias("d2"), F.col("th").alias("t2")).agg(
         F.collect_list(F.struct("g", "n", "start", "size")).alias("list"))
     by_doc = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2"))
+    met = met.join(copies, F.col("d2").eqNullSafe(F.col("doc_id")) & (F.col("t2") == F.col("th")), "left_anti")
     cut = _cut_out(own.join(met, by_doc).select("doc_id", "th", "text", "list"), min_words)
     repeats = _in_groups(cut.filter(F.col("n") <= group_limit), min_words)
     if often.filter(F.col("n") > group_limit).limit(1).count():
         repeats = repeats.union(_by_window(cut_lineage(cut.filter(F.col("n") > group_limit)), min_words))
+    repeats = repeats.union(copies.select("doc_id", "th", F.lit(0).cast("long"), F.lit(WHOLE).cast("long")))
     places = repeats.groupBy(F.col("doc_id").alias("d2"), F.col("th").alias("t2")).agg(
         F.collect_list(F.struct("start", "size")).alias("places"))
     joined = own.join(places, by_doc, "left").select("doc_id", "text", "places")
 
     @F.arrow_udf("n_words long, n_removed long, kept string")
     def kept(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        rows = [removed(t.as_py(), x.as_py() or []) for t, x in zip(texts, lists)]
+        rows = [removed(t.as_py(), x.as_py() or [], min_words) for t, x in zip(texts, lists)]
         n, gone, rest = zip(*rows) if rows else ((), (), ())
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(rest, pa.string())],
                                           ["n_words", "n_removed", "kept"])
