@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import col, cut_lineage, fresh
+from churnspark.llm.common import col, cut_lineage, fresh, written
 
 WINDOW, DIVISOR = 3, 3
 
@@ -71,8 +71,9 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``(doc_id, th, start, size)`` of every chunk that is to go; ``th`` is the text's XXH64."""
     own = docs.filter(col(text_col).isNotNull()).select(col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("th"), col(text_col).alias("text"))
     pieces = _pieces(own, window, divisor).withColumn("digest", F.md5(F.col("body").cast("binary")))
-    often = pieces.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    met = cut_lineage(pieces.join(often, "digest", "left_semi"))
+    # written first, so that the join has a plain shuffle on both sides and a hot digest can be split
+    often = written(pieces.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"))
+    met = cut_lineage(pieces.join(often.hint("merge"), "digest", "left_semi"))
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "th", "start")
     first = met.groupBy(F.col("digest").alias("d"), F.col("body").alias("b")).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     first = first.filter("n > 1").select("d", "b", "first")
