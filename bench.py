@@ -15,14 +15,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from churnspark.operators import metrics as M  # noqa: E402
 from churnspark.operators import score as J  # noqa: E402
 from churnspark.operators.tree import TreeParams, fit_tree  # noqa: E402
 from churnspark.plans.prepare import prepare  # noqa: E402
 from churnspark.session import get_session  # noqa: E402
 from churnspark.sources.tables import churn_frame  # noqa: E402
+from churnspark.streaming.scoring import scoring_plan  # noqa: E402
 
 
 def main() -> None:
@@ -50,8 +49,7 @@ def main() -> None:
     times["evaluate"] = time.time() - t
 
     t = time.time()
-    everyone = prepared.split.select(F.col("id"), F.col("churn").alias("label"), *prepared.model.feature_exprs())
-    scored = J.label_and_tier(model.predict(everyone).withColumn("p1", J.clamp01(F.col("p1"))))
+    scored = scoring_plan(frame, prepared.model, model)
     tiers = J.tier_summary(scored).collect()
     times["score"] = time.time() - t
 

@@ -2,31 +2,32 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.operators.quantiles import GATHER_LIMIT, quantiles
+from churnspark.operators.quantiles import quantiles
+from churnspark.sources.tables import normalise_nan
 
 
 def iqr_bounds(df: DataFrame, cols: list[str], threshold: float = 1.5,
-               approx: bool = False, n_rows: int | None = None) -> dict[str, tuple[float, float]]:
+               approx: bool = False) -> dict[str, tuple[float, float]]:
     """``(Q1 - t*IQR, Q3 + t*IQR)`` per column, all columns in the same passes.
 
-    ``n_rows`` is a row count the caller has already measured; below the
-    gather limit the exact quartiles take a single pass.
+    Infinite quartiles give infinite bounds, so they remove nothing on that side.
     """
-    qs = quantiles(df, cols, [0.25, 0.75], approx=approx, n_rows=n_rows)
+    qs = quantiles(df, cols, [0.25, 0.75], approx=approx)
     out = {}
     for c in cols:
         q1, q3 = qs[c]
         if q1 is None:
             out[c] = (None, None)
             continue
-        iqr = q3 - q1
-        out[c] = (q1 - threshold * iqr, q3 + threshold * iqr)
+        iqr = q3 - q1 if q1 != q3 else 0.0
+        out[c] = (q1 - threshold * iqr if math.isfinite(q1) else q1, q3 + threshold * iqr if math.isfinite(q3) else q3)
     return out
 
 
@@ -86,46 +87,24 @@ def remove_outliers(df: DataFrame, cols: list[str], method: str = "iqr", thresho
     the chained filters fuse into one predicate in the final plan.
     ``mode='joint'``: all bounds from the unfiltered rows in one set of passes.
     Any method other than 'iqr', or ``enabled=False``, passes rows through.
-    A NULL in a checked column fails both comparisons: dropped, not counted.
+    A NULL or NaN in a checked column fails both comparisons: dropped, not counted.
     """
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    base = normalise_nan(df).persist(StorageLevel.MEMORY_AND_DISK)
     rows_before = base.count()
     if not enabled or method != "iqr" or not cols:
         return OutlierResult(base, {}, {}, rows_before, rows_before)
     bounds, counts, steps = {}, {}, []
     current = base
     if mode == "joint":
-        bounds = iqr_bounds(base, cols, threshold, approx, rows_before)
+        bounds = iqr_bounds(base, cols, threshold, approx)
         counts = outlier_counts(base, bounds)
         for c in cols:
             lo, hi = bounds[c]
             current = current.filter(F.col(c).between(lo, hi))
-    elif not approx and rows_before <= GATHER_LIMIT:
-        # One job per column: the quantiles of column k and, over the same rows
-        # (the survivors of k-1), the count that closes step k-1.
-        prev_nonnull, remaining = None, rows_before
-        for i, c in enumerate(cols):
-            row = current.agg(F.percentile(F.col(c).cast("double"), [0.25, 0.75]).alias("q"),
-                              F.count(F.lit(1)).alias("rows"), F.count(F.col(c)).alias("nonnull")).first()
-            if i > 0:
-                remaining = int(row["rows"])
-                counts[cols[i - 1]] = prev_nonnull - remaining
-                steps[-1].update(outliers=counts[cols[i - 1]], rows_after=remaining)
-            lo = hi = None
-            if row["q"] is not None:
-                q1, q3 = row["q"]
-                lo, hi = q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1)
-            bounds[c] = (lo, hi)
-            prev_nonnull = int(row["nonnull"])
-            steps.append({"ordinal": i, "column": c, "lower": lo, "upper": hi, "outliers": 0, "rows_after": 0})
-            current = current.filter(F.col(c).between(lo, hi)) if lo is not None else current.filter(F.lit(False))
-        remaining = current.count()
-        counts[cols[-1]] = prev_nonnull - remaining if bounds[cols[-1]][0] is not None else 0
-        steps[-1].update(outliers=counts[cols[-1]], rows_after=remaining)
     else:
         remaining = rows_before
         for i, c in enumerate(cols):
-            lo, hi = iqr_bounds(current, [c], threshold, approx, remaining)[c]
+            lo, hi = iqr_bounds(current, [c], threshold, approx)[c]
             bounds[c] = (lo, hi)
             if lo is None:
                 nxt = current.filter(F.lit(False))

@@ -14,6 +14,7 @@ two or three.
 from __future__ import annotations
 
 import math
+import sys
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,74 +26,90 @@ def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
             .filter(F.col("x").isNotNull() & ~F.isnan("x")))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    buckets: int = 2048, max_rounds: int = 200) -> dict[str, list[float | None]]:
-    """``{col: [q(p) for p in probs]}`` equal to SQL ``quantile_cont`` / pandas ``quantile``."""
+def _start(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> tuple[dict, dict]:
+    """One pass: per column (rows, least, greatest) and a first window for each wanted rank.
+
+    The windows come from a sketch whose rank error is below ``rows / accuracy``; the
+    first refinement counts the rows below each window, so a window that misses its
+    rank is noticed and widened to the whole column."""
+    margin = 2.0 / accuracy
+    grid = sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - margin, p + margin)})
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 F.percentile_approx(x, grid, accuracy).alias(f"q{i}")]
+    row = df.agg(*aggs).first()
+    stats = {i: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(cols)) if row[f"n{i}"]}
+    wanted: dict[tuple[int, int], list] = {}
+    for i, (n, lo, hi) in stats.items():
+        at = dict(zip(grid, row[f"q{i}"]))
+        for p in probs:
+            a = at[min(1.0, max(0.0, p - margin))] if p > margin else lo
+            b = at[min(1.0, max(0.0, p + margin))] if p < 1 - margin else hi
+            for r in {math.floor(p * (n - 1)), math.ceil(p * (n - 1))}:
+                wanted[(i, r)] = [a, b, None]  # window [a, b]; rows below a: not counted yet
+    return stats, wanted
+
+
+def _bucket(x, a: float, b: float, buckets: int):
+    """Bucket of x in [a, b]: infinities are end buckets of their own, finite values share the rest evenly."""
+    lo = a if math.isfinite(a) else -sys.float_info.max
+    hi = b if math.isfinite(b) else sys.float_info.max
+    span = hi / 2.0 - lo / 2.0
+    inner = F.least(F.floor((x / 2.0 - lo / 2.0) / span * buckets), F.lit(buckets - 1)) if span > 0 else F.lit(0)
+    return (F.when(x < a, -2).when(x == -math.inf, -1).when(x == math.inf, buckets).otherwise(inner)).cast("int")
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 2048, max_rounds: int = 200,
+                    accuracy: int = 10_000) -> dict[str, list[float | None]]:
+    """``{col: [q(p) for p in probs]}`` equal to SQL ``quantile_cont`` / pandas ``quantile``; NULL and NaN are left out,
+    infinities are ordinary end values. The same passes at any size; raises if a rank stays unresolved."""
     cols = list(cols)
     if not cols:
         return {}
     long = _long_form(df, cols)
-    stats = {r["c"]: (r["n"], r["lo"], r["hi"]) for r in
-             long.groupBy("c").agg(F.count("*").alias("n"), F.min("x").alias("lo"),
-                                   F.max("x").alias("hi")).collect()}
-    # target ranks (0-based) per column
-    wanted: dict[tuple[int, int], list] = {}
-    for ci in range(len(cols)):
-        if ci not in stats:
-            continue
-        n, lo, hi = stats[ci]
-        for p in probs:
-            pos = p * (n - 1)
-            for r in {math.floor(pos), math.ceil(pos)}:
-                wanted[(ci, r)] = [lo, hi, 0]  # window [a, b], rows below a
+    stats, wanted = _start(df, cols, probs, accuracy)
     resolved: dict[tuple[int, int], float] = {}
     for _ in range(max_rounds):
-        open_ = {k: v for k, v in wanted.items() if k not in resolved}
-        for k, (a, b, _below) in list(open_.items()):
-            if a == b:
+        for k, (a, b, below) in wanted.items():
+            if k not in resolved and a == b and below is not None:
                 resolved[k] = a
-                del open_[k]
+        open_ = {k: v for k, v in wanted.items() if k not in resolved}
         if not open_:
             break
-        windows = sorted({(k[0], v[0], v[1]) for k, v in open_.items()})
-        wid = {w: i for i, w in enumerate(windows)}
+        wid = {w: i for i, w in enumerate(sorted({(k[0], v[0], v[1]) for k, v in open_.items()}))}
         x, c = F.col("x"), F.col("c")
-        tagged = []
-        for (ci, a, b), i in wid.items():
-            half_span = b / 2.0 - a / 2.0
-            bucket = F.least(F.floor((x / 2.0 - a / 2.0) / half_span * buckets), F.lit(buckets - 1))
-            tagged.append(F.when((c == ci) & (x >= a) & (x <= b),
-                                 F.struct(F.lit(i).alias("w"), bucket.cast("int").alias("b"))))
-        hist = (long.filter(F.col("c").isin([w[0] for w in windows]))
-                .select(F.explode(F.array(*tagged)).alias("t"), "x")
-                .filter(F.col("t").isNotNull())
-                .groupBy(F.col("t.w").alias("w"), F.col("t.b").alias("b"))
-                .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-                .collect())
+        tagged = [F.when((c == ci) & (x <= b), F.struct(F.lit(i).alias("w"), _bucket(x, a, b, buckets).alias("b")))
+                  for (ci, a, b), i in wid.items()]
+        hist = (long.filter(F.col("c").isin([w[0] for w in wid])).select(F.explode(F.array(*tagged)).alias("t"), "x")
+                .filter(F.col("t").isNotNull()).groupBy(F.col("t.w").alias("w"), F.col("t.b").alias("b"))
+                .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
         per_window: dict[int, list] = {}
         for r in hist:
             per_window.setdefault(r["w"], []).append((r["b"], r["n"], r["lo"], r["hi"]))
-        for k, (a, b, below) in open_.items():
-            rows = sorted(per_window[wid[(k[0], a, b)]])
-            cum = below
-            for _b, n, lo, hi in rows:
+        for k, (a, b, _below) in open_.items():
+            rows = sorted(per_window.get(wid[(k[0], a, b)], []))
+            cum, found = 0, None
+            for bucket, n, lo, hi in rows:
                 if cum + n > k[1]:
-                    wanted[k] = [lo, hi, cum]
+                    found = None if bucket == -2 else [lo, hi, cum]
                     break
                 cum += n
+            # the sketch's window missed the rank: start again from the whole column
+            wanted[k] = found or [stats[k[0]][1], stats[k[0]][2], None]
+    if len(resolved) < len(wanted):
+        raise RuntimeError(f"{len(wanted) - len(resolved)} quantile ranks unresolved after {max_rounds} rounds")
     out: dict[str, list[float | None]] = {}
     for ci, name in enumerate(cols):
         if ci not in stats:
             out[name] = [None for _ in probs]
             continue
-        n = stats[ci][0]
         vals = []
         for p in probs:
-            pos = p * (n - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            v_lo = resolved.get((ci, lo_r), wanted[(ci, lo_r)][0])
-            v_hi = resolved.get((ci, hi_r), wanted[(ci, hi_r)][0])
-            vals.append(v_lo if lo_r == hi_r else v_lo + (v_hi - v_lo) * (pos - lo_r))
+            pos = p * (stats[ci][0] - 1)
+            lo, hi = resolved[(ci, math.floor(pos))], resolved[(ci, math.ceil(pos))]
+            vals.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
         out[name] = vals
     return out
 
@@ -107,26 +124,6 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return {c: (list(row[c]) if row[c] is not None else [None for _ in probs]) for c in cols}
 
 
-# Rows up to which one task may hold a column's values for Spark's exact
-# ``percentile`` (about 16 bytes a value, so 16 MB); larger inputs use the
-# bucket-refinement passes above. The caller must pass a checked row count.
-GATHER_LIMIT = 1_000_000
-
-
-def gathered_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
-    """One pass with Spark's exact ``percentile``; only for inputs of checked, bounded size."""
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), list(probs)).alias(f"q{i}")
-                   for i, c in enumerate(cols)]).first()
-    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None for _ in probs])
-            for i, c in enumerate(cols)}
-
-
-def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool = False,
-              n_rows: int | None = None):
-    """Exact (default) or sketch quantiles; ``n_rows`` (a known row count) enables
-    the one-pass path when it is below ``GATHER_LIMIT``."""
-    if approx:
-        return approx_quantiles(df, cols, probs)
-    if n_rows is not None and n_rows <= GATHER_LIMIT:
-        return gathered_quantiles(df, cols, probs)
-    return exact_quantiles(df, cols, probs)
+def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool = False):
+    """Exact quantiles (default), or the sketch if the caller asks for it."""
+    return approx_quantiles(df, cols, probs) if approx else exact_quantiles(df, cols, probs)

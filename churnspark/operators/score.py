@@ -61,6 +61,17 @@ def fallback_probability(p1: Column, prediction: Column) -> tuple[Column, Column
     return fixed, p1.isNull()
 
 
+def unusable_input(numeric: list[str], categorical: list[str]) -> Column:
+    """Whether a request lacks a usable value: NULL, NaN or infinite numbers, NULL categories."""
+    out = F.lit(False)
+    for c in numeric:
+        x = F.col(c).cast("double")
+        out = out | x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    for c in categorical:
+        out = out | F.col(c).isNull()
+    return out
+
+
 def clamp01(p: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
 

@@ -331,6 +331,7 @@ realr AS (SELECT id, -1 AS syn, label, FALSE AS is_synthetic, fidx AS feature_id
 
 def oracle_sql() -> dict[str, str]:
     pred = with_(FRAME, clean_ctes(), SPLIT, RULE_PRED)
+    everyone = with_(FRAME, "\npred AS (SELECT id, LEAST(1.0, 2.0 / (1 + order_count)) AS p1 FROM frame)")
     cm = with_(FRAME, clean_ctes(), SPLIT, RULE_PRED, CONFUSION)
     run = with_(FRAME, clean_ctes(), SPLIT, RULE_PRED, RUNNING)
     mt = with_(FRAME, clean_ctes(), SPLIT, RULE_PRED, CONFUSION, RUNNING, METRICS)
@@ -455,12 +456,12 @@ UNION ALL SELECT 'strength', CASE WHEN roc_auc > 0.8 THEN 'Good AUC' ELSE 'Fair
 UNION ALL SELECT 'strength', CASE WHEN accuracy > 0.8 THEN 'Good Accuracy' ELSE 'Moderate Accuracy' END, {r6('accuracy')} FROM mt
 UNION ALL SELECT 'weakness', CASE WHEN precision < 0.6 THEN 'Low Precision' ELSE 'Good Precision' END, {r6('precision')} FROM mt
 UNION ALL SELECT 'weakness', 'False Positive Rate', {r6('fpr')} FROM mt""",
-        "j8_tiers": pred + f"""
+        "j8_tiers": everyone + f"""
 SELECT id, {r6('GREATEST(0.0, LEAST(1.0, p1))')} AS p1,
        CASE WHEN GREATEST(0.0, LEAST(1.0, p1)) > 0.5 THEN 'Likely to Churn' ELSE 'Likely to Stay' END AS decision,
        CASE WHEN GREATEST(0.0, LEAST(1.0, p1)) > 0.7 THEN 'High' WHEN GREATEST(0.0, LEAST(1.0, p1)) > 0.4 THEN 'Medium' ELSE 'Low' END AS risk_tier
 FROM pred""",
-        "j9_tier_summary": pred + f"""
+        "j9_tier_summary": everyone + f"""
 SELECT CASE WHEN p1 > 0.7 THEN 'High' WHEN p1 > 0.4 THEN 'Medium' ELSE 'Low' END AS risk_tier,
        CAST(count(*) AS BIGINT) AS customers, ROUND(avg(p1), 6) AS mean_p1, ROUND(min(p1), 6) AS min_p1, ROUND(max(p1), 6) AS max_p1
 FROM pred GROUP BY 1""",

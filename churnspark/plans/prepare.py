@@ -40,12 +40,13 @@ def prepare(df: DataFrame, target: str | None = None, id_col: str | None = "id",
     resampling on the encoded train split only."""
     spec = FrameSpec.infer(df, target, id_col)
     if spec.id is None:
-        df = df.withColumn("id", F.monotonically_increasing_id())
-        spec = FrameSpec(spec.target, "id", spec.numeric, spec.categorical, spec.ignored)
+        raise ValueError("a key column is needed: split and resampling are hashes of it")
+    if missing := df.filter(F.col(spec.target).isNull()).count():
+        raise ValueError(f"{missing} rows have no {spec.target}; remove or label them first")
     # prune to the columns any step uses before anything is cached
     df = df.select(spec.id, *spec.numeric, *spec.categorical, spec.target)
     out = remove_outliers(df, list(spec.numeric), enabled=handle_outliers, mode=outlier_mode)
-    split = stratified_split(out.frame.filter(F.col(spec.target).isNotNull()), spec.target, spec.id,
+    split = stratified_split(out.frame, spec.target, spec.id,
                              test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     train_raw = split.filter(~F.col("is_test"))
     pm = Preprocessor(spec, max_categories).fit(train_raw)

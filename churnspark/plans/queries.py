@@ -26,6 +26,7 @@ from churnspark.operators.split import stratified_split
 from churnspark.operators.tree import TreeParams, class_weight_table, class_weights, fit_tree
 from churnspark.sources.tables import churn_frame
 from churnspark.spec import FrameSpec
+from churnspark.streaming.scoring import scoring_plan
 
 _MEMO: dict = {}
 
@@ -84,6 +85,12 @@ def rule_predictions(spark, d) -> DataFrame:
                     (p1 > 0.5).cast("int").alias("prediction"))
 
 
+def rule_scores(spark, d) -> DataFrame:
+    """The fixed scoring rule on every customer of the frame."""
+    p1 = F.least(F.lit(1.0), F.lit(2.0) / (F.lit(1) + F.col("order_count")))
+    return frame(spark, d).select("id", p1.alias("p1"))
+
+
 def tree2(spark, d):
     return _memo(spark, d, "tree2", lambda: fit_tree(train_enc(spark, d), prep(spark, d).feature_names, "label",
                                                      TreeParams(max_depth=2)))
@@ -282,12 +289,12 @@ def q_strengths(spark, d):
 
 
 def q_tiers(spark, d):
-    p = rule_predictions(spark, d)
+    p = rule_scores(spark, d)
     return _rounded(J.label_and_tier(p.select("id", J.clamp01(F.col("p1")).alias("p1"))))
 
 
 def q_tier_summary(spark, d):
-    p = rule_predictions(spark, d)
+    p = rule_scores(spark, d)
     return J.tier_summary(J.label_and_tier(p.select("id", "p1")))
 
 
@@ -398,11 +405,8 @@ def q_depth_limited(spark, d):
 
 
 def q_batch_scoring(spark, d):
-    """Every customer of the cleaned frame scored by the depth-5 tree into tiers."""
-    pm = prep(spark, d)
-    everyone = split(spark, d).select("id", *pm.feature_exprs())
-    scored = tree5(spark, d).predict(everyone)
-    return J.label_and_tier(scored.select("id", J.clamp01(F.col("p1")).alias("p1")))
+    """Every customer of the frame, outliers included, scored by the depth-5 tree into tiers."""
+    return scoring_plan(frame(spark, d), prep(spark, d), tree5(spark, d))
 
 
 def q_key_metrics(spark, d):

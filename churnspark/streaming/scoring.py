@@ -18,12 +18,18 @@ from churnspark.operators.tree import TreeModel
 
 
 def scoring_plan(requests: DataFrame, prep: PreprocessorModel, model: TreeModel, key: str = "id") -> DataFrame:
-    """J6-J8 on any DataFrame (batch or streaming): ``key, p1, decision, risk_tier, is_fallback``."""
+    """J6-J8 on any DataFrame (batch or streaming): ``key, p1, decision, risk_tier, is_fallback``.
+
+    A row with an unusable input (NULL, NaN or infinite number, NULL category) gets
+    p1 = 0.5 and ``is_fallback``: its encoded features would mean something else."""
     spec = prep.spec
     filled = J.fill_defaults(requests, list(spec.numeric), list(spec.categorical))
-    enc = filled.select(F.col(key), *prep.feature_exprs())
+    unusable = J.unusable_input(list(spec.numeric), list(spec.categorical))
+    enc = filled.select(F.col(key), unusable.alias("unusable_input"), *prep.feature_exprs())
     scored = model.predict(enc)
-    p1, fallback = J.fallback_probability(F.col("p1"), F.col("prediction"))
+    p1, fallback = J.fallback_probability(F.when(~F.col("unusable_input"), F.col("p1")),
+                                          F.when(~F.col("unusable_input"), F.col("prediction")))
+    _, p1 = J.repair_probabilities(F.lit(1.0) - p1, p1)
     out = scored.select(F.col(key), J.clamp01(p1).alias("p1"), fallback.alias("is_fallback"))
     return J.label_and_tier(out)
 
