@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from churnspark.llm import decontamination, language_id, line_dedup, packing, pii, quality_rules, secret_scan, simhash, substring_dedup, suffix_tree_lm
 from churnspark.llm.common import crc32_of_id, digest, table
+from churnspark.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_pii(spark, d):
@@ -87,5 +88,3 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
 }
-
-ORACLE: dict[str, str] = {}
