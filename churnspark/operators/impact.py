@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.functions.exprs import round6, safe_div
+from churnspark.functions.exprs import safe_div
 
 # Fixed values that must equal the reference's rules.
 # Financial defaults: cost of a lost customer 500, cost of one retention campaign 50.
@@ -33,9 +33,9 @@ def campaign_counts(cm: DataFrame) -> DataFrame:
         total.alias("total_customers"), actual.alias("actual_churners"),
         predicted.alias("predicted_churners"), tp.alias("correctly_identified"),
         fn.alias("missed_churners"), fp.alias("false_alarms"),
-        round6(safe_div(actual.cast("double"), total)).alias("churn_rate"),
-        round6(safe_div(tp.cast("double"), actual)).alias("identification_rate"),
-        round6(safe_div(fp.cast("double"), predicted)).alias("false_alarm_rate"))
+        safe_div(actual.cast("double"), total).alias("churn_rate"),
+        safe_div(tp.cast("double"), actual).alias("identification_rate"),
+        safe_div(fp.cast("double"), predicted).alias("false_alarm_rate"))
 
 
 def financial_impact(cm: DataFrame, loss: float = LOSS_PER_CUSTOMER,
@@ -48,7 +48,7 @@ def financial_impact(cm: DataFrame, loss: float = LOSS_PER_CUSTOMER,
         F.lit(float(loss)).alias("cost_per_lost_customer"),
         F.lit(float(campaign)).alias("cost_per_retention_campaign"),
         saved.alias("value_saved"), cost.alias("campaign_cost"), lost.alias("lost_value"),
-        net.alias("net_value"), round6(safe_div(net, cost)).alias("roi"))
+        net.alias("net_value"), safe_div(net, cost).alias("roi"))
 
 
 def rating(c: Column) -> Column:
@@ -111,7 +111,7 @@ def key_metrics(m: DataFrame, cm: DataFrame, tree_stats: DataFrame | None = None
         for k in ("max_depth", "n_nodes", "n_features_used", "total_features"):
             pairs.append(("model_complexity", k, tree_stats.select(F.col(k).cast("double")).scalar()))
     arr = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(k).alias("metric"),
-                             round6(F.coalesce(v, F.lit(0.0))).alias("value")) for s, k, v in pairs])
+                             F.coalesce(v, F.lit(0.0)).alias("value")) for s, k, v in pairs])
     return m.select(F.inline(arr))
 
 
@@ -128,7 +128,7 @@ def strengths_weaknesses(m: DataFrame) -> DataFrame:
         row("weakness", F.lit("False Positive Rate"), F.col("fpr")),
     )
     out = m.select(F.inline(arr))
-    return out.select("kind", "label", round6(F.col("value")).alias("value"))
+    return out.select("kind", "label", F.col("value").alias("value"))
 
 
 def deployment_report(m: DataFrame) -> DataFrame:

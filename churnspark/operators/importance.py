@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.functions.exprs import round6
 
 def _all():
     """Global window over <= n_features rows (the dictionary), never over data rows."""
@@ -27,8 +26,8 @@ def feature_importance(nodes: DataFrame, dictionary: DataFrame, model_id: int =
     imp = F.when(total > 0, F.col("d") / total).otherwise(F.lit(0.0))
     out = joined.select("feature_idx", "feature", imp.alias("importance"))
     tot_imp = F.sum("importance").over(_all())
-    return out.select("feature_idx", "feature", round6(F.col("importance")).alias("importance"),
-                      round6(F.when(tot_imp > 0, F.col("importance") / tot_imp * 100).otherwise(0.0)).alias("importance_pct"))
+    return out.select("feature_idx", "feature", F.col("importance").alias("importance"),
+                      (F.when(tot_imp > 0, F.col("importance") / tot_imp * 100).otherwise(0.0)).alias("importance_pct"))
 
 
 def _ranked(imp: DataFrame) -> DataFrame:
@@ -41,7 +40,7 @@ def utilisation(imp: DataFrame) -> DataFrame:
     return r.agg(F.count(F.lit(1)).alias("total_features"),
                  F.count_if(F.col("importance") > 0).alias("used_features"),
                  F.count_if(F.col("importance") == 0).alias("unused_features"),
-                 round6(F.sum(F.when(F.col("rank") <= 5, F.col("importance_pct")).otherwise(0.0))).alias("top5_cumulative_pct"))
+                 F.sum(F.when(F.col("rank") <= 5, F.col("importance_pct")).otherwise(0.0)).alias("top5_cumulative_pct"))
 
 
 def top_features(imp: DataFrame, n: int = 10, used_only: bool = False) -> DataFrame:
@@ -53,9 +52,9 @@ def top_features(imp: DataFrame, n: int = 10, used_only: bool = False) -> DataFr
 def importance_stats(imp: DataFrame) -> DataFrame:
     """Zero-importance features and min / max / mean of the importances."""
     return imp.agg(F.sort_array(F.collect_list(F.when(F.col("importance") == 0, F.col("feature")))).alias("zero_features"),
-                   round6(F.min("importance")).alias("min_importance"),
-                   round6(F.max("importance")).alias("max_importance"),
-                   round6(F.avg("importance")).alias("mean_importance"))
+                   F.min("importance").alias("min_importance"),
+                   F.max("importance").alias("max_importance"),
+                   F.avg("importance").alias("mean_importance"))
 
 
 def cumulative_selection(imp: DataFrame, threshold: float = 0.95) -> DataFrame:
@@ -64,4 +63,4 @@ def cumulative_selection(imp: DataFrame, threshold: float = 0.95) -> DataFrame:
     c = imp.withColumn("cumulative", F.sum("importance").over(w))
     prev = F.col("cumulative") - F.col("importance")
     return c.filter(prev < threshold - 1e-12).select("feature_idx", "feature", "importance",
-                                                      round6(F.col("cumulative")).alias("cumulative"))
+                                                      F.col("cumulative").alias("cumulative"))

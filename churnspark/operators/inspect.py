@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.functions.exprs import round6
 
 CLASS_NAMES = ("No Churn", "Churn")
 # Keywords that mark a rule as business-relevant in the insight rows (fixed values).
@@ -49,10 +48,10 @@ def node_table(nodes: DataFrame, model_id: int = 0) -> DataFrame:
     return j.select(
         "node_id", "depth",
         F.when(F.col("pid").isNull(), F.lit("Root")).otherwise(rule_text(F.col("pf"), F.col("pt"), F.col("side") == "left")).alias("parent_rule"),
-        "n", round6(F.col("w0")).alias("w0"), round6(F.col("w1")).alias("w1"),
-        round6(1 - F.col("p1")).alias("p0"), round6(F.col("p1")).alias("p1"),
+        "n", F.col("w0").alias("w0"), F.col("w1").alias("w1"),
+        (1 - F.col("p1")).alias("p0"), F.col("p1").alias("p1"),
         _class_name(F.col("prediction")).alias("predicted_class"), "is_leaf", "feature",
-        round6(F.col("threshold")).alias("threshold"),
+        F.col("threshold").alias("threshold"),
         F.when(~F.col("is_leaf"), F.format_string("%s <= %.3f", F.col("feature"), F.col("threshold"))).alias("split_rule"))
 
 
@@ -81,9 +80,9 @@ def paths(nodes: DataFrame, model_id: int = 0) -> DataFrame:
     return out.select(
         F.col("node_id").alias("leaf_id"), "depth",
         F.coalesce(F.transform(F.col("r"), lambda s: s["rule"]), F.array().cast("array<string>")).alias("rules"),
-        F.col("n").alias("samples"), round6(F.col("n") / root_n).alias("share"),
+        F.col("n").alias("samples"), (F.col("n") / root_n).alias("share"),
         _class_name(F.col("prediction")).alias("prediction"),
-        round6(F.greatest(F.col("p1"), 1 - F.col("p1"))).alias("confidence"),
+        F.greatest(F.col("p1"), 1 - F.col("p1")).alias("confidence"),
         F.expr(f"shiftleft(node_id, {int(max_depth)} - depth)").alias("dfs_key"))
 
 
@@ -104,8 +103,8 @@ def path_summary(nodes: DataFrame, total_features: int, model_id: int = 0) -> Da
         ip.agg(F.count(F.lit(1))).scalar().alias("important_paths"),
         ip.agg(F.count_if(F.col("prediction") == CLASS_NAMES[1])).scalar().alias("churn_paths"),
         ip.agg(F.count_if(F.col("prediction") == CLASS_NAMES[0])).scalar().alias("retention_paths"),
-        round6(F.col("n_leaves") / F.col("n_nodes")).alias("leaf_ratio"),
-        round6(F.col("n_features_used") / F.greatest(F.col("total_features"), F.lit(1))).alias("feature_usage"))
+        (F.col("n_leaves") / F.col("n_nodes")).alias("leaf_ratio"),
+        (F.col("n_features_used") / F.greatest(F.col("total_features"), F.lit(1))).alias("feature_usage"))
 
 
 def rule_listing(nodes: DataFrame, model_id: int = 0) -> DataFrame:
@@ -130,14 +129,15 @@ def rule_listing(nodes: DataFrame, model_id: int = 0) -> DataFrame:
     return lines.select(F.row_number().over(w).alias("line_no"), "text")
 
 
-def insights(nodes: DataFrame, model_id: int = 0, per_class: int = 3, rules_per_path: int = 2) -> DataFrame:
+def insights(nodes: DataFrame, model_id: int = 0, per_class: int = 3, rules_per_path: int = 2,
+             keywords: tuple[str, ...] | None = None) -> DataFrame:
     """For the first ``per_class`` important churn and stay paths (tree
-    order), up to ``rules_per_path`` rules naming age, gender, package or spending;
-    plus high-risk churn segments (confidence > 0.7)."""
+    order), up to ``rules_per_path`` rules naming one of ``keywords`` (default: age, gender,
+    package, spending); plus high-risk churn segments (confidence > 0.7)."""
     ip = important_paths(nodes, model_id)
     def has_kw(r):
         cond = F.lit(False)
-        for k in INSIGHT_KEYWORDS:
+        for k in keywords or INSIGHT_KEYWORDS:
             cond = cond | F.lower(r).contains(k)
         return cond
     ordered = ip.withColumn("pos", F.row_number().over(Window.partitionBy("prediction").orderBy("dfs_key")))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.functions.exprs import round6, safe_div
+from churnspark.functions.exprs import safe_div
 
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -29,14 +29,14 @@ def rates(cm: DataFrame) -> DataFrame:
     recall = safe_div(tp, tp + fn)
     return cm.select(
         "tn", "fp", "fn", "tp",
-        round6(safe_div(tp + tn, tn + fp + fn + tp)).alias("accuracy"),
-        round6(precision).alias("precision"),
-        round6(recall).alias("recall"),
-        round6(safe_div(2 * tp, 2 * tp + fp + fn)).alias("f1"),
-        round6(safe_div(tn, tn + fp)).alias("specificity"),
-        round6(recall).alias("sensitivity"),
-        round6(safe_div(fp, fp + tn)).alias("fpr"),
-        round6(safe_div(fn, fn + tp)).alias("fnr"),
+        safe_div(tp + tn, tn + fp + fn + tp).alias("accuracy"),
+        precision.alias("precision"),
+        recall.alias("recall"),
+        safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        safe_div(tn, tn + fp).alias("specificity"),
+        recall.alias("sensitivity"),
+        safe_div(fp, fp + tn).alias("fpr"),
+        safe_div(fn, fn + tp).alias("fnr"),
     )
 
 
@@ -73,42 +73,42 @@ def running_counts(pred: DataFrame, label: str = "label", score: str = "p1",
     return out.select("score", "pos", "neg", F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"))
 
 
-def roc_curve(pred: DataFrame, label: str = "label", score: str = "p1") -> DataFrame:
+def roc_curve(pred: DataFrame, label: str = "label", score: str = "p1", rc: DataFrame | None = None) -> DataFrame:
     """``(threshold, tp, fp, tpr, fpr)`` one row per distinct score (all points kept)."""
-    rc = running_counts(pred, label, score)
+    rc = running_counts(pred, label, score) if rc is None else rc
     P, N = rc.agg(F.sum("pos")).scalar(), rc.agg(F.sum("neg")).scalar()  # scalar subqueries
     return rc.select(
         F.col("score").alias("threshold"), "tp", "fp",
-        round6(safe_div(F.col("tp"), P)).alias("tpr"),
-        round6(safe_div(F.col("fp"), N)).alias("fpr"))
+        safe_div(F.col("tp"), P).alias("tpr"),
+        safe_div(F.col("fp"), N).alias("fpr"))
 
 
-def pr_curve(pred: DataFrame, label: str = "label", score: str = "p1") -> DataFrame:
+def pr_curve(pred: DataFrame, label: str = "label", score: str = "p1", rc: DataFrame | None = None) -> DataFrame:
     """``(threshold, precision, recall)`` per distinct score."""
-    rc = running_counts(pred, label, score)
+    rc = running_counts(pred, label, score) if rc is None else rc
     P = rc.agg(F.sum("pos")).scalar()
     return rc.select(
         F.col("score").alias("threshold"),
-        round6(safe_div(F.col("tp"), F.col("tp") + F.col("fp"))).alias("precision"),
-        round6(safe_div(F.col("tp"), P)).alias("recall"))
+        safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+        safe_div(F.col("tp"), P).alias("recall"))
 
 
-def auc_ap(pred: DataFrame, label: str = "label", score: str = "p1") -> DataFrame:
+def auc_ap(pred: DataFrame, label: str = "label", score: str = "p1", rc: DataFrame | None = None) -> DataFrame:
     """One row ``(roc_auc, average_precision)``.
 
     AUC is the trapezoid area: sum over scores of ``neg * (tp_above + pos/2)``
     over ``P*N``; AP is ``sum(pos/P * precision)`` (step sum, not trapezoid).
     Both are plain sums over the running-count rows. NULL when a class is absent.
     """
-    rc = running_counts(pred, label, score)
+    rc = running_counts(pred, label, score) if rc is None else rc
     agg = rc.agg(
         F.sum(F.col("pos")).alias("P"), F.sum(F.col("neg")).alias("N"),
         F.sum(F.col("neg").cast("double") * ((F.col("tp") - F.col("pos")) + F.col("pos") / 2.0)).alias("area"),
         F.sum(F.col("pos").cast("double") * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("ap"))
     valid = (F.col("P") > 0) & (F.col("N") > 0)
     return agg.select(
-        round6(F.when(valid, F.col("area") / (F.col("P") * F.col("N")))).alias("roc_auc"),
-        round6(F.when(F.col("P") > 0, F.col("ap") / F.col("P"))).alias("average_precision"))
+        F.when(valid, F.col("area") / (F.col("P") * F.col("N"))).alias("roc_auc"),
+        F.when(F.col("P") > 0, F.col("ap") / F.col("P")).alias("average_precision"))
 
 
 def classification_report(cm: DataFrame) -> DataFrame:
@@ -132,17 +132,18 @@ def classification_report(cm: DataFrame) -> DataFrame:
         row("accuracy", acc, acc, acc, n),
     )
     out = cm.select(F.inline(rows))
-    return out.select("class", *[round6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")],
+    return out.select("class", *[F.col(c).alias(c) for c in ("precision", "recall", "f1")],
                       F.col("support").cast("long").alias("support"))
 
 
 def evaluate(pred: DataFrame, label: str = "label", score: str = "p1",
              prediction: str = "prediction") -> dict[str, DataFrame]:
-    """The evaluation bundle; curve metrics only when both classes occur."""
-    cm = confusion(pred, label, prediction)
+    """The evaluation bundle; the curves share one pass of running counts (``rc`` given by it is cached and small:
+    a row per distinct score). With one class only, AUC is NULL."""
+    cm, rc = confusion(pred, label, prediction), running_counts(pred, label, score).persist()
     return {"confusion": cm, "rates": rates(cm), "report": classification_report(cm),
-            "roc": roc_curve(pred, label, score), "pr": pr_curve(pred, label, score),
-            "auc": auc_ap(pred, label, score)}
+            "roc": roc_curve(pred, label, score, rc), "pr": pr_curve(pred, label, score, rc),
+            "auc": auc_ap(pred, label, score, rc)}
 
 
 def summary_row(pred: DataFrame, label: str = "label", score: str = "p1",
@@ -164,7 +165,7 @@ def compare_models(metrics: DataFrame, baseline: str, candidate: str) -> DataFra
                        pick(candidate, "roc_auc").alias("c_auc"), pick(candidate, "n_features").alias("c_nf"))
     return wide.select(
         F.lit(baseline).alias("baseline"), F.lit(candidate).alias("candidate"),
-        round6(F.col("c_acc") - F.col("b_acc")).alias("accuracy_delta"),
-        round6(F.col("c_auc") - F.col("b_auc")).alias("auc_delta"),
+        (F.col("c_acc") - F.col("b_acc")).alias("accuracy_delta"),
+        (F.col("c_auc") - F.col("b_auc")).alias("auc_delta"),
         (F.col("b_nf") - F.col("c_nf")).alias("features_removed"),
-        round6(safe_div(F.col("b_nf") - F.col("c_nf"), F.col("b_nf"))).alias("feature_reduction"))
+        safe_div(F.col("b_nf") - F.col("c_nf"), F.col("b_nf")).alias("feature_reduction"))

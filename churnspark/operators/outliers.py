@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.operators.quantiles import quantiles
+from churnspark.operators.quantiles import quantiles, quantiles_and_counts
 from churnspark.sources.tables import normalise_nan
 
 
@@ -20,15 +20,14 @@ def iqr_bounds(df: DataFrame, cols: list[str], threshold: float = 1.5,
     Infinite quartiles give infinite bounds, so they remove nothing on that side.
     """
     qs = quantiles(df, cols, [0.25, 0.75], approx=approx)
-    out = {}
-    for c in cols:
-        q1, q3 = qs[c]
-        if q1 is None:
-            out[c] = (None, None)
-            continue
-        iqr = q3 - q1 if q1 != q3 else 0.0
-        out[c] = (q1 - threshold * iqr if math.isfinite(q1) else q1, q3 + threshold * iqr if math.isfinite(q3) else q3)
-    return out
+    return {c: _bounds(*qs[c], threshold) for c in cols}
+
+
+def _bounds(q1: float | None, q3: float | None, threshold: float) -> tuple[float | None, float | None]:
+    if q1 is None:
+        return None, None
+    iqr = q3 - q1 if q1 != q3 else 0.0
+    return (q1 - threshold * iqr if math.isfinite(q1) else q1, q3 + threshold * iqr if math.isfinite(q3) else q3)
 
 
 def bounds_table(spark: SparkSession, bounds: dict[str, tuple[float, float]]) -> DataFrame:
@@ -102,22 +101,24 @@ def remove_outliers(df: DataFrame, cols: list[str], method: str = "iqr", thresho
             lo, hi = bounds[c]
             current = current.filter(F.col(c).between(lo, hi))
     else:
-        remaining = rows_before
-        for i, c in enumerate(cols):
-            lo, hi = iqr_bounds(current, [c], threshold, approx)[c]
-            bounds[c] = (lo, hi)
-            if lo is None:
-                nxt = current.filter(F.lit(False))
-                counts[c] = 0
-                remaining = 0
+        # The first pass for column k also counts its rows: the survivors of column k - 1.
+        values = 0
+        for i, c in enumerate([*cols, None]):
+            if c is None:
+                rows = current.count()
+            elif approx:
+                qs = quantiles(current, [c], [0.25, 0.75], approx=True)[c]
+                rows, now = current.agg(F.count(F.lit(1)), F.count(c)).first()
             else:
-                row = current.agg(F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias("o"),
-                                  F.count_if(F.col(c).between(lo, hi)).alias("k")).first()
-                counts[c] = int(row["o"])
-                nxt = current.filter(F.col(c).between(lo, hi))
-                remaining = int(row["k"])
-            steps.append({"ordinal": i, "column": c, "lower": lo, "upper": hi,
-                          "outliers": counts[c], "rows_after": remaining})
-            current = nxt
+                found, rows, counted = quantiles_and_counts(current, [c], [0.25, 0.75])
+                qs, now = found[c], counted[c]
+            if i:
+                counts[cols[i - 1]] = values - rows
+                steps[-1].update(outliers=values - rows, rows_after=rows)
+            if c is not None:
+                values, (lo, hi) = now, _bounds(*qs, threshold)
+                bounds[c] = (lo, hi)
+                steps.append({"ordinal": i, "column": c, "lower": lo, "upper": hi, "outliers": 0, "rows_after": 0})
+                current = current.filter(F.col(c).between(lo, hi) if lo is not None else F.lit(False))
     rows_after = steps[-1]["rows_after"] if steps else current.count()
     return OutlierResult(current, bounds, counts, rows_before, rows_after, steps)

@@ -26,7 +26,7 @@ def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
             .filter(F.col("x").isNotNull() & ~F.isnan("x")))
 
 
-def _start(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> tuple[dict, dict]:
+def _start(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> tuple[dict, dict, int]:
     """One pass: per column (rows, least, greatest) and a first window for each wanted rank.
 
     The windows come from a sketch whose rank error is below ``rows / accuracy``; the
@@ -34,7 +34,7 @@ def _start(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) ->
     rank is noticed and widened to the whole column."""
     margin = 2.0 / accuracy
     grid = sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - margin, p + margin)})
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(cols):
         x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
         aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
@@ -49,7 +49,7 @@ def _start(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) ->
             b = at[min(1.0, max(0.0, p + margin))] if p < 1 - margin else hi
             for r in {math.floor(p * (n - 1)), math.ceil(p * (n - 1))}:
                 wanted[(i, r)] = [a, b, None]  # window [a, b]; rows below a: not counted yet
-    return stats, wanted
+    return stats, wanted, row["rows"]
 
 
 def _bucket(x, a: float, b: float, buckets: int):
@@ -63,13 +63,20 @@ def _bucket(x, a: float, b: float, buckets: int):
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 2048, max_rounds: int = 200,
                     accuracy: int = 10_000) -> dict[str, list[float | None]]:
+    """The values of :func:`quantiles_and_counts`."""
+    return quantiles_and_counts(df, cols, probs, buckets, max_rounds, accuracy)[0]
+
+
+def quantiles_and_counts(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 2048, max_rounds: int = 200,
+                         accuracy: int = 10_000) -> tuple[dict[str, list[float | None]], int, dict[str, int]]:
     """``{col: [q(p) for p in probs]}`` equal to SQL ``quantile_cont`` / pandas ``quantile``; NULL and NaN are left out,
-    infinities are ordinary end values. The same passes at any size; raises if a rank stays unresolved."""
+    infinities are ordinary end values. The same passes at any size; raises if a rank stays unresolved.
+    With them the number of rows and of each column's values, which the first pass counts anyway."""
     cols = list(cols)
     if not cols:
-        return {}
+        return {}, df.count(), {}
     long = _long_form(df, cols)
-    stats, wanted = _start(df, cols, probs, accuracy)
+    stats, wanted, n_rows = _start(df, cols, probs, accuracy)
     resolved: dict[tuple[int, int], float] = {}
     for _ in range(max_rounds):
         for k, (a, b, below) in wanted.items():
@@ -111,7 +118,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
             lo, hi = resolved[(ci, math.floor(pos))], resolved[(ci, math.ceil(pos))]
             vals.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
         out[name] = vals
-    return out
+    return out, n_rows, {name: stats[i][0] if i in stats else 0 for i, name in enumerate(cols)}
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],

@@ -396,7 +396,8 @@ def q_path_summary(spark, d):
 
 
 def q_insights(spark, d):
-    return H.insights(tree5(spark, d).nodes_df(spark)).select(
+    keywords = ("spend", "quantity", "order", "nation", "segment")  # what the frame's columns are called
+    return H.insights(tree5(spark, d).nodes_df(spark), keywords=keywords).select(
         "kind", "leaf_id", "share", "confidence", F.array_join("key_rules", ", ").alias("key_rules"))
 
 
@@ -446,3 +447,11 @@ QUERIES.update({
     "j6_batch_scoring": q_batch_scoring,
     "j9_campaign_targets": q_campaign_targets,
 })
+
+
+def _reported(query):
+    """Operators work on raw values; only what a query reports is rounded."""
+    return lambda spark, d: _rounded(query(spark, d))
+
+
+QUERIES = {name: _reported(query) for name, query in QUERIES.items()}
