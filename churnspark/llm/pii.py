@@ -9,7 +9,9 @@ cuts the tokens into entity segments of at most ``MAX_TOKENS`` tokens and single
 other tokens. A segment's score is a sum of weights of whole-span features for
 its type: digit count, separators, shape of the runs, checks such as Luhn and
 octet ranges, the word before, and what its edges touch; a weight for each pair
-of neighbouring types is added. Dynamic programming over segment ends chooses
+of neighbouring types is added. A type is open to a segment only if the segment
+passes that type's check (Luhn, octets, digit count, a dotted domain) and is not
+part of a longer number or word. Dynamic programming over segment ends chooses
 boundaries and types together; its sums (forward and backward) give the
 gradient of the conditional log-likelihood.
 
@@ -124,6 +126,34 @@ class Region:
                     ends[j].append(i)
         return ends
 
+    def kinds(self, i: int, j: int) -> list[str]:
+        """Kinds whose checks tokens i to j pass, as the base kinds check them; a part of a longer number or word is none."""
+        a, b = self.at[i][0], self.at[j - 1][1]
+        s = self.text[a:b]
+        if (a and self.text[a - 1].isalnum()) or (b < len(self.text) and self.text[b].isalnum()):
+            return []
+        if "@" in s:
+            left, _, right = s.partition("@")
+            return ["email"] if left and "." in right[1:] and "@" not in right and " " not in s else []
+        near = lambda k, gap: 0 <= k < len(self.tokens) and "0" <= self.tokens[k][0] <= "9" and gap <= 1
+        if near(i - 1, a - self.at[i - 1][1] if i else 9) or near(j, self.at[j][0] - b if j < len(self.tokens) else 9):
+            return []
+        if any(t[0].isalpha() for t in self.tokens[i:j]):
+            return []
+        if a > 1 and self.text[a - 1] in "-./" and self.text[a - 2].isdigit():
+            return []
+        if b + 1 < len(self.text) and self.text[b] in "-./" and self.text[b + 1].isdigit():
+            return []
+        d, numbers = _digits(s), [t for t in self.tokens[i:j] if "0" <= t[0] <= "9"]
+        out = []
+        if len(numbers) == 4 and all(len(x) < 4 and int(x) < 256 for x in numbers) and s.count(".") == 3:
+            out.append("ip")
+        if 12 <= len(d) <= 19 and luhn(d):
+            out.append("card")
+        if 9 <= len(d) <= 15 and len(numbers) > 1 and not re.search(r"[^0-9\x20().+-]", s):
+            out.append("phone")
+        return out
+
     def features(self, i: int, j: int) -> list[str]:
         """Whole-span features of tokens i to j."""
         a, b = self.at[i][0], self.at[j - 1][1]
@@ -168,8 +198,9 @@ class SemiMarkov:
             out[j].append((j - 1, OTHER, [f"{OTHER}|token={'9' if region.tokens[j - 1][0].isdigit() else 'x'}"]))
         for j, starts in region.candidates().items():
             for i in starts:
-                fs = region.features(i, j)
-                out[j] += [(i, k, [f"{k}|{f}" for f in fs]) for k in KINDS]
+                if kinds := region.kinds(i, j):
+                    fs = region.features(i, j)
+                    out[j] += [(i, k, [f"{k}|{f}" for f in fs]) for k in kinds]
         return out
 
     def _sum(self, names: list[str]) -> float:
@@ -254,7 +285,7 @@ def example(text: str, spans: list[tuple[str, int, int]]) -> tuple[Region, list[
     reach = region.candidates()
     gold, end = [], 0
     for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
-        if a in first and b in last and first[a] >= end and first[a] in reach.get(last[b], ()):
+        if a in first and b in last and first[a] >= end and first[a] in reach.get(last[b], ()) and k in region.kinds(first[a], last[b]):
             gold.append((first[a], k, last[b]))
             end = last[b]
     return region, gold
@@ -268,7 +299,8 @@ def varied(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, list
         forms = []
         if k == "phone":
             bare = re.sub(r"^\+[0-9]{1,3}[ .-]?", "", s)
-            forms = [bare, bare.replace("(", "").replace(") ", "-").replace(")", "-"), bare.replace("(", "").replace(") ", " ").replace("-", " ")]
+            plain = bare.replace("(", "").replace(") ", "-").replace(")", "-")
+            forms = [bare, bare.replace("-", " "), plain, plain.replace("-", " "), plain.replace("-", ".")]
         elif k == "card" and len(_digits(s)) == 16:
             d = _digits(s)
             forms = [sep.join(d[i:i + 4] for i in range(0, 16, 4)) for sep in (" ", "-", ".")]
