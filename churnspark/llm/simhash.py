@@ -134,13 +134,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document with the smallest id of each component; among rows with one id, one. Rows without an id stay
     only where no row of their component has one, and then one of them."""
-    found = near_duplicates(docs, id_col, text_col)
+    found = cut_lineage(near_duplicates(docs, id_col, text_col))
     one, n, fp = fresh(docs, "one", "n", "fp")
-    chosen = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias(one)).agg(F.count(F.lit(1)).alias(n))
-    known = docs.join(chosen, col(id_col) == col(one))
-    single = known.filter(col(n) == 1).select(*[col(c) for c in docs.columns])
-    repeated = known.filter(col(n) > 1).dropDuplicates([id_col]).select(*[col(c) for c in docs.columns])
-    lonely = found.filter("component_id is null").select(F.col("fp").alias(one)).groupBy(one).agg(F.count(F.lit(1)).alias(n))
-    nameless = fingerprints(docs.filter(col(id_col).isNull()), text_col, fp).join(lonely, col(fp) == col(one))
-    nameless = nameless.dropDuplicates([fp]).select(*[col(c) for c in docs.columns])
-    return single.unionByName(repeated).unionByName(nameless)
+    own = [col(c) for c in docs.columns]
+    chosen = cut_lineage(found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias(one)).agg(F.count(F.lit(1)).alias(n)))
+    kept = docs.join(chosen.filter(col(n) == 1), col(id_col) == col(one), "left_semi").select(*own)
+    # the texts are read again only where rows of these two rare kinds exist
+    if not chosen.filter(col(n) > 1).isEmpty():
+        repeated = docs.join(chosen.filter(col(n) > 1), col(id_col) == col(one), "left_semi")
+        kept = kept.unionByName(repeated.dropDuplicates([id_col]).select(*own))
+    lonely = found.filter("component_id is null").select(F.col("fp").alias(one)).distinct()
+    if not lonely.isEmpty():
+        nameless = fingerprints(docs.filter(col(id_col).isNull()), text_col, fp).join(lonely, col(fp) == col(one))
+        kept = kept.unionByName(nameless.dropDuplicates([fp]).select(*own))
+    return kept
