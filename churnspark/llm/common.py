@@ -89,4 +89,19 @@ def per_text(spark: SparkSession, schema: str,
         columns = zip(*rows) if rows else [()] * len(fields)
         return pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
 
-    return applied
+    # "nondeterministic" keeps the optimizer from running it twice, once for a filter on the result and once for the rest
+    return applied.asNondeterministic()
+
+
+_BUILT: dict[Callable, tuple] = {}
+
+
+def built(make: Callable, value: object) -> object:
+    """``make(value)``, kept in the worker process for later tasks with the same (broadcast) ``value``.
+
+    ``make`` is a name in a module. Tasks reach this cache by this function's name; a dict that the task's own
+    function names would be copied with it, empty, to every task."""
+    have = _BUILT.get(make)
+    if have is None or have[0] is not value:
+        have = _BUILT[make] = (value, make(value))
+    return have[1]

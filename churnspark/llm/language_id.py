@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from churnspark.llm.common import col, per_text
+from churnspark.llm.common import built, col, per_text
 
 WORD = re.compile(r"[^\W\d_]+")
 CACHE = 300_000
@@ -117,9 +117,6 @@ class CrossParser:
         return cost[0][1], 1.0 if len(cost) < 2 else 1.0 - cost[0][0] / cost[1][0]
 
 
-_PARSERS: dict[int, CrossParser] = {}
-
-
 def training_text(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   rows_per_language: int = 60, max_chars: int = 20_000, letters: int = 100_000,
                   max_languages: int = 500) -> dict[str, str]:
@@ -151,11 +148,7 @@ def identify(docs: DataFrame, training: dict[str, str], text_col: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(training)
 
     def predicted(text: str | None) -> tuple[str, float]:
-        parser = _PARSERS.get(id(shared.value))
-        if parser is None:
-            _PARSERS.clear()
-            parser = _PARSERS[id(shared.value)] = CrossParser(shared.value)
-        return parser.predict(text)
+        return built(CrossParser, shared.value).predict(text)
 
     guess = per_text(docs.sparkSession, "lang_pred string, score double", predicted)
     return docs.withColumn(out, guess(col(text_col)))

@@ -19,6 +19,7 @@ is (partition number, count) in one long, the same in a repeated task.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import zlib
@@ -199,7 +200,11 @@ class Ids:
         return np.array(self.engine.encode_ordinary(text), np.uint32)
 
 
-_IDS: dict[str, Ids] = {}
+@functools.lru_cache(maxsize=2)
+def ids_of(path: str) -> Ids:
+    """One ``Ids`` a worker process. Tasks reach it by this name: a cache held by the task's own function would come
+    with the function as a copy, and every task would load the vocabulary again."""
+    return Ids(path)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -214,7 +219,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     small_batches(docs.sparkSession)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _IDS.get(path) or _IDS.setdefault(path, Ids(path))
+        ids = ids_of(path)
         packer = Packer(limits, cut, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], np.uint32)
 
