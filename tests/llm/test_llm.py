@@ -316,3 +316,8 @@ def test_empty_tables(spark):
                    suffix_tree_lm.score(none, F.lit(False)), packing.pack(none, packing.tokenizer_path())):
         assert result.count() == 0
     assert language_id.training_text(none, F.lit(True)) == {}
+
+
+def test_text_functions_run_once_a_row(docs):
+    plan = quality_rules.keep_clean(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
