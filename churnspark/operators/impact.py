@@ -25,30 +25,39 @@ GRADE_BANDS = [(4.5, "A"), (3.5, "B+"), (2.5, "B"), (1.5, "C")]
 ACCEPTABLE_GRADES = ["A", "B+", "B"]
 
 
-def campaign_counts(cm: DataFrame) -> DataFrame:
-    """Customers, actual / predicted churners, hits, misses, false alarms, three rates."""
+def _campaign_columns() -> dict[str, Column]:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     total, actual, predicted = tn + fp + fn + tp, tp + fn, tp + fp
-    return cm.select(
-        total.alias("total_customers"), actual.alias("actual_churners"),
-        predicted.alias("predicted_churners"), tp.alias("correctly_identified"),
-        fn.alias("missed_churners"), fp.alias("false_alarms"),
-        safe_div(actual.cast("double"), total).alias("churn_rate"),
-        safe_div(tp.cast("double"), actual).alias("identification_rate"),
-        safe_div(fp.cast("double"), predicted).alias("false_alarm_rate"))
+    return {
+        "total_customers": total, "actual_churners": actual, "predicted_churners": predicted,
+        "correctly_identified": tp, "missed_churners": fn, "false_alarms": fp,
+        "churn_rate": safe_div(actual.cast("double"), total),
+        "identification_rate": safe_div(tp.cast("double"), actual),
+        "false_alarm_rate": safe_div(fp.cast("double"), predicted)}
 
 
-def financial_impact(cm: DataFrame, loss: float = LOSS_PER_CUSTOMER,
-                     campaign: float = CAMPAIGN_COST) -> DataFrame:
-    """saved = tp*loss, cost = (tp+fp)*campaign, lost = fn*loss, net, ROI = net/cost."""
+def _financial_columns(loss: float, campaign: float) -> dict[str, Column]:
     fp, fn, tp = (F.col(c).cast("double") for c in ("fp", "fn", "tp"))
     saved, cost, lost = tp * loss, (tp + fp) * campaign, fn * loss
     net = saved - cost - lost
-    return cm.select(
-        F.lit(float(loss)).alias("cost_per_lost_customer"),
-        F.lit(float(campaign)).alias("cost_per_retention_campaign"),
-        saved.alias("value_saved"), cost.alias("campaign_cost"), lost.alias("lost_value"),
-        net.alias("net_value"), safe_div(net, cost).alias("roi"))
+    return {
+        "cost_per_lost_customer": F.lit(float(loss)), "cost_per_retention_campaign": F.lit(float(campaign)),
+        "value_saved": saved, "campaign_cost": cost, "lost_value": lost, "net_value": net, "roi": safe_div(net, cost)}
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in columns.items()]
+
+
+def campaign_counts(cm: DataFrame) -> DataFrame:
+    """Customers, actual / predicted churners, hits, misses, false alarms, three rates."""
+    return cm.select(*_named(_campaign_columns()))
+
+
+def financial_impact(cm: DataFrame, loss: float = LOSS_PER_CUSTOMER,
+                     campaign: float = CAMPAIGN_COST) -> DataFrame:
+    """saved = tp*loss, cost = (tp+fp)*campaign, lost = fn*loss, net, ROI = net/cost."""
+    return cm.select(*_named(_financial_columns(loss, campaign)))
 
 
 def rating(c: Column) -> Column:
@@ -63,9 +72,7 @@ def _clamp_int(c: Column) -> Column:
     return F.least(F.lit(5), F.greatest(F.lit(1), c.cast("int")))  # cast truncates toward zero
 
 
-def performance_rating(m: DataFrame, accuracy: str = "accuracy", auc: str = "roc_auc") -> DataFrame:
-    """Ratings, integer scores, mean score, grade and evaluation verdict."""
-    acc, a = F.col(accuracy), F.col(auc)
+def _rating_columns(acc: Column, a: Column) -> dict[str, Column]:
     auc_score = _clamp_int((a - 0.5) * 10)
     acc_score = _clamp_int(acc * 5)
     score = (auc_score + acc_score) / 2.0
@@ -74,45 +81,68 @@ def performance_rating(m: DataFrame, accuracy: str = "accuracy", auc: str = "roc
         grade = F.when(score >= edge, F.lit(name)).otherwise(grade)
     verdict = (F.when(score >= 3.5, F.lit("APPROVED"))
                .when(score >= 2.5, F.lit("CONDITIONAL")).otherwise(F.lit("NOT RECOMMENDED")))
-    return m.select(
-        rating(a).alias("auc_rating"), rating(acc).alias("accuracy_rating"),
-        auc_score.alias("auc_score"), acc_score.alias("accuracy_score"),
-        score.alias("overall_score"), grade.alias("overall_grade"), verdict.alias("verdict"))
+    return {"auc_rating": rating(a), "accuracy_rating": rating(acc), "auc_score": auc_score,
+            "accuracy_score": acc_score, "overall_score": score, "overall_grade": grade, "verdict": verdict}
 
 
-def deployment_readiness(m: DataFrame, grade: DataFrame | None = None) -> DataFrame:
-    """Status and the three criteria flags. ``m`` has accuracy and roc_auc;
-    the grade is derived with :func:`performance_rating` unless given."""
-    g = performance_rating(m) if grade is None else grade
-    joined = m.select("accuracy", "roc_auc", g.select("overall_grade").scalar().alias("overall_grade"))
-    acc, auc, gr = F.col("accuracy"), F.col("roc_auc"), F.col("overall_grade")
-    acc_ok, auc_ok, grade_ok = acc >= 0.75, auc >= 0.8, gr.isin(ACCEPTABLE_GRADES)
+def _readiness_columns(acc: Column, auc: Column, grade: Column) -> dict[str, Column]:
+    acc_ok, auc_ok, grade_ok = acc >= 0.75, auc >= 0.8, grade.isin(ACCEPTABLE_GRADES)
     status = (F.when(acc_ok & auc_ok & grade_ok, F.lit("APPROVED"))
               .when((acc >= 0.7) & (auc >= 0.75), F.lit("CONDITIONAL")).otherwise(F.lit("NOT READY")))
+    # Recommendation sentences: fixed values that must equal the reference's.
     recommendation = (F.when(status == "APPROVED", F.lit("Model is ready for production deployment"))
                       .when(status == "CONDITIONAL", F.lit("Model can be deployed with close monitoring"))
                       .otherwise(F.lit("Model needs improvement before deployment")))
-    return joined.select(status.alias("status"), recommendation.alias("recommendation"),
-                         acc_ok.alias("accuracy_threshold"), auc_ok.alias("auc_threshold"),
-                         grade_ok.alias("grade_acceptable"))
-
-
-def key_metrics(m: DataFrame, cm: DataFrame, tree_stats: DataFrame | None = None) -> DataFrame:
-    """Long-form ``(section, metric, value)``; missing inputs default to 0."""
-    fin = financial_impact(cm)
-    camp = campaign_counts(cm)
-    pairs = [("model_performance", k, m.select(F.col(k).cast("double")).scalar())
-             for k in ("accuracy", "precision", "recall", "f1", "roc_auc")]
-    pairs += [("business_impact", "net_value", fin.select("net_value").scalar()),
-              ("business_impact", "roi_percentage", fin.select(F.col("roi") * 100).scalar()),
-              ("business_impact", "customers_at_risk", camp.select(F.col("actual_churners").cast("double")).scalar()),
-              ("business_impact", "customers_to_target", camp.select(F.col("predicted_churners").cast("double")).scalar())]
+    return {"status": status, "recommendation": recommendation, "accuracy_threshold": acc_ok,
+            "auc_threshold": auc_ok, "grade_acceptable": grade_ok}
+
+
+def performance_rating(m: DataFrame, accuracy: str = "accuracy", auc: str = "roc_auc") -> DataFrame:
+    """Ratings, integer scores, mean score, grade and evaluation verdict."""
+    return m.select(*_named(_rating_columns(F.col(accuracy), F.col(auc))))
+
+
+def deployment_readiness(m: DataFrame, grade: DataFrame | None = None) -> DataFrame:
+    """Status and the three criteria flags. ``m`` has accuracy and roc_auc;
+    the grade is derived as in :func:`performance_rating` unless given."""
+    acc, auc = F.col("accuracy"), F.col("roc_auc")
+    given = _rating_columns(acc, auc)["overall_grade"] if grade is None else grade.select("overall_grade").scalar()
+    return m.select(*_named(_readiness_columns(acc, auc, given)))
+
+
+def _with_stats(m: DataFrame, tree_stats: DataFrame | None) -> DataFrame:
+    """The metrics row with the tree statistics (NULL without them) as the struct ``tree``."""
+    fields = ("max_depth", "n_nodes", "n_features_used", "total_features")
+    if tree_stats is None:
+        return m.withColumn("tree", F.struct(*[F.lit(None).cast("long").alias(k) for k in fields]))
+    return m.withColumn("tree", tree_stats.select(F.struct(*[F.col(k).cast("long").alias(k) for k in fields])).scalar())
+
+
+def key_metrics(m: DataFrame, tree_stats: DataFrame | None = None, loss: float = LOSS_PER_CUSTOMER,
+                campaign: float = CAMPAIGN_COST) -> DataFrame:
+    """Long-form ``(section, metric, value, text)`` from one metrics row (with its confusion cells).
+
+    Numbers stand in ``value`` (flags as 0 / 1; missing: 0), the grade, status and recommendation in ``text``."""
+    acc, auc = F.col("accuracy"), F.col("roc_auc")
+    fin, camp, rated = _financial_columns(loss, campaign), _campaign_columns(), _rating_columns(acc, auc)
+    ready = _readiness_columns(acc, auc, rated["overall_grade"])
+
+    def row(section: str, metric: str, value: Column | None = None, text: Column | None = None) -> Column:
+        number = F.lit(None).cast("double") if value is None else F.coalesce(value.cast("double"), F.lit(0.0))
+        words = F.lit(None).cast("string") if text is None else text
+        return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), number.alias("value"), words.alias("text"))
+
+    rows = [row("model_performance", k, F.col(k)) for k in ("accuracy", "precision", "recall", "f1", "roc_auc")]
+    rows += [row("model_performance", "overall_grade", text=rated["overall_grade"]),
+             row("business_impact", "net_value", fin["net_value"]),
+             row("business_impact", "roi_percentage", fin["roi"] * 100),
+             row("business_impact", "customers_at_risk", camp["actual_churners"]),
+             row("business_impact", "customers_to_target", camp["predicted_churners"])]
     if tree_stats is not None:
-        for k in ("max_depth", "n_nodes", "n_features_used", "total_features"):
-            pairs.append(("model_complexity", k, tree_stats.select(F.col(k).cast("double")).scalar()))
-    arr = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(k).alias("metric"),
-                             F.coalesce(v, F.lit(0.0)).alias("value")) for s, k, v in pairs])
-    return m.select(F.inline(arr))
+        rows += [row("model_complexity", k, F.col(f"tree.{k}")) for k in ("max_depth", "n_nodes", "n_features_used", "total_features")]
+    rows += [row("deployment_readiness", k, text=ready[k]) for k in ("status", "recommendation")]
+    rows += [row("deployment_readiness", k, ready[k]) for k in ("accuracy_threshold", "auc_threshold", "grade_acceptable")]
+    return _with_stats(m, tree_stats).select(F.inline(F.array(*rows)))
 
 
 def strengths_weaknesses(m: DataFrame) -> DataFrame:
@@ -131,18 +161,37 @@ def strengths_weaknesses(m: DataFrame) -> DataFrame:
     return out.select("kind", "label", F.col("value").alias("value"))
 
 
-def deployment_report(m: DataFrame) -> DataFrame:
-    """``(metric, value, ok)``: grade, accuracy and AUC carry a status flag."""
-    g = performance_rating(m).select("overall_grade").scalar()
-    def row(metric, value, ok):
-        return F.struct(F.lit(metric).alias("metric"), value.alias("value"), ok.alias("ok"))
-    none = F.lit(None).cast("boolean")
-    arr = F.array(
-        row("Overall Grade", g, g.isin(ACCEPTABLE_GRADES)),
-        row("Accuracy", F.format_number(F.col("accuracy"), 6), F.col("accuracy") >= 0.75),
-        row("ROC AUC", F.format_number(F.col("roc_auc"), 6), F.col("roc_auc") >= 0.8),
-        row("Precision", F.format_number(F.col("precision"), 6), none),
-        row("Recall", F.format_number(F.col("recall"), 6), none),
-        row("F1-Score", F.format_number(F.col("f1"), 6), none),
-    )
-    return m.select(F.inline(arr))
+def deployment_report(m: DataFrame, tree_stats: DataFrame | None = None, loss: float = LOSS_PER_CUSTOMER,
+                      campaign: float = CAMPAIGN_COST) -> DataFrame:
+    """``(section, metric, value, ok)``: status, performance, impact, complexity and the criteria;
+    grade, accuracy, AUC and the criteria carry a flag."""
+    acc, auc = F.col("accuracy"), F.col("roc_auc")
+    fin, camp, rated = _financial_columns(loss, campaign), _campaign_columns(), _rating_columns(acc, auc)
+    ready = _readiness_columns(acc, auc, rated["overall_grade"])
+
+    def row(section: str, metric: str, value: Column, ok: Column | None = None) -> Column:
+        flag = F.lit(None).cast("boolean") if ok is None else ok
+        return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), value.cast("string").alias("value"), flag.alias("ok"))
+
+    def number(c: Column, digits: int) -> Column:
+        return F.format_string(f"%.{digits}f", c.cast("double"))
+
+    rows = [
+        row("status", "Deployment Status", ready["status"], ready["status"] == "APPROVED"),
+        row("status", "Recommendation", ready["recommendation"]),
+        row("performance", "Overall Grade", rated["overall_grade"], ready["grade_acceptable"]),
+        row("performance", "Accuracy", number(acc, 6), ready["accuracy_threshold"]),
+        row("performance", "ROC AUC", number(auc, 6), ready["auc_threshold"]),
+        row("performance", "Precision", number(F.col("precision"), 6)),
+        row("performance", "Recall", number(F.col("recall"), 6)),
+        row("performance", "F1-Score", number(F.col("f1"), 6)),
+        row("impact", "Net Value", number(fin["net_value"], 2)),
+        row("impact", "ROI Percent", number(fin["roi"] * 100, 4)),
+        row("impact", "Customers at Risk", camp["actual_churners"]),
+        row("impact", "Target for Campaigns", camp["predicted_churners"])]
+    if tree_stats is not None:
+        rows += [row("complexity", "Tree Depth", F.col("tree.max_depth")), row("complexity", "Total Nodes", F.col("tree.n_nodes")),
+                 row("complexity", "Features Used", F.col("tree.n_features_used")),
+                 row("complexity", "Total Features", F.col("tree.total_features"))]
+    rows += [row("criteria", k, ready[k], ready[k]) for k in ("accuracy_threshold", "auc_threshold", "grade_acceptable")]
+    return _with_stats(m, tree_stats).select(F.inline(F.array(*rows)))

@@ -150,9 +150,8 @@ def summary_row(pred: DataFrame, label: str = "label", score: str = "p1",
                 prediction: str = "prediction") -> DataFrame:
     """Accuracy, precision, recall, f1, roc_auc, average_precision and the confusion cells in one row."""
     r = rates(confusion(pred, label, prediction))
-    a = auc_ap(pred, label, score)
-    return r.select("*", a.select("roc_auc").scalar().alias("roc_auc"),
-                    a.select("average_precision").scalar().alias("average_precision"))
+    areas = auc_ap(pred, label, score).select(F.struct("roc_auc", "average_precision")).scalar()
+    return r.select("*", areas.alias("areas")).select(*r.columns, "areas.roc_auc", "areas.average_precision")
 
 
 def compare_models(metrics: DataFrame, baseline: str, candidate: str) -> DataFrame:

@@ -219,18 +219,19 @@ bs{L} AS (SELECT * FROM (SELECT cg.*, row_number() OVER (PARTITION BY node ORDER
                          FROM cg{L} cg) WHERE rk = 1)"""
 
 
-TREE = TREE_BASE + "," + f"""
-r0 AS (SELECT id, label, CAST(1 AS BIGINT) AS node FROM trows),""" + _level(0, "r0") + "," + """
-r1 AS (SELECT r.id, r.label, CASE WHEN t.value <= b.thr THEN 2 * r.node ELSE 2 * r.node + 1 END AS node
-       FROM r0 r JOIN bs0 b ON b.node = r.node JOIN tenc t ON t.id = r.id AND t.fidx = b.fidx),""" + _level(1, "r1") + "," + """
-r2 AS (SELECT r.id, r.label, CASE WHEN t.value <= b.thr THEN 2 * r.node ELSE 2 * r.node + 1 END AS node
-       FROM r1 r JOIN bs1 b ON b.node = r.node JOIN tenc t ON t.id = r.id AND t.fidx = b.fidx),
-ns2 AS (SELECT r.node, count(*) AS n, count(*) FILTER (WHERE r.label = 0) * cw.c0 AS w0,
-               count(*) FILTER (WHERE r.label = 1) * cw.c1 AS w1 FROM r2 r, cw GROUP BY r.node, cw.c0, cw.c1),
-allns AS (SELECT node, 0 AS depth, n, w0, w1 FROM ns0 UNION ALL SELECT node, 1, n, w0, w1 FROM ns1
-          UNION ALL SELECT node, 2, n, w0, w1 FROM ns2),
-allbs AS (SELECT node, fidx, thr FROM bs0 UNION ALL SELECT node, fidx, thr FROM bs1),
-nodes AS (SELECT a.node AS node_id, CASE WHEN a.node = 1 THEN NULL ELSE a.node // 2 END AS parent_id, a.depth,
+def tree_levels(depth: int) -> str:
+    """CTEs of a whole tree of ``depth`` levels over ``trows`` and ``tenc``: nodes, impurities, decreases."""
+    parts = ["r0 AS (SELECT id, label, CAST(1 AS BIGINT) AS node FROM trows)"]
+    for lv in range(depth):
+        parts.append(_level(lv, f"r{lv}").strip())
+        parts.append(f"""r{lv + 1} AS (SELECT r.id, r.label, CASE WHEN t.value <= b.thr THEN 2 * r.node ELSE 2 * r.node + 1 END AS node
+       FROM r{lv} r JOIN bs{lv} b ON b.node = r.node JOIN tenc t ON t.id = r.id AND t.fidx = b.fidx)""")
+    parts.append(f"""ns{depth} AS (SELECT r.node, count(*) AS n, count(*) FILTER (WHERE r.label = 0) * cw.c0 AS w0,
+               count(*) FILTER (WHERE r.label = 1) * cw.c1 AS w1 FROM r{depth} r, cw GROUP BY r.node, cw.c0, cw.c1)""")
+    stats = " UNION ALL ".join(f"SELECT node, {lv} AS depth, n, w0, w1 FROM ns{lv}" for lv in range(depth + 1))
+    splits = " UNION ALL ".join(f"SELECT node, fidx, thr FROM bs{lv}" for lv in range(depth))
+    parts.append(f"allns AS ({stats}),\nallbs AS ({splits})")
+    parts.append("""nodes AS (SELECT a.node AS node_id, CASE WHEN a.node = 1 THEN NULL ELSE a.node // 2 END AS parent_id, a.depth,
                  f.feature AS feature, b.fidx AS feature_idx, b.thr AS threshold, a.n, a.w0, a.w1,
                  a.w1 / (a.w0 + a.w1) AS p1, CASE WHEN a.w1 / (a.w0 + a.w1) > 0.5 THEN 1 ELSE 0 END AS prediction,
                  b.node IS NULL AS is_leaf,
@@ -240,7 +241,11 @@ ent AS (SELECT nodes.*, """ + _ent("w0", "w1") + """ AS imp FROM nodes),
 dec AS (SELECT p.node_id, p.feature_idx, p.feature,
                (p.w0 + p.w1) * p.imp - (l.w0 + l.w1) * l.imp - (r.w0 + r.w1) * r.imp AS decrease
         FROM ent p JOIN ent l ON l.node_id = 2 * p.node_id JOIN ent r ON r.node_id = 2 * p.node_id + 1
-        WHERE NOT p.is_leaf)"""
+        WHERE NOT p.is_leaf)""")
+    return ",\n".join(parts)
+
+
+TREE = TREE_BASE + ",\n" + tree_levels(2)
 
 TREE_ALL = with_(FRAME, clean_ctes(), SPLIT, ENC, TREE)
 

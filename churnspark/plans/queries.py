@@ -412,9 +412,11 @@ def q_batch_scoring(spark, d):
 
 def q_key_metrics(spark, d):
     pred = tree5(spark, d).predict(test_enc(spark, d))
-    m = M.summary_row(pred)
-    st = H.tree_stats(tree5(spark, d).nodes_df(spark), len(pm_names(spark, d)))
-    return I.key_metrics(m, M.confusion(pred), st)
+    return I.key_metrics(M.summary_row(pred), _tree5_stats(spark, d))
+
+
+def _tree5_stats(spark, d) -> DataFrame:
+    return H.tree_stats(tree5(spark, d).nodes_df(spark), len(pm_names(spark, d)))
 
 
 def pm_names(spark, d):
@@ -423,7 +425,7 @@ def pm_names(spark, d):
 
 def q_deployment_report(spark, d):
     pred = tree5(spark, d).predict(test_enc(spark, d))
-    return I.deployment_report(M.summary_row(pred))
+    return I.deployment_report(M.summary_row(pred), _tree5_stats(spark, d))
 
 
 def q_campaign_targets(spark, d):
