@@ -74,23 +74,35 @@ def running_counts(pred: DataFrame, label: str = "label", score: str = "p1",
 
 
 def roc_curve(pred: DataFrame, label: str = "label", score: str = "p1", rc: DataFrame | None = None) -> DataFrame:
-    """``(threshold, tp, fp, tpr, fpr)`` one row per distinct score (all points kept)."""
+    """``(threshold, tp, fp, tpr, fpr)`` one row per distinct score (all points kept), after the
+    start point (0, 0) at an infinite threshold; no rows without predictions."""
     rc = running_counts(pred, label, score) if rc is None else rc
     P, N = rc.agg(F.sum("pos")).scalar(), rc.agg(F.sum("neg")).scalar()  # scalar subqueries
-    return rc.select(
+    points = rc.select(
         F.col("score").alias("threshold"), "tp", "fp",
         safe_div(F.col("tp"), P).alias("tpr"),
         safe_div(F.col("fp"), N).alias("fpr"))
+    start = _if_any(rc).select(F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("tp"),
+                               F.lit(0).cast("long").alias("fp"), F.lit(0.0).alias("tpr"), F.lit(0.0).alias("fpr"))
+    return points.unionByName(start)
+
+
+def _if_any(rc: DataFrame) -> DataFrame:
+    """One row if there are any points."""
+    return rc.agg(F.count(F.lit(1)).alias("points")).filter("points > 0")
 
 
 def pr_curve(pred: DataFrame, label: str = "label", score: str = "p1", rc: DataFrame | None = None) -> DataFrame:
-    """``(threshold, precision, recall)`` per distinct score."""
+    """``(threshold, precision, recall)`` per distinct score, and the end point
+    (recall 0, precision 1), which has no threshold; no rows without predictions."""
     rc = running_counts(pred, label, score) if rc is None else rc
     P = rc.agg(F.sum("pos")).scalar()
-    return rc.select(
+    points = rc.select(
         F.col("score").alias("threshold"),
         safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         safe_div(F.col("tp"), P).alias("recall"))
+    end = _if_any(rc).select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    return points.unionByName(end)
 
 
 def auc_ap(pred: DataFrame, label: str = "label", score: str = "p1", rc: DataFrame | None = None) -> DataFrame:

@@ -395,10 +395,12 @@ FROM p2r p JOIN nodes n ON n.node_id = p.node""",
         "g2_rates": cm + "\n" + RATES_SEL,
         "g4_roc": run + f"""
 SELECT {r6('score')} AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
-       {r6(_sd('tp', '(SELECT sum(pos) FROM sc)'))} AS tpr, {r6(_sd('fp', '(SELECT sum(neg) FROM sc)'))} AS fpr FROM rc""",
+       {r6(_sd('tp', '(SELECT sum(pos) FROM sc)'))} AS tpr, {r6(_sd('fp', '(SELECT sum(neg) FROM sc)'))} AS fpr FROM rc
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0, 0.0, 0.0 WHERE EXISTS (SELECT * FROM rc)""",
         "g5_auc_ap": run + "\n" + AUC_SEL,
         "g6_pr": run + f"""
-SELECT {r6('score')} AS threshold, {r6(_sd('tp', 'tp + fp'))} AS precision, {r6(_sd('tp', '(SELECT sum(pos) FROM sc)'))} AS recall FROM rc""",
+SELECT {r6('score')} AS threshold, {r6(_sd('tp', 'tp + fp'))} AS precision, {r6(_sd('tp', '(SELECT sum(pos) FROM sc)'))} AS recall FROM rc
+UNION ALL SELECT NULL, 1.0, 0.0 WHERE EXISTS (SELECT * FROM rc)""",
         "g8_report": cm + f""",
 rp AS (SELECT '0' AS class, {_sd('tn', 'tn + fn')} AS precision, {_sd('tn', 'tn + fp')} AS recall,
               {_sd('2 * tn', '2 * tn + fn + fp')} AS f1, tn + fp AS support,

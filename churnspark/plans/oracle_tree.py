@@ -1,4 +1,4 @@
-"""SQL twins of the queries on the depth-5 tree (grown on the SMOTE-resampled train split).
+"""SQL twins of the queries on the depth-5 tree (grown on the SMOTE-resampled train split) and on single operators.
 
 The tree is grown anew in SQL, level by level, on the rows that the SMOTE twin
 makes; paths, reports and scores are then read off its ``nodes``.
@@ -6,8 +6,10 @@ makes; paths, reports and scores are then read off its ``nodes``.
 
 from __future__ import annotations
 
-from churnspark.plans.oracle import (CAT, CONFUSION, ENC, FRAME, IMPORTANCE, KNN, MIN_LEAF, MIN_SPLIT, NUM, RUNNING, SCORES, SEED, SMOTE,
-                                     SPLIT, TREE_ALL, _paths_sql, clean_ctes, r6, tree_levels, with_)
+import re
+
+from churnspark.plans.oracle import (CAT, CONFUSION, ENC, FRAME, IMPORTANCE, KNN, MIN_LEAF, MIN_SPLIT, NUM, RULE_PRED, RUNNING, SCORES, SEED,
+                                     SMOTE, SPLIT, TREE_ALL, _bounds, _md5_prefix, _paths_sql, clean_ctes, r6, tree_levels, with_)
 
 DEPTH = 5
 IMPORTANT_SHARE = 0.05
@@ -182,6 +184,74 @@ def _model_card() -> str:
                                + [f"SELECT '{k}', CAST({c} AS VARCHAR) FROM st" for k, c in found])
 
 
+def _renamed(sql: str, names: tuple[str, ...], prefix: str) -> str:
+    return re.sub(rf"\b({'|'.join(names)})\b", rf"{prefix}\1", sql)
+
+
+def _columns() -> str:
+    return f"""
+SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS ordinal, column_name AS "column",
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' END AS dtype,
+       CASE WHEN column_name = 'id' THEN 'id' WHEN column_name = 'churn' THEN 'target' WHEN column_type = 'VARCHAR' THEN 'categorical'
+            WHEN column_type IN ('BIGINT', 'DOUBLE', 'INTEGER') THEN 'numeric' ELSE 'ignored' END AS role
+FROM (DESCRIBE {with_(FRAME)} SELECT * FROM frame)"""
+
+
+def _further() -> dict[str, str]:
+    """Twins of the queries on single operators."""
+    joint = ",\n".join(f"b{i} AS ({_bounds('frame', c)})" for i, c in enumerate(NUM))
+    inside = " AND ".join(f"frame.{c} >= b{i}.lo AND frame.{c} <= b{i}.hi" for i, c in enumerate(NUM))
+    names = ("pred", "cm", "sc", "rc", "mt")
+    compare = with_(*BLOCKS, TEST_PRED, CONFUSION, RUNNING, RAW_RATES, STATS,
+                    *[_renamed(b, names, "rule_") for b in (RULE_PRED, CONFUSION, RUNNING, RAW_RATES)])
+    bad = {"acctbal": "f.id % 10 = 0", "spend": "f.id % 10 = 1", "quantity": "f.id % 10 = 2", "segment": "f.id % 10 = 3"}
+    flagged = " OR ".join(f"f.{c} IS NULL OR {bad.get(c, 'false')}" for c in [*NUM, *CAT])
+    p1 = "(LEAST(1.0, 2.0 / (1 + order_count)) * 1.5 - 0.25)"
+    rule = "CASE WHEN c.side = 'left' THEN printf('%s <= %.3f', p.feature, p.threshold) ELSE printf('%s > %.3f', p.feature, p.threshold) END"
+    vector = {5: "[CAST(acctbal AS DOUBLE), spend, tenure_days, 0, 0]", 2: "[CAST(acctbal AS DOUBLE), spend]"}
+    return {
+        "b2_columns": _columns(),
+        "b8_feature_types": f"""WITH c AS ({_columns()})
+SELECT role, (SELECT count(*) FROM c WHERE c.role = r.role OR (r.role = 'total' AND c.role IN ('numeric', 'categorical'))) AS n
+FROM (VALUES ('numeric'), ('categorical'), ('ignored'), ('total')) AS r(role)""",
+        "c5_joint_filter": with_(FRAME, joint) + "\nSELECT frame.* FROM frame, " + ", ".join(f"b{i}" for i in range(len(NUM))) + f" WHERE {inside}",
+        "d8_prepared": with_(FRAME, clean_ctes(), SPLIT, ENC, KNN, SMOTE) + f"""
+SELECT id, syn, label, is_synthetic, FALSE AS is_test, CAST(feature_idx AS INTEGER) AS feature_idx, {r6('value')} AS value FROM realr
+UNION ALL SELECT id, syn, label, is_synthetic, FALSE, CAST(feature_idx AS INTEGER), {r6('value')} FROM synth
+UNION ALL SELECT id, -1, label, FALSE, TRUE, CAST(fidx AS INTEGER), {r6('value')} FROM enc WHERE is_test""",
+        "f5_folds": with_(FRAME, clean_ctes(), SPLIT) + f"""
+SELECT id, churn AS label, CAST((row_number() OVER (PARTITION BY churn ORDER BY {_md5_prefix(f'{SEED}:fold', 'id')}, id) - 1) % 5 AS INTEGER) AS fold
+FROM train""",
+        "g16_compare": compare + f"""
+SELECT 'tree' AS baseline, 'rule' AS candidate, {r6('r.accuracy - t.accuracy')} AS accuracy_delta, {r6('r.roc_auc - t.roc_auc')} AS auc_delta,
+       CAST(n_features_used - 1 AS DOUBLE) AS features_removed, {r6('CASE WHEN n_features_used = 0 THEN 0 ELSE (n_features_used - 1) / n_features_used END')}
+       AS feature_reduction FROM mt t, rule_mt r, st""",
+        "h2_node_table": TREE_ALL + f"""
+SELECT CAST(c.node_id AS BIGINT) AS node_id, CAST(c.depth AS INTEGER) AS depth, CASE WHEN p.node_id IS NULL THEN 'Root' ELSE {rule} END AS parent_rule,
+       CAST(c.n AS BIGINT) AS n, {r6('c.w0')} AS w0, {r6('c.w1')} AS w1, {r6('1 - c.p1')} AS p0, {r6('c.p1')} AS p1,
+       CASE WHEN c.prediction = 1 THEN 'Churn' ELSE 'No Churn' END AS predicted_class, c.is_leaf, c.feature, {r6('c.threshold')} AS threshold,
+       CASE WHEN NOT c.is_leaf THEN printf('%s <= %.3f', c.feature, c.threshold) END AS split_rule
+FROM nodes c LEFT JOIN nodes p ON p.node_id = c.parent_id""",
+        "h9_used_features": with_(*BLOCKS, IMPORTANCE) + f"""
+SELECT CAST(feature_idx AS INTEGER) AS feature_idx, feature, {r6('importance')} AS importance, {r6('importance_pct')} AS importance_pct,
+       CAST(row_number() OVER (ORDER BY importance DESC, feature_idx) AS INTEGER) AS rank FROM fi3 WHERE importance > 0""",
+        "j1_default_fill": with_(FRAME) + """
+SELECT id, acctbal, segment, CAST(6 AS INTEGER) AS month, CAST(2024 AS INTEGER) AS year, CAST(0 AS INTEGER) AS spend, 'Male' AS gender,
+       'Hue' AS district, 'Unknown' AS nation FROM frame""",
+        "j2_align_by_name": with_(FRAME) + f"""
+SELECT id, {r6('spend')} AS spend, CAST(0 AS DOUBLE) AS complaints, CAST(order_count AS DOUBLE) AS order_count FROM frame""",
+        "j3_align_by_position": with_(FRAME) + "\n" + "\nUNION ALL ".join(
+            f"SELECT id, CAST({n} AS INTEGER) AS n_expected, CAST(unnest(range({n})) AS INTEGER) AS pos, {r6(f'unnest({v})')} AS value FROM frame"
+            for n, v in vector.items()),
+        "j4_repair": with_(FRAME) + f""",
+moved AS (SELECT id, 1.1 - {p1} AS a, {p1} AS b FROM frame),
+cut AS (SELECT id, GREATEST(a / (a + b), 0.0) AS a, GREATEST(b / (a + b), 0.0) AS b FROM moved)
+SELECT id, {r6('a / (a + b)')} AS p0, {r6('b / (a + b)')} AS p1 FROM cut""",
+        "j5_fallback": with_(*BLOCKS, SCORED.replace(UNUSABLE, flagged)) + f"""
+SELECT id, {r6('p1')} AS p1, is_fallback, decision, risk_tier FROM tiers""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     importance = with_(*BLOCKS, IMPORTANCE)
     paths = with_(*BLOCKS, _paths())
@@ -189,6 +259,7 @@ def oracle_sql() -> dict[str, str]:
     scored = with_(*BLOCKS, SCORED)
     by_importance = "ORDER BY importance DESC, feature_idx"
     return {
+        **_further(),
         "f13_model_card": with_(*BLOCKS, STATS) + "\n" + _model_card(),
         "g13_top_features": importance + f"""
 SELECT * FROM (SELECT CAST(feature_idx AS INTEGER) AS feature_idx, feature, {r6('importance')} AS importance, {r6('importance_pct')} AS importance_pct,

@@ -22,8 +22,9 @@ from churnspark.operators import score as J
 from churnspark.operators.balance import imbalance_table, knn, smote
 from churnspark.operators.encode import Preprocessor
 from churnspark.operators.outliers import bounds_table, iqr_bounds, remove_outliers
-from churnspark.operators.split import stratified_split
+from churnspark.operators.split import stratified_folds, stratified_split
 from churnspark.operators.tree import TreeParams, class_weight_table, class_weights, fit_tree
+from churnspark.plans.prepare import prepare
 from churnspark.sources.tables import churn_frame
 from churnspark.spec import FrameSpec
 from churnspark.streaming.scoring import scoring_plan
@@ -433,7 +434,98 @@ def q_campaign_targets(spark, d):
     return J.campaign_targets(q_batch_scoring(spark, d), 100)
 
 
+# ------------------------------------------------------- further operators --
+def q_columns(spark, d):
+    return B.column_types(frame(spark, d))
+
+
+def q_feature_types(spark, d):
+    return B.feature_type_counts(frame(spark, d))
+
+
+def q_joint_filter(spark, d):
+    """Bounds of all columns from the unfiltered rows."""
+    return remove_outliers(frame(spark, d), list(spec(spark, d).numeric), mode="joint").frame
+
+
+def q_prepared(spark, d):
+    """The preparation pipeline in one call: resampled train rows and test rows, encoded."""
+    p = _memo(spark, d, "prepared", lambda: prepare(frame(spark, d)))
+    test = p.test.select("id", F.lit(-1).alias("syn"), "label", *p.features, F.lit(False).alias("is_synthetic"), F.lit(True).alias("is_test"))
+    rows = p.resampled.withColumn("is_test", F.lit(False)).unionByName(test)
+    pairs = F.array(*[F.struct(F.lit(i).alias("feature_idx"), F.col(f).alias("value")) for i, f in enumerate(p.features)])
+    return rows.select("id", "syn", "label", "is_synthetic", "is_test", F.inline(pairs))
+
+
+def q_folds(spark, d):
+    return stratified_folds(train_enc(spark, d), "label").select("id", "label", "fold")
+
+
+def q_compare(spark, d):
+    """The depth-5 tree against the fixed rule (one input column) on the test split."""
+    stats = _tree5_stats(spark, d).select("n_features_used").scalar()
+    rows = [M.summary_row(p).select(F.lit(name).alias("model_id"), "accuracy", "roc_auc", n.cast("double").alias("n_features"))
+            for name, p, n in (("tree", tree5(spark, d).predict(test_enc(spark, d)), stats), ("rule", rule_predictions(spark, d), F.lit(1)))]
+    return M.compare_models(rows[0].unionByName(rows[1]), "tree", "rule")
+
+
+def q_node_table(spark, d):
+    return H.node_table(tree2_nodes(spark, d))
+
+
+def q_used_features(spark, d):
+    imp = G.feature_importance(tree5(spark, d).nodes_df(spark), dictionary(spark, d))
+    return G.top_features(imp, len(pm_names(spark, d)), used_only=True)
+
+
+def q_default_fill(spark, d):
+    """Requests with some of the columns; the rest get their defaults."""
+    requests = frame(spark, d).select("id", "acctbal", "segment")
+    return J.fill_defaults(requests, ["acctbal", "month", "year", "spend"], ["segment", "gender", "district", "nation"])
+
+
+def q_align_by_name(spark, d):
+    return J.align_by_name(frame(spark, d), ["spend", "complaints", "order_count"], keep=["id"])
+
+
+def q_align_by_position(spark, d):
+    """A vector of three values brought to a length of five and of two."""
+    v = F.array(*[F.col(c).cast("double") for c in ("acctbal", "spend", "tenure_days")])
+    vectors = F.array(*[F.struct(F.lit(n).alias("n_expected"), J.align_by_position(v, n).alias("v")) for n in (5, 2)])
+    return frame(spark, d).select("id", F.inline(vectors)).select("id", "n_expected", F.posexplode("v").alias("pos", "value"))
+
+
+def q_repair(spark, d):
+    """The rule's scores moved out of [0, 1] and off a sum of 1."""
+    p1 = F.col("p1") * 1.5 - 0.25
+    q0, q1 = J.repair_probabilities(F.lit(1.1) - p1, p1)
+    return rule_scores(spark, d).select("id", q0.alias("p0"), q1.alias("p1"))
+
+
+def q_fallback(spark, d):
+    """Every customer scored, a part of them with values made unusable by the last digit of the id."""
+    digit = F.col("id") % 10
+    bad = (frame(spark, d).withColumn("acctbal", F.when(digit != 0, F.col("acctbal")))
+           .withColumn("spend", F.when(digit == 1, F.lit(float("nan"))).otherwise(F.col("spend")))
+           .withColumn("quantity", F.when(digit == 2, F.lit(float("inf"))).otherwise(F.col("quantity")))
+           .withColumn("segment", F.when(digit != 3, F.col("segment"))))
+    return scoring_plan(bad, prep(spark, d), tree5(spark, d))
+
+
 QUERIES.update({
+    "b2_columns": q_columns,
+    "b8_feature_types": q_feature_types,
+    "c5_joint_filter": q_joint_filter,
+    "d8_prepared": q_prepared,
+    "f5_folds": q_folds,
+    "g16_compare": q_compare,
+    "h2_node_table": q_node_table,
+    "h9_used_features": q_used_features,
+    "j1_default_fill": q_default_fill,
+    "j2_align_by_name": q_align_by_name,
+    "j3_align_by_position": q_align_by_position,
+    "j4_repair": q_repair,
+    "j5_fallback": q_fallback,
     "f6_cross_validate": q_cross_validate,
     "f12_pruning": q_pruning,
     "f13_model_card": q_model_card,
