@@ -1,8 +1,7 @@
 """Tree analysis on the node table.
 
-Node ids are heap numbers (root 1, children 2i and 2i+1), so ancestors are
-bit shifts and pre-order is a sort key -- no recursion, only joins on the
-(bounded) node table.
+A node's ``path`` holds its steps from the root, so ancestors are its prefixes
+and pre-order is its sort order -- no recursion, only joins on the node table.
 """
 
 from __future__ import annotations
@@ -44,7 +43,7 @@ def node_table(nodes: DataFrame, model_id: int = 0) -> DataFrame:
     """H2: every node with its parent rule, counts, class shares, class and split rule."""
     n = _one(nodes, model_id)
     parent = n.select(F.col("node_id").alias("pid"), F.col("feature").alias("pf"), F.col("threshold").alias("pt"))
-    j = n.join(F.broadcast(parent), n.parent_id == parent.pid, "left")  # node table: bounded by tree size
+    j = n.join(parent, n.parent_id == parent.pid, "left")
     return j.select(
         "node_id", "depth",
         F.when(F.col("pid").isNull(), F.lit("Root")).otherwise(rule_text(F.col("pf"), F.col("pt"), F.col("side") == "left")).alias("parent_rule"),
@@ -64,18 +63,15 @@ def paths(nodes: DataFrame, model_id: int = 0) -> DataFrame:
     """H4: one row per leaf: ordered rules root->leaf, counts, share, class, confidence, DFS order."""
     n = _one(nodes, model_id)
     leaves = n.filter("is_leaf")
-    steps = leaves.select(
-        F.col("node_id").alias("leaf"), "depth",
-        F.explode(F.sequence(F.lit(0), F.col("depth") - 1)).alias("d"))
-    # ancestor at depth d and the child it leads to on the way to the leaf
-    steps = steps.select("leaf", "d", F.expr("shiftright(leaf, depth - d)").alias("anc"),
-                         F.expr("shiftright(leaf, depth - d - 1)").alias("child"))
-    inner = n.filter(~F.col("is_leaf")).select(F.col("node_id").alias("anc"), "feature", "threshold")
-    rules = steps.join(F.broadcast(inner), "anc").select(
-        "leaf", "d", rule_text(F.col("feature"), F.col("threshold"), F.col("child") % 2 == 0).alias("rule"))
+    steps = leaves.filter("depth > 0").select(
+        F.col("node_id").alias("leaf"), F.col("path").alias("way"), F.explode(F.sequence(F.lit(0), F.col("depth") - 1)).alias("d"))
+    # ancestor at depth d and the step taken there on the way to the leaf
+    steps = steps.select("leaf", "d", F.expr("substring(way, 1, d)").alias("anc"), F.expr("substring(way, d + 1, 1) = 'L'").alias("left"))
+    inner = n.filter(~F.col("is_leaf")).select(F.col("path").alias("anc"), "feature", "threshold")
+    rules = steps.join(inner, "anc").select(
+        "leaf", "d", rule_text(F.col("feature"), F.col("threshold"), F.col("left")).alias("rule"))
     grouped = rules.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("d", "rule"))).alias("r"))
-    root_n = n.filter(F.col("node_id") == 1).select("n").scalar()
-    max_depth = n.agg(F.max("depth")).first()[0] or 0  # one value from the node table
+    root_n = n.filter(F.col("depth") == 0).select("n").scalar()
     out = leaves.join(grouped, leaves.node_id == grouped.leaf, "left")
     return out.select(
         F.col("node_id").alias("leaf_id"), "depth",
@@ -83,13 +79,13 @@ def paths(nodes: DataFrame, model_id: int = 0) -> DataFrame:
         F.col("n").alias("samples"), (F.col("n") / root_n).alias("share"),
         _class_name(F.col("prediction")).alias("prediction"),
         F.greatest(F.col("p1"), 1 - F.col("p1")).alias("confidence"),
-        F.expr(f"shiftleft(node_id, {int(max_depth)} - depth)").alias("dfs_key"))
+        F.col("path").alias("dfs_key"))
 
 
 def important_paths(nodes: DataFrame, model_id: int = 0, min_share: float = IMPORTANT_SHARE) -> DataFrame:
     """H5 / H6: leaves holding more than ``min_share`` of the training rows, ranked by share."""
     p = paths(nodes, model_id)
-    root_n = _one(nodes, model_id).filter(F.col("node_id") == 1).select("n").scalar()
+    root_n = _one(nodes, model_id).filter(F.col("depth") == 0).select("n").scalar()
     imp = p.filter(F.col("samples") / root_n > min_share)
     return imp.withColumn("rank", F.row_number().over(
         Window.partitionBy().orderBy(F.col("samples").desc(), "dfs_key")))  # <= 1/min_share rows
@@ -110,22 +106,20 @@ def path_summary(nodes: DataFrame, total_features: int, model_id: int = 0) -> Da
 def rule_listing(nodes: DataFrame, model_id: int = 0) -> DataFrame:
     """H8: indented rule lines in pre-order, ``(line_no, text)``, like a text tree export."""
     n = _one(nodes, model_id)
-    max_depth = n.agg(F.max("depth")).first()[0] or 0  # one value from the node table
     parent = n.select(F.col("node_id").alias("pid"), F.col("feature").alias("pf"), F.col("threshold").alias("pt"))
-    j = n.join(F.broadcast(parent), n.parent_id == parent.pid, "left")
-    key = F.expr(f"shiftleft(node_id, {int(max_depth)} - depth)")
+    j = n.join(parent, n.parent_id == parent.pid, "left")
     split_line = j.filter(F.col("pid").isNotNull()).select(
-        key.alias("k"), F.col("depth").alias("d"), F.lit(0).alias("kind"),
+        "path", F.lit(0).alias("kind"),
         F.concat(F.expr("repeat('|   ', depth - 1)"), F.lit("|--- "),
                  F.when(F.col("side") == "left", F.format_string("%s <= %.2f", F.col("pf"), F.col("pt")))
                  .otherwise(F.format_string("%s >  %.2f", F.col("pf"), F.col("pt")))).alias("text"))
     leaf_line = j.filter("is_leaf").select(
-        key.alias("k"), F.col("depth").alias("d"), F.lit(1).alias("kind"),
+        "path", F.lit(1).alias("kind"),
         F.concat(F.expr("repeat('|   ', depth)"), F.lit("|--- "),
                  F.format_string("weights: [%.2f, %.2f] class: %s", F.col("w0"), F.col("w1"),
                                  _class_name(F.col("prediction")))).alias("text"))
     lines = split_line.unionByName(leaf_line)
-    w = Window.partitionBy().orderBy("k", "d", "kind")  # one row per node: bounded by tree size
+    w = Window.partitionBy().orderBy("path", "kind")  # one row per node: bounded by tree size
     return lines.select(F.row_number().over(w).alias("line_no"), "text")
 
 

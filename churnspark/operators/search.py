@@ -21,10 +21,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from churnspark.functions.exprs import round6, safe_div
+from churnspark.functions.exprs import safe_div
 from churnspark.operators.split import stratified_folds
-from churnspark.operators.tree import (KEY_SHIFT, TreeModel, TreeParams, _key, _long_map, fit_tree,
-                                       impurity)
+from churnspark.operators.tree import (KEY_SHIFT, TreeModel, TreeParams, _key, _long_map, child, fit_tree,
+                                       impurity, route_maps)
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 # The reference's default search space (fixed values): 5 x 4 x 4 x 2 x 3 = 480 points.
@@ -64,11 +64,10 @@ def grouped_metrics(pred: DataFrame, groups: list[str], label: str = "label", sc
 
 
 def summarise(per_fold: DataFrame, groups: list[str]) -> DataFrame:
-    """Mean and population std of each metric per group."""
+    """Mean and population std of each metric per group, on raw values."""
     long = per_fold.select(*groups, F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in METRICS])))
-    return long.groupBy(*groups, "metric").agg(round6(F.avg("v")).alias("mean"),
-                                               round6(F.stddev_pop("v")).alias("std"))
+    return long.groupBy(*groups, "metric").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
 
 
 # --------------------------------------------------------------- CV (F5-F7) --
@@ -112,16 +111,10 @@ def param_grid(spark: SparkSession, grid: dict | None = None) -> DataFrame:
 
 def _paths_column(model: TreeModel, levels: int, x: Column, m: Column) -> Column:
     """Array of node ids from the root to the row's leaf (length levels + 1)."""
-    splits = model.splits()
-    fmap = _long_map({(mm << KEY_SHIFT) + n: f for (mm, n), (f, _t) in splits.items()}, "int")
-    tmap = _long_map({(mm << KEY_SHIFT) + n: t for (mm, n), (_f, t) in splits.items()}, "double")
+    maps = route_maps(model.splits())
 
     def step(acc, _i):
-        node = F.element_at(acc, -1)
-        k = _key(m, node)
-        f, t = F.element_at(fmap, k), F.element_at(tmap, k)
-        nxt = F.coalesce(node * 2 + (F.element_at(x, f + 1) > t).cast("bigint"), node)
-        return F.concat(acc, F.array(nxt))
+        return F.concat(acc, F.array(child(maps, m, F.element_at(acc, -1), x)))
     return F.aggregate(F.sequence(F.lit(1), F.lit(max(levels, 1))), F.array(F.lit(1).cast("bigint")), step)
 
 
@@ -130,7 +123,7 @@ def grid_search(df: DataFrame, features: list[str], label: str = "label", grid:
     """mean CV accuracy of every grid point; best = highest mean, first on ties.
 
     Growths = distinct (criterion, max_features, min_samples_leaf); each is
-    grown once per fold to the depth cap with min_samples_split = 2, and the
+    grown once per fold without a depth limit with min_samples_split = 2, and the
     max_depth / min_samples_split points are evaluated as truncations.
     """
     spark = df.sparkSession
@@ -176,7 +169,7 @@ def grid_search(df: DataFrame, features: list[str], label: str = "label", grid:
         md = p["max_depth"] if p["max_depth"] is not None else 10 ** 6
         mean, std = res[(g, md, p["min_samples_split"])]
         table.append((i, p["criterion"], p["max_depth"], None if p["max_features"] is None else str(p["max_features"]),
-                      p["min_samples_leaf"], p["min_samples_split"], round(mean, 6), round(std, 6)))
+                      p["min_samples_leaf"], p["min_samples_split"], mean, std))
     best = max(table, key=lambda r: (r[6], -r[0]))
     results = spark.createDataFrame(
         table, "combo_id int, criterion string, max_depth int, max_features string, min_samples_leaf int, "
@@ -192,28 +185,26 @@ class _Pruner:
 
     def __init__(self, model: TreeModel, model_id: int = 0):
         self.nodes = {r["node_id"]: dict(r) for r in model.nodes if r["model_id"] == model_id}
-        self.root_w = self.nodes[1]["w0"] + self.nodes[1]["w1"]
-        self.crit = model.params.criterion
+        self.children: dict[int, list[int]] = {}
+        for nid, r in sorted(self.nodes.items()):
+            if r["parent_id"] is not None:
+                self.children.setdefault(r["parent_id"], []).append(nid)
+        root_w = self.nodes[1]["w0"] + self.nodes[1]["w1"]
+        self.risk = {nid: (n["w0"] + n["w1"]) / root_w * impurity(n["w0"], n["w1"], model.params.criterion)
+                     for nid, n in self.nodes.items()}
         self.leaf = {nid: n["is_leaf"] for nid, n in self.nodes.items()}
 
-    def r(self, nid: int) -> float:
-        n = self.nodes[nid]
-        return (n["w0"] + n["w1"]) / self.root_w * impurity(n["w0"], n["w1"], self.crit)
-
-    def subtree(self, nid: int) -> tuple[float, int]:
-        if self.leaf[nid]:
-            return self.r(nid), 1
-        a, la = self.subtree(2 * nid)
-        b, lb = self.subtree(2 * nid + 1)
-        return a + b, la + lb
+    def below(self) -> dict[int, tuple[float, int]]:
+        """Leaf risk and leaf count under every node, children (larger ids) first."""
+        out: dict[int, tuple[float, int]] = {}
+        for nid in sorted(self.leaf, reverse=True):
+            parts = [(self.risk[nid], 1)] if self.leaf[nid] else [out[c] for c in self.children[nid]]
+            out[nid] = sum(r for r, _ in parts), sum(n for _, n in parts)
+        return out
 
     def candidates(self) -> list[tuple[float, int]]:
-        out = []
-        for nid, is_leaf in self.leaf.items():
-            if not is_leaf:
-                r_sub, n_leaves = self.subtree(nid)
-                out.append(((self.r(nid) - r_sub) / (n_leaves - 1), nid))
-        return out
+        below = self.below()
+        return [((self.risk[nid] - below[nid][0]) / (below[nid][1] - 1), nid) for nid, is_leaf in self.leaf.items() if not is_leaf]
 
     def step(self) -> float | None:
         cands = self.candidates()
@@ -222,41 +213,26 @@ class _Pruner:
         a_min = min(a for a, _ in cands)
         for a, nid in cands:
             if a <= a_min + 1e-15 and nid in self.leaf:
-                _collapse(self.leaf, nid)
+                self._collapse(nid)
         return a_min
 
+    def _collapse(self, nid: int) -> None:
+        self.leaf[nid] = True
+        gone = list(self.children[nid])
+        while gone:
+            if self.leaf.pop(c := gone.pop(), None) is False:
+                gone += self.children[c]
+
 
 def pruning_path(model: TreeModel, model_id: int = 0) -> list[tuple[float, float]]:
     """``(alpha, total leaf impurity)`` from the full tree (alpha 0) down to the root alone."""
     pr = _Pruner(model, model_id)
-    out = [(0.0, pr.subtree(1)[0])]
+    out = [(0.0, pr.below()[1][0])]
     while True:
         a = pr.step()
         if a is None:
             return out
-        out.append((a, pr.subtree(1)[0]))
-
-
-def _ancestors(nid: int):
-    nid //= 2
-    while nid >= 1:
-        yield nid
-        nid //= 2
-
-
-def _collapse(leaf: dict, nid: int) -> None:
-    leaf[nid] = True
-    for c in (2 * nid, 2 * nid + 1):
-        if c in leaf:
-            leaf.pop(c)
-            _drop_below(leaf, c)
-
-
-def _drop_below(leaf: dict, nid: int) -> None:
-    for c in (2 * nid, 2 * nid + 1):
-        if c in leaf:
-            leaf.pop(c)
-            _drop_below(leaf, c)
+        out.append((a, pr.below()[1][0]))
 
 
 def sample_alphas(alphas: list[float], n: int = 20) -> list[float]:

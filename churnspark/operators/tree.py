@@ -20,12 +20,18 @@ Semantics: thresholds are midpoints ``v/2 + next/2`` between distinct values
 further apart than 1e-7, rows with ``x <= t`` go left, ``min_samples_leaf``
 counts rows, impurity uses class weights, a node splits while it is impure,
 has at least ``min_samples_split`` and ``2 * min_samples_leaf`` rows, and is
-above ``max_depth``. Sibling leaves with the same class are kept apart.
+above ``max_depth`` (``None``: no limit). Sibling leaves with the same class are kept apart.
+
+Node ids count a model's nodes in breadth-first order from 1, so siblings have
+consecutive ids and a child's id is larger than its parent's; a tree may be as deep as
+it needs. The node table also has each node's ``path`` from the root (``L`` / ``R`` per
+step): prefixes are ancestors and sorting by it is the pre-order.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import math
 from dataclasses import asdict, dataclass, field
@@ -38,7 +44,6 @@ from pyspark.sql import Window
 
 from churnspark.functions.hashing import hash_key
 
-MAX_DEPTH_CAP = 30          # "unlimited" depth; heap ids stay below 2**31
 FEATURE_THRESHOLD = 1e-7    # values closer than this are not split apart
 GAIN_DIGITS = 12
 KEY_SHIFT = 32              # map key = model_id << 32 | node_id
@@ -52,6 +57,7 @@ NODE_SCHEMA = T.StructType([
     T.StructField("w1", T.DoubleType()), T.StructField("impurity", T.DoubleType()),
     T.StructField("decrease", T.DoubleType()), T.StructField("prediction", T.IntegerType()),
     T.StructField("p1", T.DoubleType()), T.StructField("is_leaf", T.BooleanType()),
+    T.StructField("path", T.StringType()),
 ])
 
 
@@ -68,8 +74,8 @@ class TreeParams:
     seed: int = 42
 
     @property
-    def depth_limit(self) -> int:
-        return MAX_DEPTH_CAP if self.max_depth is None else min(self.max_depth, MAX_DEPTH_CAP)
+    def depth_limit(self) -> float:
+        return math.inf if self.max_depth is None else self.max_depth
 
 
 def impurity(w0: float, w1: float, criterion: str) -> float:
@@ -117,7 +123,21 @@ def _key(model: Column, node: Column) -> Column:
     return F.shiftleft(model.cast("bigint"), KEY_SHIFT) + node.cast("bigint")
 
 
-def route(df: DataFrame, splits: dict[tuple[int, int], tuple[int, float]], levels: int,
+def route_maps(splits: dict[tuple[int, int], tuple[int, float, int]]) -> tuple[Column, Column, Column]:
+    """Feature index, threshold and left child's id of every split, keyed by model and node."""
+    keyed = {(m << KEY_SHIFT) + n: split for (m, n), split in splits.items()}
+    return tuple(_long_map({k: v[i] for k, v in keyed.items()}, t) for i, t in enumerate(("int", "double", "bigint")))
+
+
+def child(maps: tuple[Column, Column, Column], model: Column, node: Column, x: Column) -> Column:
+    """The child that a row goes to; the node itself if it is a leaf."""
+    features, thresholds, lefts = maps
+    k = _key(model, node)
+    right = (F.element_at(x, F.element_at(features, k) + 1) > F.element_at(thresholds, k)).cast("bigint")
+    return F.coalesce(F.element_at(lefts, k) + right, node)
+
+
+def route(df: DataFrame, splits: dict[tuple[int, int], tuple[int, float, int]], levels: int,
           x: Column, model: Column, out: str = "node") -> DataFrame:
     """Add ``out`` = node id reached after ``levels`` steps from the root (stops at leaves).
 
@@ -125,18 +145,11 @@ def route(df: DataFrame, splits: dict[tuple[int, int], tuple[int, float]], level
     variable, so the expression stays linear in depth and the plan shape does
     not depend on the tree (splits are map literals passed by reference).
     """
-    fmap = _long_map({(m << KEY_SHIFT) + n: f for (m, n), (f, _t) in splits.items()}, "int")
-    tmap = _long_map({(m << KEY_SHIFT) + n: t for (m, n), (_f, t) in splits.items()}, "double")
     if levels <= 0:
         return df.withColumn(out, F.lit(1).cast("bigint"))
-
-    def step(node: Column, _level: Column) -> Column:
-        k = _key(model, node)
-        f, t = F.element_at(fmap, k), F.element_at(tmap, k)
-        return F.coalesce(node * 2 + (F.element_at(x, f + 1) > t).cast("bigint"), node)
-
-    return df.withColumn(out, F.aggregate(F.sequence(F.lit(1), F.lit(levels)),
-                                          F.lit(1).cast("bigint"), step))
+    maps = route_maps(splits)
+    return df.withColumn(out, F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.lit(1).cast("bigint"),
+                                          lambda node, _level: child(maps, model, node, x)))
 
 
 @dataclass
@@ -148,9 +161,18 @@ class TreeModel:
     nodes: list[dict] = field(default_factory=list)
 
     # ---- structure -------------------------------------------------------
-    def splits(self) -> dict[tuple[int, int], tuple[int, float]]:
-        return {(r["model_id"], r["node_id"]): (r["feature_idx"], r["threshold"])
-                for r in self.nodes if not r["is_leaf"]}
+    def splits(self) -> dict[tuple[int, int], tuple[int, float, int]]:
+        left = {(r["model_id"], r["parent_id"]): r["node_id"] for r in self.nodes if r["side"] == "left"}
+        return {key: (r["feature_idx"], r["threshold"], left[key]) for r in self.nodes
+                if not r["is_leaf"] and (key := (r["model_id"], r["node_id"]))}
+
+    def node_paths(self) -> dict[tuple[int, int], str]:
+        """``L`` / ``R`` steps from the root to each node."""
+        out: dict[tuple[int, int], str] = {}
+        for r in sorted(self.nodes, key=lambda r: r["depth"]):
+            above = "" if r["parent_id"] is None else out[(r["model_id"], r["parent_id"])] + r["side"][0].upper()
+            out[(r["model_id"], r["node_id"])] = above
+        return out
 
     def leaf_p1(self) -> dict[int, float]:
         return {(r["model_id"] << KEY_SHIFT) + r["node_id"]: r["p1"] for r in self.nodes if r["is_leaf"]}
@@ -163,8 +185,9 @@ class TreeModel:
         return sorted({r["model_id"] for r in self.nodes})
 
     def nodes_df(self, spark: SparkSession) -> DataFrame:
-        rows = [tuple(r[f.name] for f in NODE_SCHEMA.fields) for r in sorted(
-            self.nodes, key=lambda r: (r["model_id"], r["node_id"]))]
+        paths = self.node_paths()
+        named = [dict(r, path=paths[(r["model_id"], r["node_id"])]) for r in self.nodes]
+        rows = [tuple(r[f.name] for f in NODE_SCHEMA.fields) for r in sorted(named, key=lambda r: (r["model_id"], r["node_id"]))]
         return spark.createDataFrame(rows, NODE_SCHEMA)
 
     def select_model(self, model_id: int) -> "TreeModel":
@@ -253,8 +276,6 @@ def fit_tree(df: DataFrame, features: list[str], label: str = "label", params: T
     subset / depth; all models still grow together, one job sequence per level.
     """
     params = params or TreeParams()
-    spark = df.sparkSession
-    crit = params.criterion
     p = len(features)
     model = F.col(model_col) if model_col else F.lit(0)
     y = F.col(label).cast("int")
@@ -272,7 +293,7 @@ def fit_tree(df: DataFrame, features: list[str], label: str = "label", params: T
     base = df.select(model.cast("bigint").alias("m"), y.alias("y"), w.alias("w"), x.alias("x")).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        return _grow(spark, base, features, params, crit, p, cw, model_params or {})
+        return _grow(base, features, params, p, cw, model_params or {})
     finally:
         base.unpersist()
 
@@ -286,9 +307,7 @@ def _weighted(cw, m: Column, n0: Column, n1: Column, s0: Column, s1: Column) ->
     return n0 * F.coalesce(c0, F.lit(0.0)), n1 * F.coalesce(c1, F.lit(0.0))
 
 
-def _grow(spark, base: DataFrame, features: list[str], params: TreeParams, crit: str, p: int, cw=None,
-          model_params: dict | None = None) -> TreeModel:
-    model_params = model_params or {}
+def _grow(base: DataFrame, features: list[str], params: TreeParams, p: int, cw, model_params: dict) -> TreeModel:
     agg = base.groupBy("m").agg(F.count(F.lit(1)).alias("n"),
                                 F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"),
                                 F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("s0"),
@@ -302,16 +321,22 @@ def _grow(spark, base: DataFrame, features: list[str], params: TreeParams, crit:
     nodes: dict[tuple[int, int], dict] = {}
     for r in root:
         nodes[(r["m"], 1)] = _node(r["m"], 1, None, 0, "root", r["n"], r["w0"], r["w1"], pp(r["m"]).criterion)
-    splits: dict[tuple[int, int], tuple[int, float]] = {}
+    splits: dict[tuple[int, int], tuple[int, float, int]] = {}
+    path = {key: "" for key in nodes}
+    last_id = {m: 1 for m, _ in nodes}
     frontier = list(nodes)
     limit = max([params.depth_limit] + [q.depth_limit for q in model_params.values()])
-    for depth in range(limit):
+    for depth in itertools.count():
         active = [k for k in frontier if depth < pp(k[0]).depth_limit and _splittable(nodes[k], pp(k[0]))]
         if not active:
             break
-        best = _best_splits(base, splits, depth, active, nodes, params, crit, p, None, cw, model_params, limit)
+        # Levels to route through: few different numbers, so that few plans are compiled.
+        levels = 8
+        while levels < depth:
+            levels *= 2
+        best = _best_splits(base, splits, active, nodes, params, p, cw, model_params, path, int(min(levels, limit)))
         frontier = []
-        for (m, nid), b in best.items():
+        for (m, nid), b in sorted(best.items()):
             q = pp(m)
             parent = nodes[(m, nid)]
             W = parent["w0"] + parent["w1"]
@@ -323,12 +348,15 @@ def _grow(spark, base: DataFrame, features: list[str], params: TreeParams, crit:
             root_w = nodes[(m, 1)]["w0"] + nodes[(m, 1)]["w1"]
             if decrease / root_w + 1e-16 < q.min_impurity_decrease:
                 continue
-            splits[(m, nid)] = (b["fidx"], b["thr"])
+            left, right = last_id[m] + 1, last_id[m] + 2
+            last_id[m] = right
+            splits[(m, nid)] = (b["fidx"], b["thr"], left)
             parent.update(is_leaf=False, feature_idx=b["fidx"], feature=features[b["fidx"]],
                           threshold=b["thr"], decrease=decrease)
-            nodes[(m, 2 * nid)] = _node(m, 2 * nid, nid, depth + 1, "left", ln, lw0, lw1, q.criterion)
-            nodes[(m, 2 * nid + 1)] = _node(m, 2 * nid + 1, nid, depth + 1, "right", rn, rw0, rw1, q.criterion)
-            frontier += [(m, 2 * nid), (m, 2 * nid + 1)]
+            nodes[(m, left)] = _node(m, left, nid, depth + 1, "left", ln, lw0, lw1, q.criterion)
+            nodes[(m, right)] = _node(m, right, nid, depth + 1, "right", rn, rw0, rw1, q.criterion)
+            path[(m, left)], path[(m, right)] = path[(m, nid)] + "L", path[(m, nid)] + "R"
+            frontier += [(m, left), (m, right)]
     return TreeModel(list(features), params, list(nodes.values()))
 
 
@@ -346,26 +374,22 @@ def _splittable(node: dict, params: TreeParams) -> bool:
             and node["impurity"] > 2.220446049250313e-16)
 
 
-def _best_splits(base, splits, depth, active, nodes, params, crit, p, k_feat, cw=None,
-                 model_params=None, route_levels=None) -> dict:
-    model_params = model_params or {}
-
+def _best_splits(base, splits, active, nodes, params, p, cw, model_params, path, levels) -> dict:
     def pp(m):
         return model_params.get(m, params)
-    # Same plan shape at every level (route through the full depth limit; the
-    # splits and the open-node set are map literals passed by reference), so
-    # the generated code compiles once and is reused by later levels.
+    # Same plan shape at every level (the splits and the open-node set are map
+    # literals passed by reference), so the generated code is reused by later levels.
     active_map = _long_map({(m << KEY_SHIFT) + n: True for m, n in active}, "boolean")
-    routed = route(base, splits, route_levels or params.depth_limit, F.col("x"), F.col("m"))
+    routed = route(base, splits, levels, F.col("x"), F.col("m"))
     key = _key(F.col("m"), F.col("node"))
     routed = routed.withColumn("k", key).filter(F.element_at(active_map, F.col("k")).isNotNull())
     long = routed.select("k", "y", "w", F.posexplode("x").alias("f", "v"))
     subset = {(m, n): _n_max_features(pp(m).max_features, p) for m, n in active}
     if any(v < p for v in subset.values()):
-        # per-node feature subset: the k features with the smallest md5(seed:model:node:f)
+        # per-node feature subset: the k features with the smallest md5(seed:model:path:f)
         allowed = {}
         for (m, n), kf in subset.items():
-            ranked = sorted(range(p), key=lambda f: hashlib.md5(f"{pp(m).seed}:{m}:{n}:{f}".encode()).hexdigest())
+            ranked = sorted(range(p), key=lambda f: hashlib.md5(f"{pp(m).seed}:{m}:{path[(m, n)]}:{f}".encode()).hexdigest())
             allowed[(m << KEY_SHIFT) + n] = sorted(ranked[:kf])
         amap = F.map_from_arrays(F.array(*[F.lit(k).cast("bigint") for k in allowed]),
                                  F.array(*[F.array(*[F.lit(f) for f in v]) for v in allowed.values()]))

@@ -231,12 +231,15 @@ def tree_levels(depth: int) -> str:
     stats = " UNION ALL ".join(f"SELECT node, {lv} AS depth, n, w0, w1 FROM ns{lv}" for lv in range(depth + 1))
     splits = " UNION ALL ".join(f"SELECT node, fidx, thr FROM bs{lv}" for lv in range(depth))
     parts.append(f"allns AS ({stats}),\nallbs AS ({splits})")
-    parts.append("""nodes AS (SELECT a.node AS node_id, CASE WHEN a.node = 1 THEN NULL ELSE a.node // 2 END AS parent_id, a.depth,
+    # ids count the nodes in breadth-first order; node_id here is the heap number that the steps need
+    parts.append("seqs AS (SELECT node, row_number() OVER (ORDER BY depth, node) AS seq FROM allns)")
+    parts.append("""nodes AS (SELECT a.node AS node_id, sq.seq, up.seq AS parent_seq, CASE WHEN a.node = 1 THEN NULL ELSE a.node // 2 END AS parent_id, a.depth,
                  f.feature AS feature, b.fidx AS feature_idx, b.thr AS threshold, a.n, a.w0, a.w1,
                  a.w1 / (a.w0 + a.w1) AS p1, CASE WHEN a.w1 / (a.w0 + a.w1) > 0.5 THEN 1 ELSE 0 END AS prediction,
                  b.node IS NULL AS is_leaf,
                  CASE WHEN a.node % 2 = 0 THEN 'left' ELSE 'right' END AS side
-          FROM allns a LEFT JOIN allbs b ON b.node = a.node LEFT JOIN fnames f ON f.fidx = b.fidx),
+          FROM allns a LEFT JOIN allbs b ON b.node = a.node LEFT JOIN fnames f ON f.fidx = b.fidx
+          JOIN seqs sq ON sq.node = a.node LEFT JOIN seqs up ON up.node = a.node // 2),
 ent AS (SELECT nodes.*, """ + _ent("w0", "w1") + """ AS imp FROM nodes),
 dec AS (SELECT p.node_id, p.feature_idx, p.feature,
                (p.w0 + p.w1) * p.imp - (l.w0 + l.w1) * l.imp - (r.w0 + r.w1) * r.imp AS decrease
@@ -380,7 +383,7 @@ UNION ALL SELECT id, syn, label, is_synthetic, CAST(feature_idx AS INTEGER) AS f
         "e5_class_weights": SPLIT_ALL + f"""
 SELECT churn AS class, {r6('CAST((SELECT count(*) FROM train) AS DOUBLE) / (2 * count(*))')} AS weight FROM train GROUP BY churn""",
         "f1_tree_nodes": TREE_ALL + f"""
-SELECT CAST(node_id AS BIGINT) AS node_id, CAST(parent_id AS BIGINT) AS parent_id, CAST(depth AS INTEGER) AS depth, feature,
+SELECT CAST(seq AS BIGINT) AS node_id, CAST(parent_seq AS BIGINT) AS parent_id, CAST(depth AS INTEGER) AS depth, feature,
        {r6('threshold')} AS threshold, CAST(n AS BIGINT) AS n, {r6('w0')} AS w0, {r6('w1')} AS w1, {r6('p1')} AS p1,
        CAST(prediction AS INTEGER) AS prediction, is_leaf FROM nodes""",
         "f3_tree_predict": with_(FRAME, clean_ctes(), SPLIT, ENC, TREE) + f""",
@@ -389,7 +392,7 @@ p1r AS (SELECT te.id, te.label, CASE WHEN e.value <= b.thr THEN 2 ELSE 3 END AS
         JOIN enc e ON e.id = te.id AND e.fidx = b.fidx),
 p2r AS (SELECT p.id, p.label, CASE WHEN b.node IS NULL THEN p.node WHEN e.value <= b.thr THEN 2 * p.node ELSE 2 * p.node + 1 END AS node
         FROM p1r p LEFT JOIN bs1 b ON b.node = p.node LEFT JOIN enc e ON e.id = p.id AND e.fidx = b.fidx)
-SELECT p.id, p.label, CAST(p.node AS BIGINT) AS node_id, {r6('n.p1')} AS p1, CAST(n.prediction AS INTEGER) AS prediction
+SELECT p.id, p.label, CAST(n.seq AS BIGINT) AS node_id, {r6('n.p1')} AS p1, CAST(n.prediction AS INTEGER) AS prediction
 FROM p2r p JOIN nodes n ON n.node_id = p.node""",
         "g1_confusion": cm + "\nSELECT * FROM cm",
         "g2_rates": cm + "\n" + RATES_SEL,
@@ -427,13 +430,13 @@ SELECT CAST(max(n.depth) AS INTEGER) AS max_depth, CAST(count(*) AS BIGINT) AS n
        CAST((SELECT count(*) FROM fnames) AS BIGINT) AS total_features FROM nodes n""",
         "h3_depth_distribution": TREE_ALL + "\nSELECT CAST(depth AS INTEGER) AS depth, CAST(count(*) AS BIGINT) AS nodes FROM nodes GROUP BY depth",
         "h4_paths": paths + f"""
-SELECT CAST(lv.node_id AS BIGINT) AS leaf_id, COALESCE(p.path, '') AS path, CAST(lv.n AS BIGINT) AS samples,
+SELECT CAST(lv.seq AS BIGINT) AS leaf_id, COALESCE(p.path, '') AS path, CAST(lv.n AS BIGINT) AS samples,
        {r6('lv.n / (SELECT n FROM nodes WHERE node_id = 1)')} AS share,
        CASE WHEN lv.prediction = 1 THEN 'Churn' ELSE 'No Churn' END AS prediction,
        {r6('GREATEST(lv.p1, 1 - lv.p1)')} AS confidence
 FROM leaves lv LEFT JOIN pth p ON p.leaf = lv.node_id""",
         "h13_edges": TREE_ALL + """
-SELECT CAST(parent_id AS BIGINT) AS parent_id, CAST(node_id AS BIGINT) AS child_id, side = 'left' AS branch FROM nodes WHERE parent_id IS NOT NULL""",
+SELECT CAST(parent_seq AS BIGINT) AS parent_id, CAST(seq AS BIGINT) AS child_id, side = 'left' AS branch FROM nodes WHERE parent_id IS NOT NULL""",
         "i1_campaign": cm + f"""
 SELECT CAST(tn + fp + fn + tp AS BIGINT) AS total_customers, CAST(tp + fn AS BIGINT) AS actual_churners,
        CAST(tp + fp AS BIGINT) AS predicted_churners, CAST(tp AS BIGINT) AS correctly_identified,

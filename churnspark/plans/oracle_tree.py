@@ -97,7 +97,7 @@ ve AS (SELECT vd.*, CASE WHEN cost = 0 THEN 0.0 ELSE net / cost END AS roi,
 
 def _paths() -> str:
     return _paths_sql() + f""",
-full_paths AS (SELECT lv.node_id AS leaf_id, COALESCE(p.path, '') AS path, lv.n AS samples, lv.n / (SELECT n FROM nodes WHERE node_id = 1) AS share,
+full_paths AS (SELECT lv.node_id AS leaf_id, lv.seq, COALESCE(p.path, '') AS path, lv.n AS samples, lv.n / (SELECT n FROM nodes WHERE node_id = 1) AS share,
                       CASE WHEN lv.prediction = 1 THEN 'Churn' ELSE 'No Churn' END AS prediction, GREATEST(lv.p1, 1 - lv.p1) AS confidence,
                       lv.node_id << CAST((SELECT max(depth) FROM nodes) - lv.depth AS BIGINT) AS dfs
                FROM leaves lv LEFT JOIN pth p ON p.leaf = lv.node_id),
@@ -110,10 +110,10 @@ def _insights() -> str:
 keyed AS (SELECT leaf, rule, row_number() OVER (PARTITION BY leaf ORDER BY d) AS k FROM rl WHERE {named}),
 kr AS (SELECT leaf, string_agg(rule, ', ' ORDER BY k) AS key_rules FROM keyed WHERE k <= 2 GROUP BY leaf),
 pos AS (SELECT ip.*, row_number() OVER (PARTITION BY prediction ORDER BY dfs) AS pos FROM ip)
-SELECT CASE WHEN prediction = 'Churn' THEN 'churn_factor' ELSE 'retention_factor' END AS kind, CAST(leaf_id AS BIGINT) AS leaf_id,
+SELECT CASE WHEN prediction = 'Churn' THEN 'churn_factor' ELSE 'retention_factor' END AS kind, CAST(seq AS BIGINT) AS leaf_id,
        {r6('share')} AS share, {r6('confidence')} AS confidence, key_rules
 FROM pos JOIN kr ON kr.leaf = pos.leaf_id WHERE pos <= 3
-UNION ALL SELECT 'high_risk_segment', CAST(leaf_id AS BIGINT), {r6('share')}, {r6('confidence')}, '' FROM ip
+UNION ALL SELECT 'high_risk_segment', CAST(seq AS BIGINT), {r6('share')}, {r6('confidence')}, '' FROM ip
 WHERE prediction = 'Churn' AND confidence > 0.7"""
 
 
@@ -227,7 +227,7 @@ SELECT 'tree' AS baseline, 'rule' AS candidate, {r6('r.accuracy - t.accuracy')}
        CAST(n_features_used - 1 AS DOUBLE) AS features_removed, {r6('CASE WHEN n_features_used = 0 THEN 0 ELSE (n_features_used - 1) / n_features_used END')}
        AS feature_reduction FROM mt t, rule_mt r, st""",
         "h2_node_table": TREE_ALL + f"""
-SELECT CAST(c.node_id AS BIGINT) AS node_id, CAST(c.depth AS INTEGER) AS depth, CASE WHEN p.node_id IS NULL THEN 'Root' ELSE {rule} END AS parent_rule,
+SELECT CAST(c.seq AS BIGINT) AS node_id, CAST(c.depth AS INTEGER) AS depth, CASE WHEN p.node_id IS NULL THEN 'Root' ELSE {rule} END AS parent_rule,
        CAST(c.n AS BIGINT) AS n, {r6('c.w0')} AS w0, {r6('c.w1')} AS w1, {r6('1 - c.p1')} AS p0, {r6('c.p1')} AS p1,
        CASE WHEN c.prediction = 1 THEN 'Churn' ELSE 'No Churn' END AS predicted_class, c.is_leaf, c.feature, {r6('c.threshold')} AS threshold,
        CASE WHEN NOT c.is_leaf THEN printf('%s <= %.3f', c.feature, c.threshold) END AS split_rule
@@ -272,7 +272,7 @@ cum AS (SELECT *, sum(importance) OVER ({by_importance} ROWS BETWEEN UNBOUNDED P
 SELECT CAST(feature_idx AS INTEGER) AS feature_idx, feature, {r6('importance')} AS importance, {r6('cumulative')} AS cumulative
 FROM cum WHERE cumulative - importance < 0.95 - 1e-12""",
         "h5_important_paths": paths + f"""
-SELECT CAST(rank AS INTEGER) AS rank, CAST(leaf_id AS BIGINT) AS leaf_id, path, CAST(samples AS BIGINT) AS samples, {r6('share')} AS share,
+SELECT CAST(rank AS INTEGER) AS rank, CAST(seq AS BIGINT) AS leaf_id, path, CAST(samples AS BIGINT) AS samples, {r6('share')} AS share,
        prediction, {r6('confidence')} AS confidence FROM ip""",
         "h7_path_summary": with_(*BLOCKS, _paths(), STATS) + f"""
 SELECT (SELECT count(*) FROM ip) AS important_paths, (SELECT count(*) FROM ip WHERE prediction = 'Churn') AS churn_paths,
@@ -281,7 +281,7 @@ SELECT (SELECT count(*) FROM ip) AS important_paths, (SELECT count(*) FROM ip WH
         "h8_rules": _rules(),
         "h10_insights": paths + _insights(),
         "h12_depth_limited": TREE5 + f"""
-SELECT CAST(node_id AS BIGINT) AS node_id, CAST(depth AS INTEGER) AS depth, feature, {r6('threshold')} AS threshold, CAST(n AS BIGINT) AS n,
+SELECT CAST(seq AS BIGINT) AS node_id, CAST(depth AS INTEGER) AS depth, feature, {r6('threshold')} AS threshold, CAST(n AS BIGINT) AS n,
        {r6('p1')} AS p1, is_leaf, depth = 2 AND NOT is_leaf AS truncated FROM nodes WHERE depth <= 2""",
         "i7_key_metrics": report + "\n" + _key_metrics(),
         "i9_deployment_report": report + "\n" + _deployment_report(),

@@ -361,9 +361,12 @@ def q_cross_validate(spark, d):
 
 
 def q_pruning(spark, d):
+    """grown on four folds of the train split, pruned by accuracy on the fifth; the test split is not looked at."""
     from churnspark.operators.search import optimise_pruning, pruning_path
-    m = tree5(spark, d)
-    res = optimise_pruning(m, test_enc(spark, d))
+    folded = stratified_folds(train_enc(spark, d), "label")
+    features = prep(spark, d).feature_names
+    m = fit_tree(smote(folded.filter("fold > 0").drop("fold"), features, "label", "id"), features, "label", TreeParams())
+    res = optimise_pruning(m, folded.filter("fold = 0"))
     rows = [(i, float(a), float(imp), a in res["alphas"], a == res["best_alpha"])
             for i, (a, imp) in enumerate(pruning_path(m))]
     return spark.createDataFrame(rows, "step int, alpha double, impurity double, sampled boolean, best boolean")

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from churnspark.operators import inspect as H
 from churnspark.operators import search as S
 from churnspark.operators.tree import TreeParams, fit_tree
 from churnspark.streaming import score_stream, scoring_plan
@@ -25,10 +26,12 @@ def test_tree_finds_planted_split(spark):
     assert root["feature"] in ("a", "b")
     assert abs(root["threshold"] - (0.3 if root["feature"] == "a" else 0.5)) < 0.05
     # child counts sum to the parent
-    by = {r["node_id"]: r for r in m.nodes}
-    for nid, r in by.items():
+    assert sorted(r["node_id"] for r in m.nodes) == list(range(1, len(m.nodes) + 1))
+    for r in m.nodes:
         if not r["is_leaf"]:
-            assert by[2 * nid]["n"] + by[2 * nid + 1]["n"] == r["n"]
+            children = [c for c in m.nodes if c["parent_id"] == r["node_id"]]
+            assert [c["side"] for c in children] == ["left", "right"]
+            assert sum(c["n"] for c in children) == r["n"]
     pred = m.predict(df)
     acc = pred.select(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     assert acc > 0.9
@@ -44,6 +47,18 @@ def test_same_class_siblings_are_kept(spark):
     assert leaves == [(10, 0.0), (10, 0.3)]
 
 
+def test_depth_has_no_cap(spark):
+    # alternating labels: the best split takes one row off an end
+    df = spark.createDataFrame([(i, float(i), i % 2) for i in range(40)], "id long, x double, label int").coalesce(1)
+    m = fit_tree(df, ["x"], "label", TreeParams(max_depth=None, min_samples_split=2, min_samples_leaf=1, class_weight=None))
+    assert m.depth > 30
+    assert m.predict(df).filter("prediction <> label").count() == 0
+    assert all(r["impurity"] == 0 for r in m.nodes if r["is_leaf"])
+    paths = H.paths(m.nodes_df(spark))
+    assert paths.filter("size(rules) <> depth").count() == 0 and paths.agg(F.sum("samples")).first()[0] == 40
+    assert len(S.prune(m, 2.0).nodes) == 1
+
+
 def test_binned_mode_routes_consistently(spark):
     df = _signal(spark)
     m = fit_tree(df, ["a", "b"], "label", TreeParams(max_depth=3, max_bins=16))
