@@ -149,7 +149,7 @@ def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "
     n_syn = info["counts"][info["majority"]] - m
     k_eff = min(k, m - 1)
     if k_eff < 1:
-        return real
+        raise ValueError(f"SMOTE needs two rows of the minority class, there is {m}")
     base_n, extra = divmod(n_syn, m)
     alloc = rank_within(minority.withColumn("__one", F.lit(1)), "__one",
                         [F.substring(hash_key(f"{seed}:a", F.col(key)), 1, 13), F.col(key)], name="__r")

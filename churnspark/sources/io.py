@@ -44,6 +44,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_evaluation(results: dict[str, DataFrame], path: str, metadata: dict[str, object]) -> None:
+    """A4: every table of an evaluation bundle as JSON lines under its name, and ``metadata``
+    (model type, row counts, shape, ...) as ``(key, value)`` rows. Curves keep their own partitions."""
+    for name, df in results.items():
+        if name in ("roc", "pr"):
+            df.write.mode("overwrite").json(f"{path}/{name}")
+        else:
+            write_json(df, f"{path}/{name}")
+    spark = next(iter(results.values())).sparkSession
+    rows = [(k, None if v is None else str(v)) for k, v in metadata.items()]
+    write_json(spark.createDataFrame(rows, "key string, value string"), f"{path}/metadata")
+
+
+def write_deployment_summary(sections: dict[str, DataFrame], path: str) -> None:
+    """The one-row section tables assembled into one ``(section, metric, value)`` file."""
+    write_json(summary_rows(sections), path)
+
+
 def write_importance_csv(imp: DataFrame, path: str) -> None:
     """A5: ``feature, importance, importance_pct`` sorted by importance, with header."""
     (imp.orderBy(F.col("importance").desc(), "feature_idx").select("feature", "importance", "importance_pct")

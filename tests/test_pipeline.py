@@ -73,13 +73,19 @@ def test_smote_parity_and_segments(spark):
     syn = out.filter("is_synthetic").collect()
     assert len(syn) == 100
     base = {int(i): x[i] for i in range(len(x))}
+    minority = range(0, 200, 4)
     for r in syn[:20]:
-        v = np.array([r[c] for c in cols])
-        # lies on a segment from its base row towards some other minority row
-        diffs = [np.linalg.norm(np.cross(v - base[r["id"]], base[j] - base[r["id"]])) if len(cols) == 3 else 0
-                 for j in range(0, 200, 4)]
-        assert np.linalg.norm(v - base[r["id"]]) <= max(np.linalg.norm(base[j] - base[r["id"]]) for j in range(0, 200, 4))
-        del diffs
+        v, own = np.array([r[c] for c in cols]), base[r["id"]]
+        # lies on the segment from its base row to one of that row's five nearest minority rows
+        near = sorted((j for j in minority if j != r["id"]), key=lambda j: (round(np.linalg.norm(base[j] - own), 9), j))[:5]
+        detours = [np.linalg.norm(v - own) + np.linalg.norm(base[j] - v) - np.linalg.norm(base[j] - own) for j in near]
+        assert min(detours) == pytest.approx(0, abs=1e-9)
+
+
+def test_smote_refuses_a_single_minority_row(spark):
+    df, _, cols = _points(spark, n=20)
+    with pytest.raises(ValueError, match="two rows"):
+        smote(df.withColumn("label", (F.col("id") == 0).cast("int")), cols, "label", "id")
 
 
 def test_auc_and_ap_against_brute_force(spark):
