@@ -8,12 +8,12 @@ word before and after -- as tokens (digit runs, letter runs, single signs). A se
 cuts the tokens into entity segments of at most ``MAX_TOKENS`` tokens and single
 other tokens. A segment's score is a sum of weights of whole-span features for
 its type: digit count, separators, shape of the runs, checks such as Luhn and
-octet ranges, the word before, and what its edges touch; a weight for each pair
-of neighbouring types is added. A type is open to a segment only if the segment
-passes that type's check (Luhn, octets, digit count, a dotted domain) and is not
-part of a longer number or word. Dynamic programming over segment ends chooses
-boundaries and types together; its sums (forward and backward) give the
-gradient of the conditional log-likelihood.
+octet ranges, the word before, and what its edges touch (a word, or a number
+beyond a sign or a blank); a weight for each pair of neighbouring types is
+added. A type is open to a segment only if the segment passes that type's check
+(Luhn, octets, digit count, a dotted domain). Dynamic programming over segment
+ends chooses boundaries and types together; its sums (forward and backward) give
+the gradient of the conditional log-likelihood.
 
 Weights are trained on regions of a bounded sample (``sample_docs`` documents
 with a digit or ``@``, the first by a hash of the id, of ``max_chars``
@@ -57,6 +57,17 @@ SEEDS = (
     ("host 10.20.30.40 port 8080", (("ip", 5, 16),)),
     ("card 4111 1111 1111 1111 exp 09/27", (("card", 5, 24),)),
     ("call +1 (555) 010-4477 or wait 15 min", (("phone", 5, 22),)),
+    ("4111 1111 1111 1111 09/27", (("card", 0, 19),)),
+    ("+1 555-010-4477 +1 555-010-4478", (("phone", 0, 15), ("phone", 16, 31))),
+    ("555-010-4477 555-010-4478", (("phone", 0, 12), ("phone", 13, 25))),
+    ("+1 (555) 010-4477 10:30", (("phone", 0, 17),)),
+    ("cards 4111.1111.1111.1111 5500-0000-0000-0004", (("card", 6, 25), ("card", 26, 45))),
+    ("10 20 30 40 50 60 70 80 90 100", ()),
+    ("scores 18 27 36 45 54 63 72 81 90 99 of 120", ()),
+    ("rows 1 2 3 4 5 6 7 8 9 10 11 12 13", ()),
+    ("serial 123-456-789-012-345-678", ()),
+    ("at 2021-05-06 10:30:15 and 2021-05-07 11:30:16", ()),
+    ("2021-05-06 10:30:15 2021-05-07 11:30:16", ()),
     ("version 4.0 of 2021-05-06 and 12.5 percent", ()),
     ("pages 100-250, order 2024/118, 3 of 1,250", ()),
 )
@@ -127,23 +138,13 @@ class Region:
         return ends
 
     def kinds(self, i: int, j: int) -> list[str]:
-        """Kinds whose checks tokens i to j pass, as the base kinds check them; a part of a longer number or word is none."""
-        a, b = self.at[i][0], self.at[j - 1][1]
-        s = self.text[a:b]
-        if (a and self.text[a - 1].isalnum()) or (b < len(self.text) and self.text[b].isalnum()):
-            return []
+        """Kinds whose checks tokens i to j pass, as the base kinds check them; what stands beside them is for the features."""
+        s = self.text[self.at[i][0]:self.at[j - 1][1]]
         if "@" in s:
             left, _, right = s.partition("@")
             return ["email"] if left and "." in right[1:] and "@" not in right and " " not in s else []
-        near = lambda k, gap: 0 <= k < len(self.tokens) and "0" <= self.tokens[k][0] <= "9" and gap <= 1
-        if near(i - 1, a - self.at[i - 1][1] if i else 9) or near(j, self.at[j][0] - b if j < len(self.tokens) else 9):
-            return []
         if any(t[0].isalpha() for t in self.tokens[i:j]):
             return []
-        if a > 1 and self.text[a - 1] in "-./" and self.text[a - 2].isdigit():
-            return []
-        if b + 1 < len(self.text) and self.text[b] in "-./" and self.text[b + 1].isdigit():
-            return []
         d, numbers = _digits(s), [t for t in self.tokens[i:j] if "0" <= t[0] <= "9"]
         out = []
         if len(numbers) == 4 and all(len(x) < 4 and int(x) < 256 for x in numbers) and s.count(".") == 3:
@@ -154,6 +155,15 @@ class Region:
             out.append("phone")
         return out
 
+    def beside(self, a: int, step: int) -> str:
+        """What goes on beyond the edge at character ``a`` (the first outside the span): a word, or a number after a sign or blank."""
+        near, far = (self.text[k] if 0 <= k < len(self.text) else "" for k in (a, a + step))
+        if near.isalnum():
+            return "word"
+        if "0" <= far <= "9":
+            return "blank" if near == " " else "sign"
+        return "free"
+
     def features(self, i: int, j: int) -> list[str]:
         """Whole-span features of tokens i to j."""
         a, b = self.at[i][0], self.at[j - 1][1]
@@ -174,6 +184,8 @@ class Region:
             octets = len(numbers) == 4 and all(len(x) < 4 and int(x) < 256 for x in numbers)
             out += [f"octets={octets and signs == '.'}", f"luhn={12 <= len(d) <= 19 and luhn(d)}", f"groups={'-'.join(str(len(x)) for x in numbers[:6])}",
                     f"phone={9 <= len(d) <= 15}", f"even={len({len(x) for x in numbers}) == 1}", f"digits={min(len(d), 20)} signs={signs}"]
+        left, right = self.beside(a - 1, -1), self.beside(b, 1)
+        out += [f"left={left}", f"right={right}", f"beside={left} {right}"]
         if i:
             word = self.tokens[i - 1].lower()
             out.append(f"after={word if word.isalpha() and len(word) < 12 else 'sign'}")
@@ -314,14 +326,16 @@ def regions(text: str) -> list[tuple[int, str]]:
     return [(m.start(), m[0]) for m in REGION.finditer(text)]
 
 
-def training_examples(texts: list[str], per_text_limit: int = 6) -> list[tuple[Region, list[tuple[int, str, int]]]]:
-    """Regions labelled by the base patterns, with their varied forms, after the seeds."""
+def training_examples(texts: list[str], per_text_limit: int = 6, seed_every: int = 20) -> list[tuple[Region, list[tuple[int, str, int]]]]:
+    """Regions labelled by the base patterns, with their varied forms; the seeds come first and again after every ``seed_every`` texts."""
     pairs = [(t, list(s)) for t, s in SEEDS]
-    for text in texts:
+    for n, text in enumerate(texts, 1):
         spans = [(KINDS[k], a, b) for a, k, b in base_spans(text)]
         for at, body in regions(text)[:per_text_limit]:
             if len(body) < 400:
                 pairs.append((body, [(k, a - at, b - at) for k, a, b in spans if at <= a and b <= at + len(body)]))
+        if n % seed_every == 0:
+            pairs += [(t, list(s)) for t, s in SEEDS]
     full = [p for pair in pairs for p in (pair, *varied(*pair))]
     return [x for x in (example(t, s) for t, s in full) if x[0].tokens]
 

@@ -259,6 +259,20 @@ def test_pii(spark):
     assert g["ip|octets=True"] > 0 and likelihood(3.0) < g["ip|octets=True"] and grad == {}
 
 
+@pytest.mark.parametrize("sample", [[], ["mail a.b@mail5.example.com or +1 (743) 555-3824", "ip 8.196.197.208 card 4465 7583 8288 9437 exp 10/28"] * 20])
+def test_pii_beside_other_numbers(sample):
+    """A number beside the span is weighed and closes no type: lists, a card before its expiry, a time after a number."""
+    model = pii.SemiMarkov().fit(pii.training_examples(sample))
+    for text, kind, want in (
+            ("4111.1111.1111.1111 09/27", "card", ["4111.1111.1111.1111"]),
+            ("paid 4465.7583.8288.9437 10/28 today", "card", ["4465.7583.8288.9437"]),
+            ("555-010-4477 555-010-4478", "phone", ["555-010-4477", "555-010-4478"]),
+            ("743-555-3824, 743-555-3825 743-555-3826", "phone", ["743-555-3824", "743-555-3825", "743-555-3826"]),
+            ("(743) 555-3824 10:30", "phone", ["(743) 555-3824"]),
+            ("11 22 33 44 55 66 77 88 99 110 of 2021-05-06", "phone", [])):
+        assert [(pii.KINDS[k], text[a:b]) for a, k, b in pii.find(text, model)] == [(kind, w) for w in want]
+
+
 def test_suffix_tree_scores(spark, docs):
     held = F.pmod(common.crc32_of_id(F.col("doc_id")), F.lit(10)) == 0
     got = suffix_tree_lm.score(docs, held, params=suffix_tree_lm.TreeParams(block_bytes=2000)).collect()
