@@ -78,6 +78,28 @@ def test_quality_counts_and_line_rules(docs):
     assert kept.columns == docs.columns and kept.filter(F.length("text") != F.col("n_chars")).count() == 0
 
 
+def test_keep_clean_keeps_clean_prose(spark):
+    """Clean documents pass whole; notices, menus and lists without a mark still go."""
+    def prose(k, end="."):
+        return " ".join(f"word{k}{j}" for j in range(14)) + end
+
+    body = "\n".join(prose(k) for k in range(6))
+    wrapped = "\n".join(" ".join(f"wrap{k}{j}" for j in range(9)) + ("." if k % 3 == 2 else "") for k in range(12))
+    clean = {
+        1: "Good design in practice takes the copyright of others into account, says the author, and " + " ".join(f"one{j}" for j in range(60)) + ".",
+        2: wrapped.replace("wrap42 ", "copyright "), 3: wrapped + "\n\n" + body, 4: "\n".join(prose(k, "\u0964") for k in range(6)),
+        5: "\n".join(" ".join("\u0643\u062a" + chr(0x621 + j) + chr(0x621 + k) for j in range(20)) + "\u06d4" for k in range(5)),
+        6: "\n".join(" ".join("\u0e01\u0e32" + chr(0xE01 + j) + chr(0xE01 + k) for j in range(20)) for k in range(5)),
+        7: body + "\nThe javascriptlike cookiecutter subscribers of the town sign informally for now."}
+    cut = {11: (body + "\nAll rights reserved.\nWe use cookies, please sign in.", body),
+           12: (body + "\n\nhome products news\nshop of all things we have", body + "\n"),
+           13: (body + "\n" + " | ".join(f"item{j}" for j in range(9)), body)}
+    rows = [(i, t, len(t)) for i, t in clean.items()] + [(i, t, len(t)) for i, (t, _) in cut.items()]
+    rows += [(21, "\n".join(" ".join(f"list{k}{j}" for j in range(9)) for k in range(9)), 1), (22, "Click here. " * 60, 1)]
+    got = {r["doc_id"]: r["text"] for r in quality_rules.keep_clean(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()}
+    assert got == {**clean, **{i: left for i, (_, left) in cut.items()}}
+
+
 def test_simhash_components(docs):
     rows = own_rows(docs)
     prints = {t: simhash.fingerprint(t) for _, t in rows}
