@@ -8,9 +8,13 @@ the limits), so examples that use what is plentiful go first. When nothing fits
 and cutting is allowed, the longest waiting example is cut to fill the rest. Cut examples longer than a sequence first give whole sequences.
 
 Each task packs the documents it reads, with a bounded number waiting, so
-nothing is shuffled and memory does not grow with the partition. What is left
-in a task's last sequence is dealt into sequences of 512, 256, ... tokens
-(powers of two need no padding).
+nothing is shuffled and memory does not grow with the partition. A sequence that
+the segment or loss limit closes before it is full, and what is left in a task's
+last one, is dealt into sequences of 512, 256, ... tokens (powers of two need no
+padding).
+
+A column of masks may name the loss-bearing ids of each document, its end id the
+last; ids beyond the mask bear none, and without a mask (null) all do.
 
 Edge cases: a null or empty text is its end id alone, one piece of length 1.
 Null ids stay null. Repeated rows are packed each for itself. ``sequence_id``
@@ -90,8 +94,32 @@ class Packer:
         self.made += bool(items)
 
     def _close(self) -> None:
-        self._emit(self.open)
-        self.open, self.left = [], self.cap.copy()
+        own, self.open, self.left = self.open, [], self.cap.copy()
+        if self.cut:
+            self._deal(own)
+        else:
+            self._emit(own)
+
+    def _deal(self, own: list[Item]) -> None:
+        """The largest powers of two that fit, as sequences without padding; a full sequence stays one."""
+        room = sum(len(x.ids) for x in own)
+        if room == self.limits.tokens:
+            self._emit(own)
+            return
+        size = 1 << (self.limits.tokens.bit_length() - 1)
+        while room:
+            while size > room:
+                size >>= 1
+            want, part = size, []
+            while want:
+                x = own.pop(0)
+                if len(x.ids) > want:
+                    x, rest = x.cut(want)
+                    own.insert(0, rest)
+                part.append(x)
+                want -= len(x.ids)
+            self._emit(part)
+            room -= size
 
     def _place(self, item: Item) -> None:
         self.open.append(item)
@@ -148,25 +176,7 @@ class Packer:
     def finish(self) -> None:
         while self.pool:
             self._step()
-        if not self.cut:
-            self._close()
-            return
-        size, own, part = 1 << (self.limits.tokens.bit_length() - 1), self.open, []
-        self.open, self.left = [], self.cap.copy()
-        room = sum(len(x.ids) for x in own)
-        while room:  # the largest powers of two that fit, as sequences without padding
-            while size > room:
-                size >>= 1
-            want, part = size, []
-            while want:
-                x = own.pop(0)
-                if len(x.ids) > want:
-                    x, rest = x.cut(want)
-                    own.insert(0, rest)
-                part.append(x)
-                want -= len(x.ids)
-            self._emit(part)
-            room -= size
+        self._close()
 
 
 def byte_names() -> dict[str, int]:
@@ -213,9 +223,17 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def loss_mask(mask: list[bool | None], n: int) -> np.ndarray:
+    """``mask`` for ``n`` ids; missing marks bear no loss."""
+    out = np.zeros(n, bool)
+    out[: len(mask)] = [bool(x) for x in mask[:n]]
+    return out
+
+
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0,
-         limits: Limits = Limits(), cut: bool = True) -> DataFrame:
-    """Pieces (``PIECES``) of all documents' ids, each document closed by ``end_id``. ``path``: vocabulary file."""
+         limits: Limits = Limits(), cut: bool = True, loss_col: str | None = None) -> DataFrame:
+    """Pieces (``PIECES``) of all documents' ids, each document closed by ``end_id``. ``path``: vocabulary file;
+    ``loss_col``: an ``array<boolean>`` of loss-bearing ids (see the module's head)."""
     small_batches(docs.sparkSession)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,11 +248,13 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                                               names=[x.split()[0] for x in PIECES.split(", ")])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            masks = batch.column(2).to_pylist() if loss_col else [None] * batch.num_rows
+            for doc, text, mask in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), masks):
                 own = np.concatenate([ids(text or ""), end])
-                packer.add(Item(doc, 0, own, len(own)))
+                packer.add(Item(doc, 0, own, len(own), None if mask is None else loss_mask(mask, len(own))))
             yield out()
         packer.finish()
         yield out()
 
-    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text")).mapInArrow(packed, PIECES)
+    columns = [col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text")] + ([col(loss_col).alias("loss")] if loss_col else [])
+    return docs.select(columns).mapInArrow(packed, PIECES)

@@ -373,6 +373,27 @@ def test_loss_limit_and_whole_examples():
     assert sorted(x[0] for s in by.values() for x in s) == list(range(60))
 
 
+def test_packing_loss_masks_and_short_documents(spark):
+    path, rng = packing.tokenizer_path(), random.Random(2)
+    encode = packing.Ids(path)
+    rows = []
+    for i in range(300):
+        text = " ".join(rng.choice(["one", "two", "three"]) for _ in range(rng.randint(1, 4) if i % 50 else 90))
+        n = len(encode(text)) + 1
+        rows.append((i, text, [None, [True], [rng.random() < 0.5 for _ in range(n)], [False, None]][i % 4]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, mask array<boolean>").coalesce(1)
+    limits = packing.Limits(tokens=64, segments=5, loss=12, waiting=16)
+    by, loss = {}, {}
+    for p in packing.pack(frame, path, limits=limits, loss_col="mask").collect():
+        by.setdefault(p["sequence_id"], []).append(p)
+        loss[p["doc_id"]] = loss.get(p["doc_id"], 0) + p["n_loss"]
+    sizes = {d: len(encode(t)) + 1 for d, t, _ in rows}
+    assert loss == {d: sizes[d] if m is None else sum(map(bool, m)) for d, _, m in rows}
+    lengths = [sum(p["length"] for p in s) for s in by.values()]
+    assert sum(lengths) == sum(sizes.values()) and all(n <= 64 and n & (n - 1) == 0 for n in lengths)
+    assert all(len(s) <= 5 and sum(p["n_loss"] for p in s) <= 12 for s in by.values())
+
+
 def test_empty_tables(spark):
     none, bench = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id long, text string")
     for result in (quality_rules.keep_clean(none), simhash.keep_one(none), line_dedup.without_repeats(none),
