@@ -394,6 +394,66 @@ def test_packing_loss_masks_and_short_documents(spark):
     assert all(len(s) <= 5 and sum(p["n_loss"] for p in s) <= 12 for s in by.values())
 
 
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """What every stage keeps of planted junk, copies, passages, near copies and benchmark text, and the packed ids."""
+    import corpus_pipeline
+    rng = random.Random(11)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghiklmnoprstuvz") for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+    def prose(lines=6):
+        return "\n".join(words(15) + "." for _ in range(lines))
+
+    base, passage, item, near = {i: prose() for i in range(1, 7)}, prose(3), words(30), words(500) + "."
+    split_near = near.split(" ")
+    changed = [" ".join(split_near[:k] + ["other"] + split_near[k + 1:]) for k in range(499)]
+    changed = next(t for t in changed if 0 < (simhash.fingerprint(t) ^ simhash.fingerprint(near)).bit_count() <= 2)
+    rows = {**base, 10: words(20) + ".", 11: "\n".join(" | ".join(words(9).split()) for _ in range(9)), 12: None, 13: "",
+            20: base[1], 21: prose(4) + "\n" + passage + "\n" + prose(4), 22: prose(4) + "\n" + passage, 23: passage + "\n" + prose(4) + "\nAll rights reserved.",
+            30: near, 31: changed, 40: prose(4) + "\n" + item + ".", 41: prose(30) + "\n" + " ".join(item.split()[:13]) + "."}
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows.items()], "doc_id long, text string, lang string, source string, n_chars long"
+                          ).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    clean = {i: t.replace("\nAll rights reserved.", "") for i, t in rows.items() if i not in (10, 11, 12, 13)}
+    seen, deduped = set(), {}
+    for i, t in sorted(clean.items()):
+        lines, gone = t.split("\n"), set()
+        for k in range(len(lines) - 1):
+            if (pair := (lines[k], lines[k + 1])) in seen:
+                gone |= {k, k + 1}
+            seen.add(pair)
+        if len(gone) < len(lines):
+            deduped[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    assert set(clean) - set(deduped) == {20} and deduped[22] != clean[22] and deduped[23] != clean[23]
+    prints = {i: simhash.fingerprint(t) for i, t in deduped.items()}
+    one = {i: t for i, t in deduped.items() if not any(j < i and (prints[i] ^ prints[j]).bit_count() <= 2 for j in prints)}
+    assert set(deduped) - set(one) == {31}
+    target = item.split()
+    windows = {tuple(target[k:k + 13]) for k in range(len(target) - 12)}
+    free = {}
+    for i, t in one.items():
+        own = re.findall("[a-z]+", t)
+        hit = {k + j for k in range(len(own) - 12) if tuple(own[k:k + 13]) in windows for j in range(13)}
+        if not hit or 20 * len(hit) < len(own):
+            free[i] = t
+    assert set(one) - set(free) == {40} and 41 in free
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for (name, stage), want in zip(corpus_pipeline.STAGES[:4], [clean, deduped, one, free]):
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in docs.collect()} == {i: (t, len(t)) for i, t in want.items()}, name
+        assert docs.count() == len(want), name
+    encode = packing.Ids(packing.tokenizer_path())
+    packed = [tuple(p[c] for c in ("doc_id", "start", "length", "ids_crc32")) for p in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    ids = {i: [*encode(t).tolist(), 0] for i, t in free.items()}
+    for i, own in ids.items():
+        mine = sorted(p for p in packed if p[0] == i)
+        assert sum(n for _, _, n, _ in mine) == len(own) and [s for _, s, _, _ in mine] == [sum(x[2] for x in mine[:k]) for k in range(len(mine))]
+        assert all(zlib.crc32(np.array(own[s:s + n], "<u4").tobytes()) == c for _, s, n, c in mine)
+    assert {p[0] for p in packed} == set(ids)
+
+
 def test_empty_tables(spark):
     none, bench = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id long, text string")
     for result in (quality_rules.keep_clean(none), simhash.keep_one(none), line_dedup.without_repeats(none),
