@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from churnspark.llm.common import LOWER, UPPER
 from churnspark.llm.decontamination import WORD
+from churnspark.llm.divergence_audit import SCALE, TERM
 from churnspark.llm.quality_rules import BOILERPLATE, END_MARKS, MARKS
+from churnspark.llm.quartile_digest import BOUND, BUCKETS, COST, FACTORS, HEADER_COST, LENGTH_STEPS, STEP, TRIPLETS
 
 SPACED = r"[^\x20\x09-\x0D]+"
 
@@ -83,4 +85,82 @@ SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(
        sha256(coalesce(t, '')) AS kept_sha256
 FROM documents AS d LEFT JOIN k ON d.doc_id = k.doc_id"""
 
-ORACLE = {"op2_decontamination": OP2, "op5_substring_dedup": OP5, "op7_quality_rules": OP7, "op8_line_dedup": OP8}
+_COST_LIST = "[" + ", ".join(map(str, COST)) + "]"
+_TRIPLE_HASHES = " UNION ALL ".join(
+    f"SELECT side, doc_id, (b[s] * {FACTORS[0]} + b[s + {i}] * {FACTORS[1]} + b[s + {j}] * {FACTORS[2]} + {k * STEP % (1 << 32)})"
+    f" % 4294967296 // 16777216 AS h FROM bytes, unnest(range(1, len(b) - {j} + 1)) AS u(s)" for k, (i, j) in enumerate(TRIPLETS))
+
+
+def _score(a: str, b: str) -> str:
+    """The bounded difference of two digest rows."""
+    return f"""least({BOUND}, {HEADER_COST} * (least({LENGTH_STEPS}, abs({a}.len - {b}.len)) + abs({a}.r1 - {b}.r1) + abs({a}.r2 - {b}.r2))
+        + list_sum(list_transform(list_zip({a}.codes, {b}.codes), lambda z: {_COST_LIST}[1 + abs(z[1] - z[2])])))"""
+
+
+OP11 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, t, coalesce(lead(doc_id) OVER o, min(doc_id) OVER ()) AS next_id, coalesce(lead(t) OVER o, first_value(t) OVER o) AS next_t
+      FROM d WINDOW o AS (ORDER BY doc_id)),
+texts AS (SELECT 0 AS side, doc_id, t FROM n UNION ALL
+          SELECT 1, doc_id, left(t, length(t) - length(t) // 4) || left(next_t, length(t) // 4) FROM n),
+bytes AS (SELECT side, doc_id, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS b FROM texts),
+hits AS ({_TRIPLE_HASHES}),
+cells AS (SELECT side, doc_id, h, 0 AS n FROM texts, unnest(range({BUCKETS})) AS u(h) UNION ALL
+          SELECT side, doc_id, h, count(*) FROM hits GROUP BY ALL),
+counts AS (SELECT side, doc_id, h, sum(n) AS n FROM cells GROUP BY ALL),
+lists AS (SELECT side, doc_id, list(n ORDER BY h) AS c, list_sort(list(n)) AS s FROM counts GROUP BY ALL),
+marks AS (SELECT side, doc_id, c, s[{BUCKETS // 4}] AS q1, s[{BUCKETS // 2}] AS q2, s[{3 * BUCKETS // 4}] AS q3 FROM lists),
+prints AS (SELECT m.side, m.doc_id, list_transform(c, lambda x: CAST(x > q1 AS INT) + CAST(x > q2 AS INT) + CAST(x > q3 AS INT)) AS codes,
+           least(15, 16 * q1 // greatest(q3, 1)) AS r1, least(15, 16 * q2 // greatest(q3, 1)) AS r2,
+           CASE WHEN strlen(t) = 0 THEN 0 ELSE 8 * length(bin(strlen(t))) + CAST('0b' || rpad(substr(bin(strlen(t)), 2, 3), 3, '0') AS INT) END AS len
+           FROM marks AS m JOIN texts USING (side, doc_id)),
+shown AS (SELECT *, printf('%02x', CAST(len AS INT)) || printf('%x', CAST(r1 AS INT)) || printf('%x', CAST(r2 AS INT)) || array_to_string(list_transform(
+          range(1, {BUCKETS}, 2), lambda i: printf('%x', CAST(4 * codes[i] + codes[i + 1] AS INT))), '') AS fp FROM prints)
+SELECT n.doc_id, CAST(length(n.t) AS BIGINT) AS n_chars, sha256(e.t) AS edited_sha256, a.fp AS fingerprint, b.fp AS edited_fingerprint,
+       1.0::DOUBLE - {_score('a', 'b')}::DOUBLE / {BOUND} AS near_edited, 1.0::DOUBLE - {_score('a', 'c')}::DOUBLE / {BOUND} AS near_next
+FROM n JOIN texts AS e ON e.side = 1 AND e.doc_id = n.doc_id JOIN shown AS a ON a.side = 0 AND a.doc_id = n.doc_id
+JOIN shown AS b ON b.side = 1 AND b.doc_id = n.doc_id JOIN shown AS c ON c.side = 0 AND c.doc_id = n.next_id"""
+
+_NEAREST = """a{r} AS MATERIALIZED (SELECT vec_id, v, c AS cluster, dist AS distance, cv FROM (SELECT vec_id, v, c, cv,
+    list_sum(list_transform(list_zip(v, cv), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS dist FROM kept, c{r})
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, c) = 1)"""
+_MOVED = """c{n} AS MATERIALIZED (SELECT c{r}.c, coalesce(m.cv, c{r}.cv) AS cv FROM c{r} LEFT JOIN (SELECT cluster, list(x ORDER BY i) AS cv FROM (
+    SELECT cluster, i, (sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS x
+    FROM a{r}, unnest(range(1, 65)) AS u(i) GROUP BY ALL) GROUP BY cluster) AS m ON m.cluster = c{r}.c)"""
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, v AS cv FROM kept
+    QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id)) <= 16),
+{", ".join(_NEAREST.format(r=r) + ", " + _MOVED.format(r=r, n=r + 1) for r in range(3))},
+{_NEAREST.format(r=3)}
+SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(cv, ',')) AS centroid_sha256 FROM a3"""
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS w FROM documents),
+t AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
+own AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+size AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM groups AS g LEFT JOIN own USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n, 1 + {SCALE}::HUGEINT * (coalesce(o.n, 0) + 1) // (g.total + l.v) AS p,
+             1 + {SCALE}::HUGEINT * (k.n + 1) // (l.total + l.v) AS q
+      FROM size AS g JOIN langs AS l USING (lang) JOIN kept AS k USING (lang) LEFT JOIN own AS o USING (lang, source, term)),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value,
+          row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // q DESC, term) AS rank FROM p WHERE n > 0 AND p > q QUALIFY rank <= 200),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+         FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM (
+    SELECT * FROM terms UNION ALL
+    SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs)"""
+
+ORACLE = {"op2_decontamination": OP2, "op5_substring_dedup": OP5, "op7_quality_rules": OP7, "op8_line_dedup": OP8,
+          "op11_quartile_digest": OP11, "op12_drift_kmeans": OP12, "op13_source_divergence": OP13}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnspark.llm import decontamination, language_id, line_dedup, packing, pii, quality_rules, secret_scan, simhash, substring_dedup, suffix_tree_lm
+from churnspark.llm import (decontamination, divergence_audit, drift_kmeans, language_id, line_dedup, packing, pii, quality_rules,
+                            quartile_digest, secret_scan, simhash, substring_dedup, suffix_tree_lm)
 from churnspark.llm.common import crc32_of_id, digest, table
 from churnspark.llm.oracle import ORACLE  # noqa: F401
 
@@ -76,6 +77,22 @@ def op10_language_id(spark, d):
         "doc_id", "held_out", "language.lang_pred", "language.score")
 
 
+def op11_quartile_digest(spark, d):
+    return quartile_digest.edit_audit(table(spark, d, "documents").select("doc_id", "text"))
+
+
+def op12_drift_kmeans(spark, d):
+    done = drift_kmeans.cluster(table(spark, d, "embeddings").select("vec_id", "embedding"))
+    if done is None:
+        return spark.createDataFrame([], "vec_id long, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string")
+    return drift_kmeans.report(done).select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                                            "centroid_sha256")
+
+
+def op13_source_divergence(spark, d):
+    return divergence_audit.source_divergence(table(spark, d, "documents").select("lang", "source", "text"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -87,4 +104,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
+    "op11_quartile_digest": op11_quartile_digest,
+    "op12_drift_kmeans": op12_drift_kmeans,
+    "op13_source_divergence": op13_source_divergence,
 }
