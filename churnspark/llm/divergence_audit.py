@@ -47,7 +47,8 @@ from churnspark.llm.common import col, small_batches, written
 SHARD = 8 << 20
 SCALE = 1_000_000_000
 SALTS = 16
-CELLS = 1 << 20         # of a matrix terms x sources
+CELLS = 1 << 18         # of a matrix terms x sources
+BLOCK = 50_000          # rows of whole terms that are summed at once
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 _BYTE = np.arange(256)
@@ -236,7 +237,9 @@ def group_table(docs: DataFrame, kept: DataFrame, lang_col: str, source_col: str
 
 
 def _joint(rows: DataFrame) -> DataFrame:
-    """``(lang, s, t, j)``: over the terms that s and t both have, floor(p^2/q) less what the histograms count for it."""
+    """``(lang, s, t, j)``: over the terms that s and t both have, floor(p^2/q) less what the histograms count for it.
+
+    A term's rows follow each other and ``first`` is 1 on the first of them."""
 
     def summed(lang: str, sources: np.ndarray, zero: np.ndarray, term: np.ndarray, source: np.ndarray, p: np.ndarray,
                out: dict) -> None:
@@ -261,28 +264,35 @@ def _joint(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(s, pa.string()), pa.array(t, pa.string()),
                                            pa.array(list(out.values()), pa.int64())], names=["lang", "s", "t", "j"])
 
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Tables of whole terms, about ``BLOCK`` rows each."""
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= BLOCK:
+                table = pa.Table.from_batches(held)
+                end = int(np.flatnonzero(table.column("first").to_numpy())[-1])  # the last term may go on
+                if end:
+                    yield table.slice(0, end)
+                held = table.slice(end).to_batches()
+                size = size - end
+        if size:
+            yield pa.Table.from_batches(held)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict = {}
-        rest = None
-        for batch in _with_end(batches):
-            now = rest if batch is None else pa.Table.from_batches([batch]) if rest is None else pa.concat_tables(
-                [rest, pa.Table.from_batches([batch])])
-            rest = None
-            if now is None or not now.num_rows:
-                continue
-            lang, term = (now.column(c).to_numpy() for c in ("lang", "term"))
-            new = np.concatenate([[True], (lang[1:] != lang[:-1]) | (term[1:] != term[:-1])])
-            if batch is not None:  # the last term may go on in the next batch
-                end = int(np.flatnonzero(new)[-1])
-                rest, now, lang, new = now.slice(end), now.slice(0, end), lang[:end], new[:end]
-                if not end:
-                    continue
-            source, p, zero = (now.column(c).to_numpy() for c in ("source", "p", "p0"))
+        for block in blocks(batches):
+            lang, source = (block.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
+            lang, source = (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in (lang, source))
+            langs, names = lang.dictionary.to_pylist(), np.array(source.dictionary.to_pylist(), object)
+            lang, source = lang.indices.to_numpy(), source.indices.to_numpy()
+            new, p, zero = (block.column(c).to_numpy() for c in ("first", "p", "p0"))
             starts = np.flatnonzero(np.concatenate([[True], lang[1:] != lang[:-1]]))
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(lang)]):
-                names, first, code = np.unique(source[a:b], return_index=True, return_inverse=True)
-                summed(lang[a], names, zero[a:b][first], np.cumsum(new[a:b]) - 1, code, p[a:b], out)
-            if len(out) > CELLS // 8:
+                own, first, code = np.unique(source[a:b], return_index=True, return_inverse=True)
+                summed(langs[lang[a]], names[own], zero[a:b][first], np.cumsum(new[a:b]) - 1, code, p[a:b], out)
+            if len(out) > CELLS:
                 yield batch_of(out)
                 out = {}
         if out:
@@ -292,12 +302,6 @@ def _joint(rows: DataFrame) -> DataFrame:
     return sums.groupBy("lang", "s", "t").agg(F.sum("j").alias("j"))
 
 
-def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    """The batches and a None after the last."""
-    yield from batches
-    yield None
-
-
 def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
                       least: int = 3, top: int = 200) -> DataFrame:
     """``(lang, source, part, item, value, rank)``.
@@ -308,7 +312,7 @@ def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str =
     groups = written(group_table(docs, kept, lang_col, source_col))
     shares = kept.join(groups, ["lang", "source"]).select(
         "lang", "source", "term", _share(F.col("n"), F.col("total"), F.col("kinds")).alias("p"),
-        _share(F.col("n_lang"), F.col("lang_total"), F.col("kinds")).alias("q"), "p0")
+        _share(F.col("n_lang"), F.col("lang_total"), F.col("kinds")).alias("q"), "p0", "first")
     return _terms(shares, top).unionByName(_pairs(shares, groups))
 
 
@@ -327,8 +331,8 @@ def _terms(shares: DataFrame, top: int) -> DataFrame:
 
 def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
     n = int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = shares.select("lang", "term", "source", "p", "p0").repartition(n, "lang", "term").sortWithinPartitions(
-        "lang", "term", "source")
+    rows = shares.select("lang", "term", "source", "p", "p0", "first").repartition(n, "lang", "term").sortWithinPartitions(
+        "lang", "term", "source").drop("term")
     # Histograms of p against every group of the language, dealt by salts so that one language fills many tasks.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     hist = shares.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("m")).withColumn("salt", F.pmod(F.hash("p"), F.lit(SALTS)))
