@@ -101,7 +101,7 @@ def to_text(rows: np.ndarray) -> list[str]:
     packed = np.empty((len(rows), 2 + BUCKETS // 4), np.uint8)
     packed[:, 0] = rows[:, 0]
     packed[:, 1] = rows[:, 1] * 16 + rows[:, 2]
-    packed[:, 2:] = np.packbits(np.unpackbits(rows[:, 3:, None], axis=2)[:, :, 6:].reshape(len(rows), -1), axis=1)
+    packed[:, 2:] = np.packbits(np.unpackbits(rows[:, 3:, None], axis=2)[:, :, 6:].reshape(len(rows), 2 * BUCKETS), axis=1)
     return [x.tobytes().hex() for x in packed]
 
 
@@ -109,7 +109,7 @@ def from_text(prints: list[str]) -> np.ndarray:
     """Digests from their hexadecimal text."""
     packed = np.frombuffer(bytes.fromhex("".join(prints)), np.uint8).reshape(len(prints), 2 + BUCKETS // 4)
     codes = (packed[:, 2:, None] >> np.array([6, 4, 2, 0], np.uint8)) & 3
-    return np.concatenate([packed[:, :1], packed[:, 1:2] >> 4, packed[:, 1:2] & 15, codes.reshape(len(prints), -1)], axis=1)
+    return np.concatenate([packed[:, :1], packed[:, 1:2] >> 4, packed[:, 1:2] & 15, codes.reshape(len(prints), BUCKETS)], axis=1)
 
 
 def differences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
