@@ -1,35 +1,31 @@
 """Class imbalance (E1-E4): ratio gate, exact minority kNN, SMOTE synthesis.
 
-kNN is exact without forming all pairs. Every row gets a projection
-``v = x . u`` on the first principal direction ``u`` (unit length, so
-``|v_i - v_j| <= ||x_i - x_j||``). Rows fall into equal-frequency buckets of
-``v``; a first pass over the own and adjacent buckets gives each row ``k``
-real neighbours and so a radius ``r_i`` that bounds its true k-th distance.
-The exact pass joins each row only with the buckets its band
-``[v_i - r_i, v_i + r_i]`` touches (an equi-join on bucket id) and keeps
-the ``k`` nearest by ``(distance, id)``. Only pairs inside a band are ever
-formed; a row in a sparse region simply has a wider band.
+``knn`` is :func:`churnspark.operators.neighbours.nearest`: exact, without all pairs.
 
 SMOTE: ``n_syn = n_major - n_minor`` synthetic rows, spread evenly over the
 minority rows (each gets ``n_syn // m``, the ``n_syn % m`` rows with the
 smallest ``md5(seed:a:id)`` one more). Sample ``j`` of row ``i`` uses
 neighbour slot ``floor(u(seed:n:i:j) * k)`` and gap ``u(seed:g:i:j)``:
 ``x_i + gap * (x_nbr - x_i)``. All draws are hashes of keys.
+
+The synthetic rows come from a range that Spark splits evenly: number ``s`` is
+sample ``s div m`` of the minority row with hash rank ``s mod m``, so two minority
+rows against millions still fill every task. A minority row carries its own and
+its neighbours' features, so the range is joined once, by rank: broadcast while the
+minority is small (``BROADCAST_VALUES`` numbers), else by a shuffle in which each rank
+has its even share.
 """
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.ml.feature import PCA, Bucketizer, VectorAssembler
 
 from churnspark.functions.hashing import hash_key, uniform
-from churnspark.operators.ranking import rank_within
+from churnspark.operators.neighbours import nearest as knn
+from churnspark.operators.ranking import rank_by_hash
 
-DIST_DIGITS = 9
-MAX_BUCKETS = 65536
+BROADCAST_VALUES = 4_000_000
 
 
 def imbalance(df: DataFrame, label: str = "label") -> dict:
@@ -51,86 +47,6 @@ def imbalance_table(df: DataFrame, label: str = "label", threshold: float = 1.5)
         (F.col("n_majority") / F.col("n_minority") > threshold).alias("resample"))
 
 
-def _principal_direction(df: DataFrame, features: list[str]) -> np.ndarray:
-    """Top principal direction of the features (MLlib PCA: a distributed
-    covariance; only the p x p matrix reaches the driver)."""
-    vec = VectorAssembler(inputCols=list(features), outputCol="__vec", handleInvalid="keep").transform(df)
-    pc = PCA(k=1, inputCol="__vec", outputCol="__pc").fit(vec).pc.toArray()[:, 0]
-    return pc / (np.linalg.norm(pc) or 1.0)
-
-
-def _dist(a: list[Column], b: list[Column]) -> Column:
-    sq = None
-    for x, y in zip(a, b):
-        d = (x - y) * (x - y)
-        sq = d if sq is None else sq + d
-    return F.round(F.sqrt(sq), DIST_DIGITS)
-
-
-def knn(df: DataFrame, features: list[str], k: int = 5, key: str = "id",
-        rows_per_bucket: int = 256) -> DataFrame:
-    """Exact ``k`` nearest neighbours (Euclidean, self excluded, ties by id):
-    ``(id, nbr_rank, nbr_id, dist)``."""
-    m = df.count()
-    k = min(k, max(m - 1, 0))
-    spark = df.sparkSession
-    if k == 0:
-        return spark.createDataFrame([], f"{key} long, nbr_rank int, nbr_id long, dist double")
-    u = _principal_direction(df, features)
-    v = None
-    for w, c in zip(u, features):
-        term = F.col(c).cast("double") * float(w)
-        v = term if v is None else v + term
-    pts = df.select(F.col(key).alias("i"), *[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(features)],
-                    v.alias("v"))
-    n_buckets = min(MAX_BUCKETS, max(1, m // rows_per_bucket))
-    edges = []
-    if n_buckets > 1:
-        edges = pts.agg(F.percentile_approx("v", [b / n_buckets for b in range(1, n_buckets)], 10000)).first()[0]
-        edges = sorted(set(edges))
-    splits = [float("-inf")] + edges + [float("inf")]
-
-    def bucketize(frame: DataFrame, cols: list[str]) -> DataFrame:
-        """Monotone bucket ids by binary search in the JVM (any monotone map keeps the band exact)."""
-        if not edges:
-            for c in cols:
-                frame = frame.withColumn(f"{c}_b", F.lit(0))
-            return frame
-        bz = Bucketizer(splitsArray=[splits] * len(cols), inputCols=cols, outputCols=[f"{c}_b" for c in cols])
-        frame = bz.transform(frame)
-        for c in cols:
-            frame = frame.withColumn(f"{c}_b", F.col(f"{c}_b").cast("int"))
-        return frame
-
-    pts = bucketize(pts, ["v"]).withColumnRenamed("v_b", "b").persist(StorageLevel.MEMORY_AND_DISK)
-    xs = [f"x{j}" for j in range(len(features))]
-    other = pts.select(F.col("i").alias("o"), *[F.col(x).alias(f"o_{x}") for x in xs],
-                       F.col("v").alias("ov"), F.col("b").alias("ob"))
-    # pass 1: own and adjacent buckets -> a radius that holds k real neighbours
-    probe = pts.select("i", "v", *xs, F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).alias("ob"))
-    near = probe.join(other, "ob").filter(F.col("o") != F.col("i"))
-    near = near.withColumn("d", _dist([F.col(x) for x in xs], [F.col(f"o_{x}") for x in xs]))
-    w1 = Window.partitionBy("i").orderBy("d", "o")
-    radius = (near.withColumn("r", F.row_number().over(w1)).filter(F.col("r") == k)
-              .select("i", F.col("d").alias("radius")))
-    # rows with fewer than k candidates nearby search every bucket (radius = +inf)
-    pts_r = pts.join(radius, "i", "left").withColumn(
-        "radius", F.coalesce(F.col("radius"), F.lit(float("inf"))))
-    # slack covers the rounding of distances to DIST_DIGITS
-    pts_r = pts_r.withColumn("radius", F.col("radius") + F.lit(1e-6))
-    pts_r = pts_r.withColumn("vlo", F.col("v") - F.col("radius")).withColumn("vhi", F.col("v") + F.col("radius"))
-    pts_r = bucketize(pts_r, ["vlo", "vhi"])
-    band = pts_r.select("i", "v", "radius", *xs, F.explode(F.sequence(F.col("vlo_b"), F.col("vhi_b"))).alias("ob"))
-    cand = (band.join(other, "ob")
-            .filter((F.col("o") != F.col("i")) & (F.abs(F.col("ov") - F.col("v")) <= F.col("radius")))
-            .withColumn("d", _dist([F.col(x) for x in xs], [F.col(f"o_{x}") for x in xs])))
-    w2 = Window.partitionBy("i").orderBy("d", "o")
-    out = (cand.withColumn("nbr_rank", F.row_number().over(w2)).filter(F.col("nbr_rank") <= k)
-           .select(F.col("i").alias(key), F.col("nbr_rank").cast("int").alias("nbr_rank"),
-                   F.col("o").alias("nbr_id"), F.col("d").alias("dist")))
-    return out
-
-
 def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "id", k: int = 5,
           seed: int = 42, threshold: float = 1.5, method: str = "smote") -> DataFrame:
     """Resampled training rows ``(key, syn, label, features..., is_synthetic)``.
@@ -150,19 +66,25 @@ def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "
     k_eff = min(k, m - 1)
     if k_eff < 1:
         raise ValueError(f"SMOTE needs two rows of the minority class, there is {m}")
-    base_n, extra = divmod(n_syn, m)
-    alloc = rank_within(minority.withColumn("__one", F.lit(1)), "__one",
-                        [F.substring(hash_key(f"{seed}:a", F.col(key)), 1, 13), F.col(key)], name="__r")
-    alloc = alloc.withColumn("cnt", F.lit(base_n) + F.when(F.col("__r") < extra, 1).otherwise(0)).drop("__one", "__r")
-    samples = alloc.filter(F.col("cnt") > 0).select(
-        F.col(key), *features, F.explode(F.sequence(F.lit(0), F.col("cnt") - 1)).alias("syn"))
-    samples = (samples.withColumn("nbr_rank", (F.floor(uniform(f"{seed}:n", F.col(key), F.col("syn")) * k_eff) + 1).cast("int"))
-               .withColumn("gap", uniform(f"{seed}:g", F.col(key), F.col("syn"))))
-    nn = knn(minority, features, k_eff, key)
-    nbr = minority.select(F.col(key).alias("nbr_id"), *[F.col(c).alias(f"n_{c}") for c in features])
-    joined = samples.join(nn, [key, "nbr_rank"]).join(nbr, "nbr_id")
+    base = _bases(minority, features, key, k_eff, seed)
+    if m * (k_eff + 1) * len(features) <= BROADCAST_VALUES:
+        base = F.broadcast(base)
+    numbers = df.sparkSession.range(n_syn).select((F.col("id") % m).alias("base_rank"), F.expr(f"id div {m}").cast("int").alias("syn"))
+    joined = numbers.join(base, "base_rank")
+    slot = (F.floor(uniform(f"{seed}:n", F.col("base_id"), F.col("syn")) * k_eff) + 1).cast("int")
+    joined = joined.withColumn("gap", uniform(f"{seed}:g", F.col("base_id"), F.col("syn"))).withColumn("nbr", F.element_at("nbrs", slot)["x"])
     synthetic = joined.select(
-        F.col(key), F.col("syn").cast("int").alias("syn"), F.lit(info["minority"]).cast(df.schema[label].dataType).alias(label),
-        *[(F.col(c) + F.col("gap") * (F.col(f"n_{c}") - F.col(c))).alias(c) for c in features],
+        F.col("base_id").alias(key), "syn", F.lit(info["minority"]).cast(df.schema[label].dataType).alias(label),
+        *[(F.col("x")[i] + F.col("gap") * (F.col("nbr")[i] - F.col("x")[i])).alias(c) for i, c in enumerate(features)],
         F.lit(True).alias("is_synthetic"))
     return real.unionByName(synthetic)
+
+
+def _bases(minority: DataFrame, features: list[str], key: str, k: int, seed: int) -> DataFrame:
+    """``(base_rank, base_id, x, nbrs)``: each minority row by hash rank with its features and its ``k`` neighbours' features in order."""
+    rows = minority.select(F.col(key).alias("base_id"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    ranked = rank_by_hash(rows, F.lit(1), F.substring(hash_key(f"{seed}:a", F.col("base_id")), 1, 13), "base_id", "base_rank")
+    nn = knn(minority, features, k, key).select(F.col(key).alias("base_id"), "nbr_rank", "nbr_id")
+    nn = nn.join(rows.select(F.col("base_id").alias("nbr_id"), "x"), "nbr_id")
+    nbrs = nn.groupBy("base_id").agg(F.sort_array(F.collect_list(F.struct("nbr_rank", "x"))).alias("nbrs"))  # k entries a row
+    return ranked.join(nbrs, "base_id")

@@ -9,9 +9,11 @@ Training keeps the rows in Spark; per level:
    value) -> n, w0, w1`` (partial aggregation before the shuffle; with
    ``max_bins`` the values are pre-bucketed, so the histogram is bounded by
    nodes x features x bins whatever the row count);
-3. prefix sums per ``(model, node, feature)`` ordered by value give left/right
-   statistics of every candidate threshold; impurity gains are built-in
-   arithmetic;
+3. prefix sums ordered by value give left/right statistics of every candidate
+   threshold; impurity gains are built-in arithmetic. The sums have two levels: a
+   feature with many values is cut into value slices, windows run inside
+   ``(model, node, feature, slice)``, and the slices' totals (a row each) are summed
+   into offsets, so no task holds a feature's whole histogram;
 4. ``max_by`` per node picks the winner (ties: larger gain rounded to 12
    digits, then smaller feature index, then smaller threshold);
 5. only the winners (one row per open node) reach the driver.
@@ -37,6 +39,7 @@ import math
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +50,8 @@ from churnspark.functions.hashing import hash_key
 FEATURE_THRESHOLD = 1e-7    # values closer than this are not split apart
 GAIN_DIGITS = 12
 KEY_SHIFT = 32              # map key = model_id << 32 | node_id
+SLICE_VALUES = 50_000       # rows of a feature beyond which its histogram is cut into value slices
+MAX_SLICES = 256
 
 NODE_SCHEMA = T.StructType([
     T.StructField("model_id", T.LongType()), T.StructField("node_id", T.LongType()),
@@ -267,6 +272,19 @@ def _binned_vector(features: list[str], edges: dict[int, list[float]]) -> Column
     return F.array(*out)
 
 
+def _slice_edges(df: DataFrame, features: list[str]) -> dict[int, list[float]]:
+    """Inner edges of the value slices of each feature that has more than ``SLICE_VALUES`` values."""
+    cols = [F.col(c).cast("double") for c in features]
+    seen = df.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    many = [i for i in range(len(cols)) if seen[f"d{i}"] > SLICE_VALUES]
+    if not many:
+        return {}
+    slices = min(MAX_SLICES, -(-seen["n"] // SLICE_VALUES))
+    probs = [i / slices for i in range(1, slices)]
+    row = df.agg(*[F.percentile_approx(cols[i], probs, 10000).alias(f"e{i}") for i in many]).first()
+    return {i: sorted(set(row[f"e{i}"])) for i in many}
+
+
 def fit_tree(df: DataFrame, features: list[str], label: str = "label", params: TreeParams | None = None,
              model_col: str | None = None, weight_col: str | None = None,
              model_params: dict[int, TreeParams] | None = None) -> TreeModel:
@@ -285,13 +303,20 @@ def fit_tree(df: DataFrame, features: list[str], label: str = "label", params: T
     else:
         cw = class_weights(df, label, model_col, params.class_weight)
         w = F.lit(1.0)
+    tag = [model.cast("bigint").alias("m"), y.alias("y"), w.alias("w")]
     if params.max_bins:
         edges = _bin_edges(df, features, params.max_bins)
-        x = _binned_vector(features, edges)
+        base = df.select(*tag, _binned_vector(features, edges).alias("x"))
     else:
-        x = F.array(*[F.col(c).cast("double") for c in features])
-    base = df.select(model.cast("bigint").alias("m"), y.alias("y"), w.alias("w"), x.alias("x")).persist(
-        StorageLevel.MEMORY_AND_DISK)
+        base = df.select(*tag, *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)])
+        edges = _slice_edges(df, features)
+        if edges:
+            ids = sorted(edges)
+            base = Bucketizer(splitsArray=[[-math.inf, *edges[i], math.inf] for i in ids], inputCols=[f"x{i}" for i in ids],
+                              outputCols=[f"b{i}" for i in ids], handleInvalid="keep").transform(base)
+        slices = [F.array(*[F.col(f"b{i}").cast("int") if i in edges else F.lit(0) for i in range(p)]).alias("b")] if edges else []
+        base = base.select("m", "y", "w", F.array(*[F.col(f"x{i}") for i in range(p)]).alias("x"), *slices)
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _grow(base, features, params, p, cw, model_params or {})
     finally:
@@ -374,6 +399,27 @@ def _splittable(node: dict, params: TreeParams) -> bool:
             and node["impurity"] > 2.220446049250313e-16)
 
 
+SUMS = ("n", "n0", "n1", "s0", "s1")
+
+
+def _running(hist: DataFrame, where: list[str], sliced: bool) -> DataFrame:
+    """Histogram rows with the sums ``l*`` up to their value and the next value ``nv`` of the node and feature."""
+    win = Window.partitionBy(*where).orderBy("v")
+    cum = win.rowsBetween(Window.unboundedPreceding, 0)
+    cand = hist.select("*", *[F.sum(c).over(cum).alias(f"l{c}") for c in SUMS], F.lead("v").over(win).alias("nv"))
+    if not sliced:
+        return cand
+    over = Window.partitionBy("k", "f").orderBy("b")
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    totals = hist.groupBy(*where).agg(*[F.sum(c).alias(c) for c in SUMS], F.min("v").alias("v"))
+    offsets = totals.select(*where, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"o{c}") for c in SUMS],
+                            F.lead("v").over(over).alias("next"))
+    met = cand.join(offsets, where)
+    kept = [c for c in cand.columns if c != "nv" and c not in {f"l{x}" for x in SUMS}]
+    return met.select(*kept, *[(F.col(f"l{c}") + F.col(f"o{c}")).alias(f"l{c}") for c in SUMS],
+                      F.coalesce("nv", "next").alias("nv"))
+
+
 def _best_splits(base, splits, active, nodes, params, p, cw, model_params, path, levels) -> dict:
     def pp(m):
         return model_params.get(m, params)
@@ -383,7 +429,11 @@ def _best_splits(base, splits, active, nodes, params, p, cw, model_params, path,
     routed = route(base, splits, levels, F.col("x"), F.col("m"))
     key = _key(F.col("m"), F.col("node"))
     routed = routed.withColumn("k", key).filter(F.element_at(active_map, F.col("k")).isNotNull())
-    long = routed.select("k", "y", "w", F.posexplode("x").alias("f", "v"))
+    sliced = "b" in base.columns
+    if sliced:
+        long = routed.select("k", "y", "w", F.posexplode(F.arrays_zip("x", "b")).alias("f", "s")).select("k", "y", "w", "f", "s.b", F.col("s.x").alias("v"))
+    else:
+        long = routed.select("k", "y", "w", F.posexplode("x").alias("f", "v"))
     subset = {(m, n): _n_max_features(pp(m).max_features, p) for m, n in active}
     if any(v < p for v in subset.values()):
         # per-node feature subset: the k features with the smallest md5(seed:model:path:f)
@@ -394,7 +444,8 @@ def _best_splits(base, splits, active, nodes, params, p, cw, model_params, path,
         amap = F.map_from_arrays(F.array(*[F.lit(k).cast("bigint") for k in allowed]),
                                  F.array(*[F.array(*[F.lit(f) for f in v]) for v in allowed.values()]))
         long = long.filter(F.array_contains(F.element_at(amap, F.col("k")), F.col("f")))
-    hist = long.groupBy("k", "f", "v").agg(
+    where = ["k", "f", "b"] if sliced else ["k", "f"]
+    hist = long.groupBy(*where, "v").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"),
         F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("s0"),
@@ -404,11 +455,7 @@ def _best_splits(base, splits, active, nodes, params, p, cw, model_params, path,
     tw0 = _long_map({k: v["w0"] for k, v in tot.items()}, "double")
     tw1 = _long_map({k: v["w1"] for k, v in tot.items()}, "double")
     timp = _long_map({k: v["impurity"] for k, v in tot.items()}, "double")
-    win = Window.partitionBy("k", "f").orderBy("v")
-    cum = win.rowsBetween(Window.unboundedPreceding, 0)
-    cand = (hist.withColumn("ln", F.sum("n").over(cum)).withColumn("ln0", F.sum("n0").over(cum))
-            .withColumn("ln1", F.sum("n1").over(cum)).withColumn("ls0", F.sum("s0").over(cum))
-            .withColumn("ls1", F.sum("s1").over(cum)).withColumn("nv", F.lead("v").over(win)))
+    cand = _running(hist, where, sliced)
     lw0c, lw1c = _weighted(cw, F.shiftright(F.col("k"), KEY_SHIFT), F.col("ln0"), F.col("ln1"), F.col("ls0"), F.col("ls1"))
     cand = cand.withColumn("lw0", lw0c).withColumn("lw1", lw1c)
     N, W0, W1 = F.element_at(tn, F.col("k")), F.element_at(tw0, F.col("k")), F.element_at(tw1, F.col("k"))

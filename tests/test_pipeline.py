@@ -56,7 +56,7 @@ def _points(spark, n=300, p=4, seed=3):
 def test_knn_exact_against_brute_force(spark):
     df, x, cols = _points(spark)
     got = {}
-    for r in knn(df, cols, 5, "id", rows_per_bucket=16).collect():
+    for r in knn(df, cols, 5, "id", rows_per_cell=16).collect():
         got.setdefault(r["id"], []).append((r["nbr_rank"], r["nbr_id"]))
     d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
     for i in range(len(x)):
