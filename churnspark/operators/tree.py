@@ -275,11 +275,14 @@ def _binned_vector(features: list[str], edges: dict[int, list[float]]) -> Column
 def _slice_edges(df: DataFrame, features: list[str]) -> dict[int, list[float]]:
     """Inner edges of the value slices of each feature that has more than ``SLICE_VALUES`` values."""
     cols = [F.col(c).cast("double") for c in features]
-    seen = df.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    many = [i for i in range(len(cols)) if seen[f"d{i}"] > SLICE_VALUES]
+    n = df.count()
+    if n <= SLICE_VALUES:  # no feature has more values than rows
+        return {}
+    kinds = df.select(F.posexplode(F.array(*cols)).alias("f", "v")).groupBy("f").agg(F.approx_count_distinct("v", 0.02).alias("kinds"))
+    many = sorted(r["f"] for r in kinds.filter(F.col("kinds") > SLICE_VALUES).collect())
     if not many:
         return {}
-    slices = min(MAX_SLICES, -(-seen["n"] // SLICE_VALUES))
+    slices = min(MAX_SLICES, -(-n // SLICE_VALUES))
     probs = [i / slices for i in range(1, slices)]
     row = df.agg(*[F.percentile_approx(cols[i], probs, 10000).alias(f"e{i}") for i in many]).first()
     return {i: sorted(set(row[f"e{i}"])) for i in many}

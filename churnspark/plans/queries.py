@@ -19,11 +19,13 @@ from churnspark.operators import inspect as H
 from churnspark.operators import metrics as M
 from churnspark.operators import profile as B
 from churnspark.operators import score as J
+from churnspark.operators import search as S
 from churnspark.operators.balance import imbalance_table, knn, smote
 from churnspark.operators.encode import Preprocessor
 from churnspark.operators.outliers import bounds_table, iqr_bounds, remove_outliers
 from churnspark.operators.split import stratified_folds, stratified_split
 from churnspark.operators.tree import TreeParams, class_weight_table, class_weights, fit_tree
+from churnspark.plans.oracle_search import GRID
 from churnspark.plans.prepare import prepare
 from churnspark.sources.tables import churn_frame
 from churnspark.spec import FrameSpec
@@ -356,25 +358,71 @@ def tree5(spark, d):
 
 
 def q_cross_validate(spark, d):
-    from churnspark.operators.search import cross_validate
-    return cross_validate(train_enc(spark, d), prep(spark, d).feature_names, "label", TreeParams())["summary"]
+    return _rounded(S.cross_validate(train_enc(spark, d), prep(spark, d).feature_names, "label", TreeParams())["summary"])
+
+
+def q_cross_validate_refit(spark, d):
+    """F6 with preparation refitted in every fold, on raw train rows."""
+    train = split(spark, d).filter(~F.col("is_test")).drop("is_test")
+    return _rounded(S.cross_validate(train, label="churn", params=TreeParams(), refit_prep=spec(spark, d))["summary"])
+
+
+def q_cv_score(spark, d):
+    return _rounded(S.cv_score(train_enc(spark, d), prep(spark, d).feature_names, "label", TreeParams(), scoring="f1"))
+
+
+def grid(spark, d):
+    return _memo(spark, d, "grid", lambda: S.grid_search(train_enc(spark, d), prep(spark, d).feature_names, "label", GRID,
+                                                         test=test_enc(spark, d)))
+
+
+def q_grid_search(spark, d):
+    """F9 over a grid of 24 points: every point's mean and std, the best marked."""
+    found = grid(spark, d)
+    p = found["best_params"]
+    best = ((F.col("criterion") == p.criterion) & (F.col("max_depth") == p.max_depth) & (F.col("min_samples_leaf") == p.min_samples_leaf)
+            & (F.col("min_samples_split") == p.min_samples_split))
+    return _rounded(found["results"].drop("max_features").withColumn("best", best))
+
+
+def q_grid_best_test(spark, d):
+    """F9's refitted best tree on the test split."""
+    return _rounded(grid(spark, d)["test_evaluation"])
+
+
+def _fold_tree(spark, d):
+    """Depth-2 tree on four folds of the train split, and the fifth fold."""
+    def build():
+        folded = stratified_folds(train_enc(spark, d), "label").persist(StorageLevel.MEMORY_AND_DISK)
+        return fit_tree(folded.filter("fold > 0"), prep(spark, d).feature_names, "label", TreeParams(max_depth=2)), folded.filter("fold = 0")
+    return _memo(spark, d, "fold_tree", build)
+
+
+def q_pruning_path(spark, d):
+    return _rounded(S.pruning_table(spark, _fold_tree(spark, d)[0]))
+
+
+def q_pruning_choice(spark, d):
+    """sampled alphas with their accuracy on the held-out fold, the chosen one marked."""
+    model, held_out = _fold_tree(spark, d)
+    res = S.optimise_pruning(model, held_out)
+    rows = [(i, float(a), float(s), a == res["best_alpha"]) for i, (a, s) in enumerate(zip(res["alphas"], res["scores"]))]
+    return _rounded(spark.createDataFrame(rows, "step int, alpha double, score double, best boolean"))
 
 
 def q_pruning(spark, d):
     """grown on four folds of the train split, pruned by accuracy on the fifth; the test split is not looked at."""
-    from churnspark.operators.search import optimise_pruning, pruning_path
     folded = stratified_folds(train_enc(spark, d), "label")
     features = prep(spark, d).feature_names
     m = fit_tree(smote(folded.filter("fold > 0").drop("fold"), features, "label", "id"), features, "label", TreeParams())
-    res = optimise_pruning(m, folded.filter("fold = 0"))
+    res = S.optimise_pruning(m, folded.filter("fold = 0"))
     rows = [(i, float(a), float(imp), a in res["alphas"], a == res["best_alpha"])
-            for i, (a, imp) in enumerate(pruning_path(m))]
+            for i, (a, imp) in enumerate(S.pruning_path(m))]
     return spark.createDataFrame(rows, "step int, alpha double, impurity double, sampled boolean, best boolean")
 
 
 def q_model_card(spark, d):
-    from churnspark.operators.search import model_card
-    return model_card(spark, tree5(spark, d), len(prep(spark, d).feature_names))
+    return S.model_card(spark, tree5(spark, d), len(prep(spark, d).feature_names))
 
 
 def q_top_features(spark, d):
@@ -530,6 +578,12 @@ QUERIES.update({
     "j4_repair": q_repair,
     "j5_fallback": q_fallback,
     "f6_cross_validate": q_cross_validate,
+    "f6_cross_validate_refit": q_cross_validate_refit,
+    "f7_cv_score": q_cv_score,
+    "f9_grid_search": q_grid_search,
+    "f9_best_test": q_grid_best_test,
+    "f10_pruning_path": q_pruning_path,
+    "f12_pruning_choice": q_pruning_choice,
     "f12_pruning": q_pruning,
     "f13_model_card": q_model_card,
     "g13_top_features": q_top_features,
