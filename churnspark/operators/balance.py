@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from churnspark.functions.hashing import hash_key, uniform
 from churnspark.operators.neighbours import nearest as knn
 from churnspark.operators.ranking import rank_by_hash
+from churnspark.session import ensure_checkpoint_dir
 
 BROADCAST_VALUES = 4_000_000
 
@@ -87,4 +88,6 @@ def _bases(minority: DataFrame, features: list[str], key: str, k: int, seed: int
     nn = knn(minority, features, k, key).select(F.col(key).alias("base_id"), "nbr_rank", "nbr_id")
     nn = nn.join(rows.select(F.col("base_id").alias("nbr_id"), "x"), "nbr_id")
     nbrs = nn.groupBy("base_id").agg(F.sort_array(F.collect_list(F.struct("nbr_rank", "x"))).alias("nbrs"))  # k entries a row
-    return ranked.join(nbrs, "base_id")
+    # cuts the search's lineage: a lost executor repeats none of it, and later plans stay small
+    ensure_checkpoint_dir(minority.sparkSession)
+    return ranked.join(nbrs, "base_id").checkpoint()
