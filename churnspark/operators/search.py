@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from churnspark.functions.exprs import safe_div
 from churnspark.operators.fold_prep import refit_features
 from churnspark.operators.split import stratified_folds
-from churnspark.operators.tree import (KEY_SHIFT, TreeModel, TreeParams, _key, _long_map, child, fit_tree,
-                                       impurity, route_maps)
+from churnspark.operators.node_arrays import NodeArrays, Routes
+from churnspark.operators.tree import TreeModel, TreeParams, fit_tree, impurity
 from churnspark.spec import FrameSpec
 
 TIE_DIGITS = 12      # scores that agree to so many digits tie
@@ -129,11 +129,12 @@ def param_grid(spark: SparkSession, grid: dict | None = None) -> DataFrame:
 
 def _paths_column(model: TreeModel, levels: int, x: Column, m: Column) -> Column:
     """Array of node ids from the root to the row's leaf (length levels + 1)."""
-    maps = route_maps(model.splits())
+    routes = Routes(model.splits())
 
     def step(acc, _i):
-        return F.concat(acc, F.array(child(maps, m, F.element_at(acc, -1), x)))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(max(levels, 1))), F.array(F.lit(1).cast("bigint")), step)
+        return F.concat(acc, F.array(routes.child(F.element_at(acc, -1), x)))
+    slots = F.aggregate(F.sequence(F.lit(1), F.lit(max(levels, 1))), F.array(routes.root(m)), step)
+    return F.transform(slots, lambda slot: routes.node(slot, m))
 
 
 def grid_search(df: DataFrame, features: list[str], label: str = "label", grid: dict | None = None,
@@ -169,17 +170,17 @@ def grid_search(df: DataFrame, features: list[str], label: str = "label", grid:
     val = folded.select("*", growth_ids).withColumn("model_id", F.col("g") * k + F.col("fold"))
     x = F.array(*[F.col(c).cast("double") for c in features])
     val = val.withColumn("path", _paths_column(model, model.depth, x, F.col("model_id")))
-    nmap = _long_map({(r["model_id"] << KEY_SHIFT) + r["node_id"]: r["n"] for r in model.nodes}, "bigint")
-    pmap = _long_map({(r["model_id"] << KEY_SHIFT) + r["node_id"]: r["p1"] for r in model.nodes}, "double")
+    nodes = {(r["model_id"], r["node_id"]): r for r in model.nodes}
+    places = NodeArrays(nodes)
     variants = sorted({(p["max_depth"] if p["max_depth"] is not None else 10 ** 6, p["min_samples_split"])
                        for p in pts})
     var_arr = F.array(*[F.struct(F.lit(md).alias("md"), F.lit(ms).alias("mss")) for md, ms in variants])
     v = val.select("model_id", "g", "fold", F.col(label).alias("y"), "path", F.explode(var_arr).alias("var"))
     stop = F.transform(F.col("path"), lambda node, i: (i >= F.col("var.md")) | (
-        F.element_at(nmap, _key(F.col("model_id"), node)) < F.col("var.mss")) | (
+        places.value({key: r["n"] for key, r in nodes.items()}, "bigint", F.col("model_id"), node) < F.col("var.mss")) | (
         i == F.size("path") - 1) | (node == F.element_at(F.col("path"), F.least(i + 2, F.size("path")))))
     leaf = F.element_at(F.col("path"), F.array_position(stop, True).cast("int"))
-    p1 = F.element_at(pmap, _key(F.col("model_id"), leaf))
+    p1 = places.value({key: r["p1"] for key, r in nodes.items()}, "double", F.col("model_id"), leaf)
     scored = v.select("g", "fold", F.col("var.md").alias("md"), F.col("var.mss").alias("mss"),
                       ((p1 > 0.5).cast("int") == F.col("y")).cast("double").alias("hit"))
     fold_acc = scored.groupBy("g", "md", "mss", "fold").agg(F.avg("hit").alias("acc"))

@@ -3,7 +3,7 @@
 Training keeps the rows in Spark; per level:
 
 1. route every row from the root through the splits found so far (the splits
-   are a few literal maps; each level is a fresh projection of the cached
+   are a few constant arrays; each level is a fresh projection of the cached
    input, so lineage does not grow with depth);
 2. ``posexplode`` the feature vector and aggregate ``(model, node, feature,
    value) -> n, w0, w1`` (partial aggregation before the shuffle; with
@@ -46,10 +46,11 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from churnspark.functions.hashing import hash_key
+from churnspark.operators.node_arrays import NodeArrays, Routes, by_model, constant_array
 
 FEATURE_THRESHOLD = 1e-7    # values closer than this are not split apart
 GAIN_DIGITS = 12
-KEY_SHIFT = 32              # map key = model_id << 32 | node_id
+KEY_SHIFT = 32              # key of a node = model_id << 32 | node_id
 SLICE_VALUES = 50_000       # rows of a feature beyond which its histogram is cut into value slices
 MAX_SLICES = 256
 
@@ -115,46 +116,23 @@ def _n_max_features(max_features, p: int) -> int:
     return max(1, min(p, int(max_features)))
 
 
-def _long_map(d: dict, value_type: str) -> Column:
-    """Literal map ``long -> value`` (empty dict gives an empty typed map)."""
-    if not d:
-        return F.create_map().cast(f"map<bigint,{value_type}>")
-    keys = F.array(*[F.lit(k).cast("bigint") for k in d])
-    vals = F.array(*[F.lit(v).cast(value_type) for v in d.values()])
-    return F.map_from_arrays(keys, vals)
-
-
 def _key(model: Column, node: Column) -> Column:
     return F.shiftleft(model.cast("bigint"), KEY_SHIFT) + node.cast("bigint")
 
 
-def route_maps(splits: dict[tuple[int, int], tuple[int, float, int]]) -> tuple[Column, Column, Column]:
-    """Feature index, threshold and left child's id of every split, keyed by model and node."""
-    keyed = {(m << KEY_SHIFT) + n: split for (m, n), split in splits.items()}
-    return tuple(_long_map({k: v[i] for k, v in keyed.items()}, t) for i, t in enumerate(("int", "double", "bigint")))
-
-
-def child(maps: tuple[Column, Column, Column], model: Column, node: Column, x: Column) -> Column:
-    """The child that a row goes to; the node itself if it is a leaf."""
-    features, thresholds, lefts = maps
-    k = _key(model, node)
-    right = (F.element_at(x, F.element_at(features, k) + 1) > F.element_at(thresholds, k)).cast("bigint")
-    return F.coalesce(F.element_at(lefts, k) + right, node)
-
-
 def route(df: DataFrame, splits: dict[tuple[int, int], tuple[int, float, int]], levels: int,
           x: Column, model: Column, out: str = "node") -> DataFrame:
     """Add ``out`` = node id reached after ``levels`` steps from the root (stops at leaves).
 
-    One ``aggregate`` over the level sequence: the node id is a lambda
-    variable, so the expression stays linear in depth and the plan shape does
-    not depend on the tree (splits are map literals passed by reference).
+    One ``aggregate`` over the level sequence: the slot is a lambda variable, so the expression
+    stays linear in depth and the plan shape does not depend on the tree (splits are constant
+    arrays passed by reference); a step takes three reads by position, whatever the number of nodes.
     """
-    if levels <= 0:
+    if levels <= 0 or not splits:
         return df.withColumn(out, F.lit(1).cast("bigint"))
-    maps = route_maps(splits)
-    return df.withColumn(out, F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.lit(1).cast("bigint"),
-                                          lambda node, _level: child(maps, model, node, x)))
+    routes = Routes(splits)
+    slot = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), routes.root(model), lambda slot, _level: routes.child(slot, x))
+    return df.withColumn(out, routes.node(slot, model))
 
 
 @dataclass
@@ -179,8 +157,8 @@ class TreeModel:
             out[(r["model_id"], r["node_id"])] = above
         return out
 
-    def leaf_p1(self) -> dict[int, float]:
-        return {(r["model_id"] << KEY_SHIFT) + r["node_id"]: r["p1"] for r in self.nodes if r["is_leaf"]}
+    def leaf_p1(self) -> dict[tuple[int, int], float]:
+        return {(r["model_id"], r["node_id"]): r["p1"] for r in self.nodes if r["is_leaf"]}
 
     @property
     def depth(self) -> int:
@@ -206,7 +184,8 @@ class TreeModel:
         x = F.array(*[F.col(c).cast("double") for c in self.features])
         model = F.col(model_col) if model_col else F.lit(0)
         scored = route(df, self.splits(), self.depth if levels is None else levels, x, model, "node_id")
-        p1 = F.element_at(_long_map(self.leaf_p1(), "double"), _key(model, F.col("node_id")))
+        leaves = self.leaf_p1()
+        p1 = NodeArrays(leaves).value(leaves, "double", model, F.col("node_id"))
         return (scored.withColumn("p1", p1)
                 .withColumn("prediction", (F.col("p1") > 0.5).cast("int")))
 
@@ -330,8 +309,7 @@ def _weighted(cw, m: Column, n0: Column, n1: Column, s0: Column, s1: Column) ->
     """Class-weighted sums: count x weight of the (model, class) (exact); or summed row weights."""
     if cw is None:
         return s0, s1
-    c0 = F.element_at(_long_map({(mm << KEY_SHIFT) + 0: v for (mm, c), v in cw.items() if c == 0}, "double"), _key(m, F.lit(0)))
-    c1 = F.element_at(_long_map({(mm << KEY_SHIFT) + 0: v for (mm, c), v in cw.items() if c == 1}, "double"), _key(m, F.lit(0)))
+    c0, c1 = (by_model({mm: v for (mm, c), v in cw.items() if c == cls}, "double", m) for cls in (0, 1))
     return n0 * F.coalesce(c0, F.lit(0.0)), n1 * F.coalesce(c1, F.lit(0.0))
 
 
@@ -426,12 +404,12 @@ def _running(hist: DataFrame, where: list[str], sliced: bool) -> DataFrame:
 def _best_splits(base, splits, active, nodes, params, p, cw, model_params, path, levels) -> dict:
     def pp(m):
         return model_params.get(m, params)
-    # Same plan shape at every level (the splits and the open-node set are map
-    # literals passed by reference), so the generated code is reused by later levels.
-    active_map = _long_map({(m << KEY_SHIFT) + n: True for m, n in active}, "boolean")
+    # Same plan shape at every level (the splits and the open nodes are constant
+    # arrays passed by reference), so the generated code is reused by later levels.
+    opened = NodeArrays(active)
     routed = route(base, splits, levels, F.col("x"), F.col("m"))
-    key = _key(F.col("m"), F.col("node"))
-    routed = routed.withColumn("k", key).filter(F.element_at(active_map, F.col("k")).isNotNull())
+    is_open = opened.value({k: True for k in active}, "boolean", F.col("m"), F.col("node"))
+    routed = routed.filter(is_open.isNotNull()).withColumn("k", _key(F.col("m"), F.col("node")))
     sliced = "b" in base.columns
     if sliced:
         long = routed.select("k", "y", "w", F.posexplode(F.arrays_zip("x", "b")).alias("f", "s")).select("k", "y", "w", "f", "s.b", F.col("s.x").alias("v"))
@@ -440,34 +418,32 @@ def _best_splits(base, splits, active, nodes, params, p, cw, model_params, path,
     subset = {(m, n): _n_max_features(pp(m).max_features, p) for m, n in active}
     if any(v < p for v in subset.values()):
         # per-node feature subset: the k features with the smallest md5(seed:model:path:f)
-        allowed = {}
+        allowed = [False] * (opened.size * p)
         for (m, n), kf in subset.items():
             ranked = sorted(range(p), key=lambda f: hashlib.md5(f"{pp(m).seed}:{m}:{path[(m, n)]}:{f}".encode()).hexdigest())
-            allowed[(m << KEY_SHIFT) + n] = sorted(ranked[:kf])
-        amap = F.map_from_arrays(F.array(*[F.lit(k).cast("bigint") for k in allowed]),
-                                 F.array(*[F.array(*[F.lit(f) for f in v]) for v in allowed.values()]))
-        long = long.filter(F.array_contains(F.element_at(amap, F.col("k")), F.col("f")))
+            for f in ranked[:kf]:
+                allowed[(opened.start[m] + n) * p + f] = True
+        slot = opened.slot(F.shiftright(F.col("k"), KEY_SHIFT), F.col("k").bitwiseAND((1 << KEY_SHIFT) - 1))
+        long = long.filter(F.get(constant_array(allowed, "boolean"), slot * p + F.col("f")))
     where = ["k", "f", "b"] if sliced else ["k", "f"]
     hist = long.groupBy(*where, "v").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"),
         F.sum(F.when(F.col("y") == 0, F.col("w")).otherwise(0.0)).alias("s0"),
         F.sum(F.when(F.col("y") == 1, F.col("w")).otherwise(0.0)).alias("s1"))
-    tot = {(m << KEY_SHIFT) + n: nodes[(m, n)] for m, n in active}
-    tn = _long_map({k: v["n"] for k, v in tot.items()}, "bigint")
-    tw0 = _long_map({k: v["w0"] for k, v in tot.items()}, "double")
-    tw1 = _long_map({k: v["w1"] for k, v in tot.items()}, "double")
-    timp = _long_map({k: v["impurity"] for k, v in tot.items()}, "double")
+    model = F.shiftright(F.col("k"), KEY_SHIFT)
+
+    def total(name: str, kind: str) -> Column:
+        return F.get(opened.array({k: nodes[k][name] for k in active}, kind), F.col("slot"))
     cand = _running(hist, where, sliced)
-    lw0c, lw1c = _weighted(cw, F.shiftright(F.col("k"), KEY_SHIFT), F.col("ln0"), F.col("ln1"), F.col("ls0"), F.col("ls1"))
+    cand = cand.withColumn("slot", opened.slot(model, F.col("k").bitwiseAND((1 << KEY_SHIFT) - 1)))
+    lw0c, lw1c = _weighted(cw, model, F.col("ln0"), F.col("ln1"), F.col("ls0"), F.col("ls1"))
     cand = cand.withColumn("lw0", lw0c).withColumn("lw1", lw1c)
-    N, W0, W1 = F.element_at(tn, F.col("k")), F.element_at(tw0, F.col("k")), F.element_at(tw1, F.col("k"))
+    N, W0, W1 = total("n", "bigint"), total("w0", "double"), total("w1", "double")
     rn, rw0, rw1 = N - F.col("ln"), W0 - F.col("lw0"), W1 - F.col("lw1")
     models = sorted({m for m, _ in active})
-    msl = F.element_at(_long_map({m: pp(m).min_samples_leaf for m in models}, "bigint"),
-                       F.shiftright(F.col("k"), KEY_SHIFT))
-    gini = F.element_at(_long_map({m: pp(m).criterion == "gini" for m in models}, "boolean"),
-                        F.shiftright(F.col("k"), KEY_SHIFT))
+    msl = by_model({m: pp(m).min_samples_leaf for m in models}, "bigint", model)
+    gini = by_model({m: pp(m).criterion == "gini" for m in models}, "boolean", model)
     if params.max_bins:
         thr = F.col("v")
         gap_ok = F.col("nv").isNotNull()
@@ -477,7 +453,7 @@ def _best_splits(base, splits, active, nodes, params, p, cw, model_params, path,
         gap_ok = F.col("nv") > F.col("v") + FEATURE_THRESHOLD
     lw, rw = F.col("lw0") + F.col("lw1"), rw0 + rw1
     def gain_for(criterion):
-        return (F.element_at(timp, F.col("k"))
+        return (total("impurity", "double")
                 - lw / (W0 + W1) * _impurity_expr(F.col("lw0"), F.col("lw1"), criterion)
                 - rw / (W0 + W1) * _impurity_expr(rw0, rw1, criterion))
     crits = {pp(m).criterion for m in models}
