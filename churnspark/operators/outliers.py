@@ -6,12 +6,14 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.operators.quantiles import quantiles, quantiles_and_counts
+from churnspark.operators.quantiles import quantiles
 from churnspark.sources.tables import normalise_nan
 
+GUESSES = 3  # passes of sketches before the first exact bounds
+
 
 def iqr_bounds(df: DataFrame, cols: list[str], threshold: float = 1.5,
                approx: bool = False) -> dict[str, tuple[float, float]]:
@@ -75,15 +77,61 @@ class OutlierResult:
             rows, "ordinal int, column string, lower double, upper double, outliers long, rows_after long")
 
 
+def _first_failing(cols: list[str], bounds: list[tuple[float | None, float | None]]) -> Column:
+    """Ordinal of the first column whose bounds a row is not in; ``len(cols)`` for a row that passes all."""
+    inside = [F.col(c).between(lo, hi) if lo is not None else F.lit(False) for c, (lo, hi) in zip(cols, bounds)]
+    fails = [F.when(~F.coalesce(x, F.lit(False)), i) for i, x in enumerate(inside)]
+    return F.coalesce(*fails, F.lit(len(cols)))
+
+
+def _reached(base: DataFrame, cols: list[str], bounds: list, start: int) -> DataFrame:
+    """Each column from ``start`` on, with values only in the rows that pass the ``bounds`` of all columns before it."""
+    # the columns keep their names here: the optimizer would double its constraints with each renamed one
+    tagged = base.withColumn("__first", _first_failing(cols, bounds))
+    return tagged.select(*[F.when(F.col("__first") >= i, F.col(cols[i])).alias(f"x{i}") for i in range(start, len(cols))])
+
+
+def sequential_bounds(base: DataFrame, cols: list[str], threshold: float, approx: bool = False) -> tuple[list, list[int], list[int]]:
+    """Bounds of each column from the rows that pass all columns before it, with the numbers of those rows and of
+    their values; one more number of rows for the survivors of all columns.
+
+    All columns are computed side by side under guessed bounds (sketches first, then the last round's results). A
+    pass compares the rows that reach each column by the guess and by the result: up to the first column that other
+    rows reach, the results are the sequential ones and stay. Every round settles at least one column, usually
+    most of them, as a guess need not be exact, only select the same rows."""
+    n = len(cols)
+
+    def found(guess: list, start: int, sketch: bool) -> list:
+        names = [f"x{i}" for i in range(start, n)]
+        qs = quantiles(_reached(base, cols, guess, start), names, [0.25, 0.75], approx=sketch)
+        return guess[:start] + [_bounds(*qs[x], threshold) for x in names]
+
+    guess = [(-math.inf, math.inf)] * n
+    for _ in range(GUESSES if n > 1 else 0):
+        guess = found(guess, 0, True)
+    settled = 0
+    while True:
+        result = found(guess, settled, approx)
+        both = base.withColumns({"__guess": _first_failing(cols, guess), "__first": _first_failing(cols, result)})
+        at = [F.col("__first") >= i for i in range(n + 1)]
+        row = both.agg(*[F.count_if(at[i]).alias(f"rows{i}") for i in range(n + 1)],
+                       *[F.count(F.when(at[i], F.col(cols[i]))).alias(f"values{i}") for i in range(n)],
+                       *[F.count_if((F.col("__guess") >= i) != at[i]).alias(f"other{i}") for i in range(n)]).first()
+        settled = next((i for i in range(n) if row[f"other{i}"]), n)
+        if settled == n:
+            return result, [row[f"rows{i}"] for i in range(n + 1)], [row[f"values{i}"] for i in range(n)]
+        guess = result
+
+
 def remove_outliers(df: DataFrame, cols: list[str], method: str = "iqr", threshold: float = 1.5,
                     mode: str = "sequential", approx: bool = False,
                     enabled: bool = True) -> OutlierResult:
     """Keep rows inside ``[lower, upper]`` for every column.
 
     ``mode='sequential'`` (reference semantics): bounds of column k come from
-    the rows that survived columns 1..k-1, so there is one bounds job per
-    column; the input is persisted once so every step rescans cached rows, and
-    the chained filters fuse into one predicate in the final plan.
+    the rows that survived columns 1..k-1 (:func:`sequential_bounds`); the
+    input is persisted once for its passes, and the chained filters fuse into
+    one predicate in the final plan.
     ``mode='joint'``: all bounds from the unfiltered rows in one set of passes.
     Any method other than 'iqr', or ``enabled=False``, passes rows through.
     A NULL or NaN in a checked column fails both comparisons: dropped, not counted.
@@ -101,24 +149,10 @@ def remove_outliers(df: DataFrame, cols: list[str], method: str = "iqr", thresho
             lo, hi = bounds[c]
             current = current.filter(F.col(c).between(lo, hi))
     else:
-        # The first pass for column k also counts its rows: the survivors of column k - 1.
-        values = 0
-        for i, c in enumerate([*cols, None]):
-            if c is None:
-                rows = current.count()
-            elif approx:
-                qs = quantiles(current, [c], [0.25, 0.75], approx=True)[c]
-                rows, now = current.agg(F.count(F.lit(1)), F.count(c)).first()
-            else:
-                found, rows, counted = quantiles_and_counts(current, [c], [0.25, 0.75])
-                qs, now = found[c], counted[c]
-            if i:
-                counts[cols[i - 1]] = values - rows
-                steps[-1].update(outliers=values - rows, rows_after=rows)
-            if c is not None:
-                values, (lo, hi) = now, _bounds(*qs, threshold)
-                bounds[c] = (lo, hi)
-                steps.append({"ordinal": i, "column": c, "lower": lo, "upper": hi, "outliers": 0, "rows_after": 0})
-                current = current.filter(F.col(c).between(lo, hi) if lo is not None else F.lit(False))
+        found, rows, values = sequential_bounds(base, cols, threshold, approx)
+        for i, (c, (lo, hi)) in enumerate(zip(cols, found)):
+            bounds[c], counts[c] = (lo, hi), values[i] - rows[i + 1]
+            steps.append({"ordinal": i, "column": c, "lower": lo, "upper": hi, "outliers": counts[c], "rows_after": rows[i + 1]})
+            current = current.filter(F.col(c).between(lo, hi) if lo is not None else F.lit(False))
     rows_after = steps[-1]["rows_after"] if steps else current.count()
     return OutlierResult(current, bounds, counts, rows_before, rows_after, steps)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from churnspark.operators import score as J
 from churnspark.operators.encode import PreprocessorModel
 from churnspark.operators.tree import TreeModel
+from churnspark.session import ensure_checkpoint_dir
 
 
 def scoring_plan(requests: DataFrame, prep: PreprocessorModel, model: TreeModel, key: str = "id") -> DataFrame:
@@ -37,16 +38,29 @@ def scoring_plan(requests: DataFrame, prep: PreprocessorModel, model: TreeModel,
 def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, prep: PreprocessorModel,
                  model: TreeModel, sink: str = "memory", query_name: str = "scored",
                  output_dir: str | None = None, checkpoint_dir: str | None = None,
-                 fmt: str = "parquet") -> StreamingQuery:
+                 fmt: str = "parquet", finish: bool = False, files_per_batch: int | None = None) -> StreamingQuery:
     """Start a streaming query scoring every file that lands in ``source_dir``.
 
-    ``sink='memory'`` registers ``query_name`` as a table (tests); otherwise a
-    file sink at ``output_dir`` with ``checkpoint_dir`` on shared storage gives
-    exactly-once output across restarts.
+    ``sink='memory'`` registers ``query_name`` as a table (tests). Any other sink is a file format at
+    ``output_dir``: the query can be stopped or lost at any time and started again by the same call. Offsets
+    and commits lie in ``checkpoint_dir`` (by default a folder of ``query_name`` in the session's shared checkpoint
+    folder), and the sink's own log names the files of each batch, so that a batch run twice counts once. Read
+    the output with :func:`stream_output`. ``finish`` ends the query when all present files are scored.
     """
-    stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
-    scored = scoring_plan(stream, prep, model)
-    writer = scored.writeStream.outputMode("append")
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    writer = scoring_plan(reader.load(source_dir), prep, model).writeStream.outputMode("append")
+    if finish:
+        writer = writer.trigger(availableNow=True)
     if sink == "memory":
         return writer.format("memory").queryName(query_name).start()
-    return writer.format(sink).option("path", output_dir).option("checkpointLocation", checkpoint_dir).start()
+    if not output_dir:
+        raise ValueError("a file sink needs output_dir")
+    place = checkpoint_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{query_name}"
+    return writer.format(sink).queryName(query_name).option("path", output_dir).option("checkpointLocation", place).start()
+
+
+def stream_output(spark: SparkSession, output_dir: str, sink: str = "parquet") -> DataFrame:
+    """The committed rows of a file sink: files that its log does not name are not read."""
+    return spark.read.format(sink).load(output_dir)
