@@ -9,9 +9,12 @@ letters)`` wins; the factor makes automata of different sizes comparable
 space: each word is parsed with a space on both sides, which lets one parse of
 a word serve all its occurrences.
 
-Learning uses a bounded sample: at most ``rows_per_language`` whole texts of
-``max_chars`` characters or fewer for each language, the first by a hash of the
-id, cut to the same number of training letters as far as they have them. At
+A word is a letter (Unicode category L) and the letters and marks (M) after it;
+digits, numerals and signs are none.
+
+Learning uses a bounded sample: the first ``max_chars`` characters of at most
+``rows_per_language`` texts for each language, the first by a hash of the id,
+until ``letters`` training letters are reached as far as they have them. At
 most ``max_languages`` languages are accepted, more raise an error. These
 bounds keep what travels to the tasks small at any input size; prediction reads
 every whole text and shuffles nothing.
@@ -24,16 +27,16 @@ does a table with no labelled text. Ties go to the first label in order. Score:
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from churnspark.llm.common import built, col, per_text
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 CACHE = 300_000
 
 
@@ -120,10 +123,10 @@ class CrossParser:
 def training_text(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   rows_per_language: int = 60, max_chars: int = 20_000, letters: int = 100_000,
                   max_languages: int = 500) -> dict[str, str]:
-    """Bounded labelled sample: language -> training letters. ``learn`` says which rows may be used."""
-    own = docs.filter(learn & col(lang_col).isNotNull() & col(text_col).isNotNull()
-                      & (F.length(col(text_col)) <= max_chars))
-    own = own.select(col(lang_col).alias("lang"), col(text_col).alias("text"),
+    """Bounded labelled sample: language -> training letters. ``learn`` says which rows may be used; of a longer
+    text the first ``max_chars`` code points are learned, so a language of long texts alone is learned too."""
+    own = docs.filter(learn & col(lang_col).isNotNull() & col(text_col).isNotNull())
+    own = own.select(col(lang_col).alias("lang"), F.substring(col(text_col), 1, max_chars).alias("text"),
                      F.xxhash64(col(id_col), col(lang_col)).alias("h"))
     sizes = own.groupBy("lang").count().limit(max_languages + 1).collect()
     if len(sizes) > max_languages:

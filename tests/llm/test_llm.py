@@ -323,6 +323,23 @@ def test_suffix_tree_is_a_distribution():
         assert abs(named + rest - 1) < 1e-9
 
 
+def test_language_letters(spark):
+    parser = language_id.CrossParser({"en": " the cat and the dog then ", "hi": " हिन्दी भाषा है और यह किताब है "})
+    for text in (None, "", "½ ² Ⅷ", "12 !? _ ٣", "\u0301\u0902", "① ⑳ 〇"):
+        assert parser.predict(text) == ("und", 0.0)
+    assert language_id.letters_only("हिन्दी x² Ⅷ e\u0301t") == " हिन्दी x e\u0301t "
+    assert parser.predict("यह हिन्दी है")[0] == "hi" and parser.predict("½ the cat")[0] == "en"
+
+
+def test_language_of_long_texts_alone_is_learned(spark):
+    rows = [(i, "the cat and the dog then " * 3, "en") for i in range(4)] + [(9, "der hund und die katze dann " * 2000, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    training = language_id.training_text(df, F.lit(True))
+    assert sorted(training) == ["de", "en"] and len(training["de"]) <= 20_002
+    got = language_id.identify(df, training).select("doc_id", "language.lang_pred").collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {0: "en", 1: "en", 2: "en", 3: "en", 9: "de"}
+
+
 def test_language_id(spark):
     step = language_id.automaton("abcbc")
     assert [language_id.phrases(step, x) for x in ("abcbc", "bcab", "zz", "abz", "")] == [1, 2, 2, 2, 0]
