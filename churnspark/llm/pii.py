@@ -19,37 +19,50 @@ Weights are trained on regions of a bounded sample (``sample_docs`` documents
 with a digit or ``@``, the first by a hash of the id, of ``max_chars``
 characters or fewer), labelled by the base patterns, and on the same regions
 with a country code, brackets or separators changed, so that the whole-span
-features and not one notation carry the decision. Segments that the model finds
+features and not one notation carry the decision. Of a sampled text the first
+``per_text_limit`` regions shorter than ``max_region`` characters are learned
+from; what is searched has no such bound. Segments that the model finds
 beside the base spans are added, of the same kinds (a phone number without its
 country code, a card number with dots).
 
-Edge cases: a null text counts as empty and has no spans. Repeated rows are
-read each for itself. With no sample the model is trained on the built-in seed
-regions alone. Nothing is shuffled; memory is that of one Arrow batch and one
-region's tokens.
+Edge cases: a null text counts as empty and has no spans. Repeated rows and
+rows without an id are read each for itself, an empty table gives no row. With
+no sample the model is trained on the built-in seed regions alone. Of equally
+good segments up to one place no entity goes before an entity, a longer one before
+a shorter one. Long texts:
+scans and segmentation take time in proportion to the text, also where it has no
+blank. Extra columns stay; one that is named like the output is replaced.
+Nothing is shuffled; memory is that of one Arrow batch and one region's tokens.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate, islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import col, per_text
 
-# The base patterns in the order of their kinds.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# The base patterns in the order of their kinds, in forms that read a text in linear time. An email is
+# found from its ``@``; a number starts where a run of digits does; no run is tried again from its middle.
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
 OTHER = "other"
 LABELS = (OTHER, *KINDS)
 MAX_TOKENS = 24
+#: No kind without an ``@`` has more (a card).
+MAX_DIGITS = 19
 
 #: Regions with their spans, so that a model exists without any sample.
 SEEDS = (
@@ -82,16 +95,36 @@ def luhn(digits: str) -> bool:
 
 
 def _digits(s: str) -> str:
-    return "".join(c for c in s if "0" <= c <= "9")
+    return re.sub("[^0-9]+", "", s)
+
+
+def _octet(number: str) -> bool:
+    short = number.lstrip("0")
+    return len(short) < 4 and int(short or "0") < 256
+
+
+def _emails(text: str) -> list[tuple[int, int, int]]:
+    """Leftmost non-overlapping emails: each ``@`` with the local characters before it and its domain."""
+    out, end, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > end and LOCAL.match(text, start - 1):
+            start -= 1
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            end = domain.end()
+            out.append((start, 0, end))
+        at = text.find("@", max(at + 1, end))
+    return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind number, end)`` of the base kinds, sorted."""
     out = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        out += _emails(text)
     if re.search("[0-9]", text):
-        out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(x.lstrip("0")) < 4 and int(x) < 256 for x in m[0].split("."))]
+        out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(map(_octet, m[0].split(".")))]
         for m in CARD.finditer(text):
             d = _digits(m[0])
             if 12 <= len(d) <= 19 and luhn(d):
@@ -102,7 +135,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\S")
-REGION = re.compile(r"(?:[^\s0-9@]+[ ]+)?[^\s0-9@]*[0-9@]\S*(?:[ ]+[^\s0-9@]*[0-9@]\S*)*(?:[ ]+[^\s0-9@]+)?")
+REGION = re.compile(r"(?<!\S)(?:[^\s0-9@]++[ ]++)?[^\s0-9@]*+[0-9@]\S*+(?:[ ]++[^\s0-9@]*+[0-9@]\S*+)*+(?:[ ]++[^\s0-9@]++)?")
 
 
 @dataclass
@@ -116,26 +149,37 @@ class Region:
     def __post_init__(self) -> None:
         found = list(TOKEN.finditer(self.text))
         self.tokens, self.at = [m[0] for m in found], [m.span() for m in found]
-        self.n_digits = [0]
+        # digits, numbers and ``@`` among the first tokens
+        self.n_digits, self.n_numbers, self.n_mails = [0], [0], [0]
         for t in self.tokens:
-            self.n_digits.append(self.n_digits[-1] + (len(t) if "0" <= t[0] <= "9" else 0))
-
-    def candidates(self) -> dict[int, list[int]]:
-        """End -> starts of token ranges that could be an entity: 4 digits or more, or an ``@`` between words."""
-        ends: dict[int, list[int]] = defaultdict(list)
-        signs = [i for i, t in enumerate(self.tokens) if t == "@"]
-        for i, t in enumerate(self.tokens):
-            if not (t[0].isalnum() or t in "+("):
+            number = "0" <= t[0] <= "9"
+            self.n_digits.append(self.n_digits[-1] + (len(t) if number else 0))
+            self.n_numbers.append(self.n_numbers[-1] + number)
+            self.n_mails.append(self.n_mails[-1] + (t == "@"))
+
+    def starts(self, j: int) -> list[int]:
+        """Starts of the token ranges up to ``j`` that could pass a check: 9 to ``MAX_DIGITS`` digits, four numbers, or one ``@`` between words."""
+        last, out = self.tokens[j - 1], []
+        if not last[0].isalnum():
+            return out
+        number = "0" <= last[0] <= "9"
+        for i in range(j - 1, max(0, j - MAX_TOKENS) - 1, -1):
+            if i < j - 1 and self.at[i + 1][0] - self.at[i][1] > 1:
+                break
+            first = self.tokens[i]
+            if not (first[0].isalnum() or first in "+("):
                 continue
-            for j in range(i + 1, min(len(self.tokens), i + MAX_TOKENS) + 1):
-                last = self.tokens[j - 1]
-                if j - i > 1 and self.at[j - 1][0] - self.at[j - 2][1] > 1:
+            mails = self.n_mails[j] - self.n_mails[i]
+            if mails:
+                if mails > 1:
                     break
-                digits = self.n_digits[j] - self.n_digits[i]
-                mail = any(i < s < j - 1 for s in signs)
-                if last[0].isalnum() and (mail or digits >= 4 and "0" <= last[0] <= "9" and not t[0].isalpha()):
-                    ends[j].append(i)
-        return ends
+                if i < j - 1:
+                    out.append(i)
+                continue
+            digits = self.n_digits[j] - self.n_digits[i]
+            if number and not first[0].isalpha() and (9 <= digits <= MAX_DIGITS or self.n_numbers[j] - self.n_numbers[i] == 4 <= digits <= 12):
+                out.append(i)
+        return out[::-1]
 
     def kinds(self, i: int, j: int) -> list[str]:
         """Kinds whose checks tokens i to j pass, as the base kinds check them; what stands beside them is for the features."""
@@ -203,17 +247,15 @@ class SemiMarkov:
 
     weights: dict[str, float] = field(default_factory=dict)
 
-    def _segments(self, region: Region) -> list[list[tuple[int, str, list[str]]]]:
-        """For each end the segments ``(start, type, weight names)``."""
-        out: list[list[tuple[int, str, list[str]]]] = [[] for _ in range(len(region.tokens) + 1)]
-        for j in range(1, len(region.tokens) + 1):
-            out[j].append((j - 1, OTHER, [f"{OTHER}|token={'9' if region.tokens[j - 1][0].isdigit() else 'x'}"]))
-        for j, starts in region.candidates().items():
-            for i in starts:
+    def _segments(self, region: Region) -> Iterator[list[tuple[int, str, list[str]]]]:
+        """For each end, from 1 on, the segments ``(start, type, weight names)``; made when asked for, as a region may be long."""
+        for j, token in enumerate(region.tokens, 1):
+            row = [(j - 1, OTHER, [f"{OTHER}|token={'9' if token[0].isdigit() else 'x'}"])]
+            for i in region.starts(j):
                 if kinds := region.kinds(i, j):
                     fs = region.features(i, j)
-                    out[j] += [(i, k, [f"{k}|{f}" for f in fs]) for k in kinds]
-        return out
+                    row += [(i, k, [f"{k}|{f}" for f in fs]) for k in kinds]
+            yield row
 
     def _sum(self, names: list[str]) -> float:
         return sum(self.weights.get(n, 0.0) for n in names)
@@ -222,7 +264,7 @@ class SemiMarkov:
         """The best segmentation's entities ``(start token, kind, end token)``."""
         n = len(region.tokens)
         value: list[dict[str, tuple[float, tuple | None]]] = [{OTHER: (0.0, None)}] + [{} for _ in range(n)]
-        for j, segments in enumerate(self._segments(region)):
+        for j, segments in enumerate(self._segments(region), 1):
             for i, k, names in segments:
                 own = self._sum(names)
                 p, prev = max((v + self.weights.get(f"{q}>{k}", 0.0), q) for q, (v, _) in value[i].items())
@@ -239,7 +281,7 @@ class SemiMarkov:
 
     def _gradient(self, region: Region, gold: list[tuple[int, str, int]], grad: dict[str, float]) -> None:
         """Adds observed minus expected feature counts."""
-        n, segments = len(region.tokens), self._segments(region)
+        n, segments = len(region.tokens), [[], *self._segments(region)]
         known = {(i, j): k for i, k, j in gold}
         inside = {t for i, _, j in gold for t in range(i, j)}
         score = [[(i, k, names, self._sum(names)) for i, k, names in row] for row in segments]
@@ -294,10 +336,9 @@ def example(text: str, spans: list[tuple[str, int, int]]) -> tuple[Region, list[
     """A region with its gold segments; spans that do not fall on token edges are left out."""
     region = Region(text)
     first, last = {a: i for i, (a, _) in enumerate(region.at)}, {b: i + 1 for i, (_, b) in enumerate(region.at)}
-    reach = region.candidates()
     gold, end = [], 0
     for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
-        if a in first and b in last and first[a] >= end and first[a] in reach.get(last[b], ()) and k in region.kinds(first[a], last[b]):
+        if a in first and b in last and first[a] >= end and first[a] in region.starts(last[b]) and k in region.kinds(first[a], last[b]):
             gold.append((first[a], k, last[b]))
             end = last[b]
     return region, gold
@@ -322,18 +363,19 @@ def varied(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, list
     return out
 
 
-def regions(text: str) -> list[tuple[int, str]]:
-    return [(m.start(), m[0]) for m in REGION.finditer(text)]
+def regions(text: str) -> Iterator[tuple[int, str]]:
+    return ((m.start(), m[0]) for m in REGION.finditer(text))
+
 
+def training_examples(texts: list[str], per_text_limit: int = 6, max_region: int = 400, seed_every: int = 20) -> list[tuple[Region, list[tuple[int, str, int]]]]:
+    """Regions labelled by the base patterns, with their varied forms; the seeds come first and again after every ``seed_every`` texts.
 
-def training_examples(texts: list[str], per_text_limit: int = 6, seed_every: int = 20) -> list[tuple[Region, list[tuple[int, str, int]]]]:
-    """Regions labelled by the base patterns, with their varied forms; the seeds come first and again after every ``seed_every`` texts."""
+    Of each text the first ``per_text_limit`` regions shorter than ``max_region`` characters are taken."""
     pairs = [(t, list(s)) for t, s in SEEDS]
     for n, text in enumerate(texts, 1):
         spans = [(KINDS[k], a, b) for a, k, b in base_spans(text)]
-        for at, body in regions(text)[:per_text_limit]:
-            if len(body) < 400:
-                pairs.append((body, [(k, a - at, b - at) for k, a, b in spans if at <= a and b <= at + len(body)]))
+        for at, body in islice(((at, body) for at, body in regions(text) if len(body) < max_region), per_text_limit):
+            pairs.append((body, [(k, a - at, b - at) for k, a, b in spans if at <= a and b <= at + len(body)]))
         if n % seed_every == 0:
             pairs += [(t, list(s)) for t, s in SEEDS]
     full = [p for pair in pairs for p in (pair, *varied(*pair))]
@@ -356,15 +398,15 @@ def find(text: str | None, model: SemiMarkov) -> list[tuple[int, int, int]]:
     if not text or not re.search("[0-9@]", text):
         return []
     out = base_spans(text)
-    taken = sorted((a, b) for a, _, b in out)
+    taken, reach = [a for a, _, _ in out], [0, *accumulate((b for _, _, b in out), max)]
     added = []
     for at, body in regions(text):
         region = Region(body)
-        if not region.candidates():
+        if not any(region.starts(j) for j in range(1, len(region.tokens) + 1)):
             continue
         for i, k, j in model.best(region):
             a, b = at + region.at[i][0], at + region.at[j - 1][1]
-            if not any(x < b and a < y for x, y in taken):
+            if reach[bisect_left(taken, b)] <= a:
                 added.append((a, KINDS.index(k), b))
     return sorted(out + added)
 
