@@ -28,8 +28,10 @@ out below.
 
 Places are ordered by document id, then start; null ids come last, rows that
 share an id are told apart by their text's hash, and equal rows are one document
-in copies. Null and blank texts have no words. Texts shorter than a window lose
-nothing. An empty table gives an empty result.
+in copies: they are searched once. Null and blank texts have no words. Texts
+shorter than a window lose nothing. An empty table gives an empty result. Long
+texts are read whole, each by one task at a time. Only the id and the text are
+read; other columns, whatever their names, do not come back.
 """
 
 from __future__ import annotations
@@ -238,14 +240,16 @@ def remove_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # The text's hash tells rows that share an id apart; where ids are unique a constant saves moving it.
     shared = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
     own = own.select("doc_id", (F.xxhash64("text") if shared else F.lit(0).cast("long")).alias("th"), "text")
-    anchored = _anchored(own, min_words, gram)
+    # Rows with one id and one text have the same places: they are searched once, and all of them get what is found.
+    once = own.dropDuplicates(["doc_id", "th"]) if shared else own
+    anchored = _anchored(once, min_words, gram)
     often = written(anchored.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    copies = written(_copies(own))
+    copies = written(_copies(once))
     met = anchored.join(often, "g").groupBy(F.col("doc_id").alias("d2"), F.col("th").alias("t2")).agg(
         F.collect_list(F.struct("g", "n", "start", "size")).alias("list"))
     by_doc = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("th") == F.col("t2"))
     met = met.join(copies, F.col("d2").eqNullSafe(F.col("doc_id")) & (F.col("t2") == F.col("th")), "left_anti")
-    cut = _cut_out(own.join(met, by_doc).select("doc_id", "th", "text", "list"), min_words)
+    cut = _cut_out(once.join(met, by_doc).select("doc_id", "th", "text", "list"), min_words)
     repeats = _in_groups(cut.filter(F.col("n") <= group_limit), min_words)
     if often.filter(F.col("n") > group_limit).limit(1).count():
         repeats = repeats.union(_by_window(cut_lineage(cut.filter(F.col("n") > group_limit)), min_words))
