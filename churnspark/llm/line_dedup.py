@@ -18,12 +18,12 @@ found by a join, which adaptive execution splits where one chunk is hot. One
 more join by document brings the places to the texts.
 
 ``remove_repeated`` (op8) removes these chunks only, so a passage goes where both
-places cut it alike. ``without_repeats`` (the pipeline) removes every repeated
-passage whole: of two lines with text that follow each other (with the blank
-lines between them) both go where the same bytes occur earlier. Such pairs
-overlap, so passages of any length go up to their ends, and the first place of
-every line stays. A pair is known by its SHA-256, so no text is shuffled for it;
-the plan is the same otherwise.
+places cut it alike. ``without_repeats`` (the pipeline) removes the same chunks, and
+then what a boundary has cut off: of two lines with text that follow each other
+(with the blank lines between them) both go where the same bytes occur earlier in
+the input. Such pairs overlap, so passages of any length go up to their ends, and the
+first place of every line stays. A pair is known by its SHA-256, so no text is
+shuffled for it; the plan is the same otherwise.
 
 Edge cases: a null text stays null and has no lines; an empty one has none
 removed. Null ids come after all ids. Rows with the same id and text are one
@@ -152,7 +152,8 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs`` without repeated passages (and ``chars_col`` set to the new length); documents that lost all their text go."""
     (out,) = fresh(docs, "dedup")
-    done = _cut_out(docs, repeated_pairs(docs, id_col, text_col), id_col, text_col, out)
+    cuts = repeated_chunks(docs, id_col, text_col).unionByName(repeated_pairs(docs, id_col, text_col))
+    done = _cut_out(docs, cuts, id_col, text_col, out)
     done = done.filter((col(out)["n_removed"] == 0) | col(out)["text"].rlike(FULL))
     text = col(out)["text"]
     changed = col(out)["n_removed"] > 0

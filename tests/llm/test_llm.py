@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+from collections import Counter
 import re
 import zlib
 
@@ -211,6 +212,20 @@ def test_line_dedup_removes_later_chunks(docs):
     assert line_dedup.without_repeats(docs).columns == docs.columns
 
 
+def test_without_repeats_takes_every_repeated_chunk(spark):
+    """What the rolling hash cuts out goes too, blank lines at a chunk's ends as well."""
+    rng = random.Random(5)
+    rows = []
+    for g in range(40):
+        passage = [rng.choice(["", f"Line {i} of passage {g}."]) for i in range(24)]
+        rows += [(3 * g + d, "\n".join([f"Own {g} {d} before", *passage[4 * d:4 * d + 16], f"Own {g} {d} after"])) for d in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    by_chunks = {r["doc_id"]: Counter(r["dedup"]["text"].split("\n")) for r in line_dedup.remove_repeated(frame).collect()}
+    got = {r["doc_id"]: Counter(r["text"].split("\n")) for r in line_dedup.without_repeats(frame).collect()}
+    assert set(got) == set(by_chunks) and sum(sum(c.values()) < 18 for c in by_chunks.values()) > 20
+    assert all(not got[d] - by_chunks[d] for d in got)
+
+
 def test_without_repeats_takes_whole_passages(spark, docs):
     """Against all pairs of lines: passages of two lines and more go to their ends, whatever stands around them."""
     rng = random.Random(7)
