@@ -162,10 +162,10 @@ def grid_search(df: DataFrame, features: list[str], label: str = "label", grid:
                                                  max_features=mf[mfs], seed=seed)
     folded = stratified_folds(df, label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
     growth_ids = F.explode(F.sequence(F.lit(0), F.lit(len(growth_keys) - 1))).alias("g")
-    rows = folded.select("*", growth_ids).select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("f"))
-    batched = rows.filter(F.col("f") != F.col("fold")).withColumn("model_id", F.col("g") * k + F.col("f"))
-    model = fit_tree(batched, features, label, TreeParams(max_depth=deepest, class_weight=class_weight), model_col="model_id",
-                     model_params=model_params)
+    trained = F.filter(F.sequence(F.lit(0), F.lit(len(growth_keys) * k - 1)), lambda m: m % k != F.col("fold"))
+    # the growths of a fold train on the same rows
+    model = fit_tree(folded.withColumn("model_ids", trained), features, label, TreeParams(max_depth=deepest, class_weight=class_weight),
+                     models_col="model_ids", model_params=model_params, same_rows={m: m % k for m in model_params})
     # validation rows: each row once per growth, scored by its own fold's tree
     val = folded.select("*", growth_ids).withColumn("model_id", F.col("g") * k + F.col("fold"))
     x = F.array(*[F.col(c).cast("double") for c in features])

@@ -43,3 +43,39 @@ def test_no_window_holds_a_whole_feature(spark, monkeypatch):
     monkeypatch.setattr(T, "_running", spied)
     T.fit_tree(df, ["a", "b", "c"], "label", T.TreeParams(max_depth=2))
     assert len([1 for k in seen if k[1] == 0]) > 25 and max(seen.values()) <= 60  # 900 values of a in 36 slices
+
+
+def test_a_sliced_feature_is_shuffled_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(T, "SLICE_VALUES", 25)
+    df = rows(spark)
+    counted = []
+    running = T._running
+
+    def spied(hist, where, sliced):
+        if sliced:
+            counted.append("n" in hist.columns)
+        return running(hist, where, sliced)
+    monkeypatch.setattr(T, "_running", spied)
+    T.fit_tree(df, ["a", "b", "c"], "label", T.TreeParams(max_depth=2))
+    assert counted and not any(counted)
+
+
+@pytest.mark.parametrize("slice_values", [25, 50_000])
+def test_models_on_the_same_rows_share_their_sums(spark, monkeypatch, slice_values):
+    monkeypatch.setattr(T, "SLICE_VALUES", slice_values)
+    df = rows(spark).selectExpr("*", "int(id % 3) AS part").cache()
+    own = {m: T.TreeParams(max_depth=3, criterion=("gini", "entropy")[m // 6], min_samples_leaf=(1, 60)[m // 3 % 2]) for m in range(12)}
+    seen = []
+    running = T._running
+
+    def spied(hist, where, sliced):
+        seen.append(hist.select("k").distinct().count())
+        return running(hist, where, sliced)
+    monkeypatch.setattr(T, "_running", spied)
+    batch = T.fit_tree(df.selectExpr("*", "filter(sequence(0, 11), m -> m % 3 <> part) AS models"), ["a", "b", "c"], "label", T.TreeParams(max_depth=3),
+                       models_col="models", model_params=own, same_rows={m: m % 3 for m in own})
+    assert seen[0] == 3  # twelve roots, three sets of rows
+    monkeypatch.setattr(T, "_running", running)
+    for m in (0, 4, 11):
+        alone = T.fit_tree(df.filter(f"part <> {m % 3}"), ["a", "b", "c"], "label", own[m])
+        assert len(alone.nodes) > 3 and shown(batch.select_model(m)) == shown(alone)
