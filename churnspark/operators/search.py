@@ -49,24 +49,22 @@ def grouped_metrics(pred: DataFrame, groups: list[str], label: str = "label", sc
     """accuracy / precision / recall / f1 / roc_auc per group (one pass + one
     window over (group, distinct score) rows, which a tree keeps to <= leaves)."""
     y, p = F.col(label), F.col(prediction)
-    cm = pred.groupBy(*groups).agg(
-        F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 1) & (p == 1)).alias("tp"))
+    # counted by score once: the rows are scored in one pass, and the confusion counts are sums over the scores
     sc = pred.groupBy(*groups, F.round(score, TIE_DIGITS).alias("s")).agg(
+        F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+        F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 1) & (p == 1)).alias("tp"),
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     w = Window.partitionBy(*groups).orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    auc = (sc.withColumn("tp_cum", F.sum("pos").over(w))
-           .groupBy(*groups).agg(
-               F.sum("pos").alias("P"), F.sum("neg").alias("N"),
-               F.sum(F.col("neg").cast("double") * ((F.col("tp_cum") - F.col("pos")) + F.col("pos") / 2.0)).alias("area"))
-           .select(*groups, F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                   F.col("area") / (F.col("P") * F.col("N"))).alias("roc_auc")))
+    found = (sc.withColumn("tp_cum", F.sum("pos").over(w))
+             .groupBy(*groups).agg(
+                 *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")], F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+                 F.sum(F.col("neg").cast("double") * ((F.col("tp_cum") - F.col("pos")) + F.col("pos") / 2.0)).alias("area")))
+    auc = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("area") / (F.col("P") * F.col("N")))
     tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
-    out = cm.join(auc, groups).select(
+    return found.select(
         *groups,
         safe_div(tp + tn, tn + fp + fn + tp).alias("accuracy"), safe_div(tp, tp + fp).alias("precision"),
-        safe_div(tp, tp + fn).alias("recall"), safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"), "roc_auc")
-    return out
+        safe_div(tp, tp + fn).alias("recall"), safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"), auc.alias("roc_auc"))
 
 
 def summarise(per_fold: DataFrame, groups: list[str]) -> DataFrame:

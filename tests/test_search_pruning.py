@@ -149,3 +149,21 @@ def test_grid_search_refits_and_tests_the_best(spark):
     assert min(i for i, s in scores.items() if s == max(scores.values())) == next(
         r["combo_id"] for r in res["results"].collect() if (r["max_depth"], r["min_samples_split"]) == (best.max_depth, best.min_samples_split))
     assert math.isclose(res["best_score"], max(scores.values()))
+
+
+def test_grouped_metrics_read_their_rows_once(spark):
+    rows = [(g, float(i % 4) / 4, int(i % 4 > 2), int((i + g) % 3 == 0)) for g in (0, 1) for i in range(40)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    pred = spark.createDataFrame(rows, "g int, p1 double, prediction int, label int").mapInArrow(counted, "g int, p1 double, prediction int, label int")
+    got = {r["g"]: r for r in S.grouped_metrics(pred, ["g"]).collect()}
+    assert read.value == len(rows)
+    for g, r in got.items():
+        own = [x[1:] for x in rows if x[0] == g]
+        pos, neg = [s for s, _, y in own if y], [s for s, _, y in own if not y]
+        assert r["accuracy"] == pytest.approx(sum(p == y for _, p, y in own) / 40)
+        assert r["roc_auc"] == pytest.approx(sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg)))
