@@ -86,8 +86,9 @@ def _bases(minority: DataFrame, features: list[str], key: str, k: int, seed: int
     rows = minority.select(F.col(key).alias("base_id"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
     ranked = rank_by_hash(rows, F.lit(1), F.substring(hash_key(f"{seed}:a", F.col("base_id")), 1, 13), "base_id", "base_rank")
     nn = knn(minority, features, k, key).select(F.col(key).alias("base_id"), "nbr_rank", "nbr_id")
-    nn = nn.join(rows.select(F.col("base_id").alias("nbr_id"), "x"), "nbr_id")
+    # tables of the minority's size meet by shuffles: packed vectors pass for small ones, which would go through the driver
+    nn = nn.join(rows.select(F.col("base_id").alias("nbr_id"), "x").hint("merge"), "nbr_id")
     nbrs = nn.groupBy("base_id").agg(F.sort_array(F.collect_list(F.struct("nbr_rank", "x"))).alias("nbrs"))  # k entries a row
     # cuts the search's lineage: a lost executor repeats none of it, and later plans stay small
     ensure_checkpoint_dir(minority.sparkSession)
-    return ranked.join(nbrs, "base_id").checkpoint()
+    return ranked.join(nbrs.hint("merge"), "base_id").checkpoint()

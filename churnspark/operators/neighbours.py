@@ -114,6 +114,20 @@ def _shape(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return two_valued, np.linalg.svd(rest - rest.mean(0), full_matrices=False)[2][:LEADING].T
 
 
+def _first_by_hash(vectors: DataFrame, n: int, want: int) -> list:
+    """The ``want`` of the ``n`` vectors with the smallest hash of their id, in that order.
+
+    Every task sends its own first ``want`` rows to the driver, so rows whose hash is beyond twice the wanted share are
+    left out before; if too few remain, all are ordered."""
+    h = hash_key("pivot", F.col("q"))
+    ordered = vectors.orderBy(h, "q").limit(want).select("x")
+    if 2 * want >= n:
+        return ordered.collect()
+    low = vectors.filter(F.substring(h, 1, 8) < f"{2 * want * 16 ** 8 // n:08x}")
+    found = low.orderBy(h, "q").limit(want).select("x").collect()
+    return found if len(found) == want else ordered.collect()
+
+
 def nearest(df: DataFrame, features: list[str], k: int = 5, key: str = "id", rows_per_cell: int = 256,
             stats: dict | None = None) -> DataFrame:
     """``(key, nbr_rank, nbr_id, dist)``: the ``k`` nearest other rows, Euclidean, ties by the smaller id.
@@ -131,8 +145,7 @@ def nearest(df: DataFrame, features: list[str], k: int = 5, key: str = "id", row
     if n == 0:
         return empty
     p = min(PIVOTS, max(1, n // rows_per_cell))
-    sample = vectors.orderBy(hash_key("pivot", F.col("q")), "q").limit(max(p, SAMPLE)).select("x").collect()
-    sample = np.array([r["x"] for r in sample])
+    sample = np.array([r["x"] for r in _first_by_hash(vectors, n, max(p, SAMPLE))])
     pivots, (two_valued, directions) = sample[:p], _shape(sample)
     apart = np.sqrt(_square(pivots, pivots))
 
@@ -256,7 +269,7 @@ def nearest(df: DataFrame, features: list[str], k: int = 5, key: str = "id", row
     merged = found.groupBy("q").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
     own = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("d"), i.alias("o")))
     none_near = F.array().cast("array<struct<d:double,o:bigint>>")
-    lists = vectors.join(merged, "q", "left").select("q", "x", F.array_sort(F.concat(own, F.coalesce("near", none_near))).alias("near"))
+    lists = vectors.join(merged.hint("merge"), "q", "left").select("q", "x", F.array_sort(F.concat(own, F.coalesce("near", none_near))).alias("near"))
     rows = pts.join(lists, "x") if seen["copies"] > 1 else lists.withColumn("i", F.col("q"))
     out = rows.select("i", F.posexplode(F.slice(F.filter("near", lambda s: s["o"] != F.col("i")), 1, k)).alias("t", "s"))
     return out.select(F.col("i").alias(key), (F.col("t") + 1).cast("int").alias("nbr_rank"), F.col("s.o").alias("nbr_id"),

@@ -70,3 +70,21 @@ def test_a_sketch_window_that_misses_is_widened(spark):
     values = sorted(i * i % 4999 for i in range(5000))
     assert got == [values[1249] + 0.75 * (values[1250] - values[1249]), values[4499] + 0.1 * (values[4500] - values[4499])] or \
         all(abs(a - b) < 1e-6 for a, b in zip(got, [values[1249] + 0.75 * (values[1250] - values[1249]), values[4499] + 0.1 * (values[4500] - values[4499])]))
+
+
+def test_customers_and_lines_do_not_pass_the_driver(spark, tmp_path):
+    """Only the nations are broadcast, however small the files of the other tables are."""
+    tables = {
+        "customer": ([(i, 10.0 * i, "BUILDING", i % 2) for i in range(1, 7)], "c_custkey long, c_acctbal double, c_mktsegment string, c_nationkey int"),
+        "nation": ([(0, "PERU"), (1, "CHINA")], "n_nationkey int, n_name string"),
+        "orders": ([(10 * c + k, c, 100.0 + k, f"199{k}-01-01", "1-URGENT") for c in range(1, 6) for k in range(c % 3 + 1)] + [(99, 1, 5.0, "1997-01-01", "5-LOW")],
+                   "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate string, o_orderpriority string"),
+        "lineitem": ([(10 * c, 2.0 * c, "R") for c in range(1, 6)] + [(10, 1.0, "N")], "l_orderkey long, l_quantity double, l_returnflag string")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    fr = churn_frame(spark, str(tmp_path))
+    got = {r["id"]: (r["order_count"], r["quantity"], r["returned_count"], r["nation"], r["churn"]) for r in fr.collect()}
+    assert got == {1: (2, 3.0, 1, "CHINA", 0), 2: (3, 4.0, 1, "PERU", 1), 3: (1, 6.0, 1, "CHINA", 1),
+                   4: (2, 8.0, 1, "PERU", 1), 5: (3, 10.0, 1, "CHINA", 1)}
+    final = fr._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("BroadcastHashJoin") == 1 and final.count("SortMergeJoin") == 2

@@ -123,3 +123,11 @@ def test_smote_with_a_tiny_minority_fills_all_tasks(spark):
     assert per_base == {20_000: 9_999, 20_001: 9_999}
     sizes = [r["n"] for r in synthetic.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert len(sizes) > 1 and max(sizes) <= 1.1 * sum(sizes) / len(sizes)
+
+
+def test_first_vectors_by_hash_send_few_rows(spark):
+    """Each task's share of the first vectors is cut by hash before it is sent; a cut that leaves too few is not used."""
+    vectors = spark.range(0, 4000, 1, 40).select(F.col("id").alias("q"), F.array(F.col("id").cast("double")).alias("x"))
+    want = sorted(range(4000), key=lambda i: hashlib.md5(f"pivot:{i}".encode()).hexdigest())[:100]
+    for n in (4000, 150, 400_000):  # cut, no cut needed, too few left
+        assert [int(r["x"][0]) for r in neighbours._first_by_hash(vectors, n, 100)] == want
